@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TRANSACTION_SCHEMA = T.StructType.fromDDL(
+TRANSACTION_SCHEMA = (
     "transaction_id string, customer_id string, product_id string, product_name string, category string, quantity int, "
     "unit_price double, total_amount double, transaction_date string, transaction_time string, city string, "
     "payment_method string, discount double, year int, month int, day int"
 )
-SENSOR_SCHEMA = T.StructType.fromDDL(
+SENSOR_SCHEMA = (
     "timestamp string, sensor_id string, location string, temperature double, humidity double, pressure double, "
     "battery_level int, status string"
 )
-LOG_SCHEMA = T.StructType.fromDDL(
+LOG_SCHEMA = (
     "timestamp string, level string, service string, message string, trace_id string, response_time_ms int"
 )
 REJECTED = "_corrupt_record"
@@ -69,7 +69,8 @@ def read_csv_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and the raw text of those that do not (with whatever fields could be parsed).
 
-    Parsing all columns whatever the query selects keeps the split independent of the projection.
+    Parsing all columns whatever the query selects keeps the split independent of the projection. Spark refuses a scan
+    that needs nothing but the reject column, so each side also tests a field in a way that always holds.
     """
     full = T.StructType([*_schema(schema).fields, T.StructField(REJECTED, T.StringType())])
     rows = (
@@ -78,7 +79,8 @@ def read_csv_tolerant(
         .schema(full)
         .csv(path)
     )
-    return rows.filter(F.col(REJECTED).isNull()).drop(REJECTED), rows.filter(F.col(REJECTED).isNotNull())
+    field = F.coalesce(F.col(full.names[0]).cast("string"), F.lit("")) >= F.lit("")
+    return rows.filter(F.col(REJECTED).isNull() & field).drop(REJECTED), rows.filter(F.col(REJECTED).isNotNull() & field)
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, multi_line: bool = True) -> DataFrame:

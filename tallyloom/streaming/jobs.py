@@ -11,7 +11,7 @@ from tallyloom.operators.enrichment import label_sensors, parse_records, score_l
 from tallyloom.operators.quality import validate
 from tallyloom.sources.readers import LOG_SCHEMA
 
-SENSOR_EVENT_SCHEMA = T.StructType.fromDDL(
+SENSOR_EVENT_SCHEMA = (
     "event_id bigint, sensor_id string, building string, floor string, temperature double, humidity double, battery_level int"
 )
 
