@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.tables import largest_bucket, table_location
+
 BROADCAST_LIMIT = 25_000_000
 
 
@@ -117,19 +119,25 @@ def customer_product_breadth(tx: DataFrame, customer: str = "customer_id", produ
     return tx.filter(F.col(customer).isNotNull()).groupBy(customer).agg(F.countDistinct(product).alias("unique_products"))
 
 
-def bucketed_join(spark: SparkSession, left: str, right: str, key: str, how: str = "inner", max_bucket_bytes: int = 4 * 1024**3) -> DataFrame:
-    """Join of two tables bucketed alike on ``key``, without an exchange while every bucket is of a size one task bears.
+MAX_BUCKET_BYTES = 4 * 1024**3
+
 
-    A bucketed scan ties a whole bucket to one task. When a bucket is larger than ``max_bucket_bytes`` (a hot key, or
-    too few buckets), the tables' files are read as plain files instead, so that the join shuffles and hot partitions
-    get split.
+def bucketed_scan(spark: SparkSession, table: str, max_bucket_bytes: int = MAX_BUCKET_BYTES) -> DataFrame:
+    """A bucketed table, read by bucket while every bucket is of a size one task bears.
+
+    A bucketed scan ties a whole bucket to one task. When one is larger (a hot key, or too few buckets) the table's
+    files are read as plain files instead; what follows then shuffles, pre-aggregates and splits hot partitions.
     """
-    from tallyloom.operators.layout import largest_bucket, table_location
+    if largest_bucket(spark, table) <= max_bucket_bytes:
+        return spark.table(table)
+    provider, path = table_location(spark, table)
+    return spark.read.schema(spark.table(table).schema).format(provider).load(path)
 
-    def side(name: str) -> DataFrame:
-        if largest_bucket(spark, name) <= max_bucket_bytes:
-            return spark.table(name)
-        provider, path = table_location(spark, name)
-        return spark.read.schema(spark.table(name).schema).format(provider).load(path)
 
-    return side(left).join(side(right), key, how)
+def bucketed_join(
+    spark: SparkSession, left: str, right: str, key: str, how: str = "inner", max_bucket_bytes: int = MAX_BUCKET_BYTES
+) -> DataFrame:
+    """Join of two tables bucketed alike on ``key``: no exchange, unless a bucket is too large (see :func:`bucketed_scan`)."""
+    if max(largest_bucket(spark, t) for t in (left, right)) > max_bucket_bytes:
+        max_bucket_bytes = -1
+    return bucketed_scan(spark, left, max_bucket_bytes).join(bucketed_scan(spark, right, max_bucket_bytes), key, how)

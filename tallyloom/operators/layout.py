@@ -17,6 +17,7 @@ from tallyloom.operators.sales import monthly_sales_summary
 from tallyloom.session import scratch_path
 from tallyloom.sources import folders
 from tallyloom.sources.inventory import list_files
+from tallyloom.sources.writers import write_partitioned
 
 CLUSTER_BITS = 6
 
@@ -34,24 +35,6 @@ def collect_stats(spark: SparkSession, table: str, cols: Sequence[str] | None =
     return spark.sql(f"DESCRIBE EXTENDED {table}")
 
 
-def table_location(spark: SparkSession, table: str) -> tuple[str, str]:
-    """Provider and folder of a table."""
-    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
-    return described["Provider"], described["Location"]
-
-
-def bucket_bytes(spark: SparkSession, table: str) -> DataFrame:
-    """Files and bytes per bucket of a bucketed table, from its file names."""
-    _, path = table_location(spark, table)
-    number = F.regexp_extract("name", r"_(\d+)(?:\..*)?$", 1).try_cast("int")
-    files = list_files(spark, path, glob="part-*").withColumn("bucket", number)
-    return files.groupBy("bucket").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
-
-
-def largest_bucket(spark: SparkSession, table: str) -> int:
-    return bucket_bytes(spark, table).agg(F.max("bytes").alias("bytes")).first()["bytes"] or 0
-
-
 def format_sizes(spark: SparkSession, df: DataFrame, formats: Sequence[str] = ("csv", "orc", "parquet")) -> DataFrame:
     """Rows, files and bytes of the same rows in several formats; the copies are removed afterwards."""
     base = scratch_path(spark, "formats")
@@ -107,9 +90,7 @@ def refresh_summary(spark: SparkSession, tx: DataFrame, path: str, touched: Data
     """
     rows = tx if touched is None else tx.join(touched.select("year", "month").distinct(), ["year", "month"], "left_semi")
     summary = monthly_sales_summary(rows)
-    mode = "static" if touched is None else "dynamic"
-    placed = summary.repartition("year", "month")
-    placed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("year", "month").parquet(path)
+    write_partitioned(summary, path, ["year", "month"], dynamic=touched is not None)
     return read_summary(spark, path)
 
 
@@ -133,12 +114,16 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 256 * 1024**2, b
         merged = rows.coalesce(files) if target_bytes >= scan_bytes else rows.repartition(files)
         merged.write.parquet(staged)
     else:
-        usage = rows.groupBy(*by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).agg(F.lit(1).alias("one"))
-        parts = usage.groupBy(*by).agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / F.lit(target_bytes))).alias("pieces"))
+        file = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")]
+        sizes = rows.select(*by, *file).distinct().groupBy(*by)
+        parts = sizes.agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / F.lit(target_bytes))).alias("pieces"))
         value = F.struct(*by)
-        sized = rows.withColumn("value", value).join(parts.select(value.alias("value"), "pieces"), "value")
+        # One row per partition folder: no more than the file index that the driver holds anyway.
+        few = F.broadcast(parts.select(value.alias("value"), "pieces"))
+        sized = rows.withColumn("value", value).join(few, "value")
         piece = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in by]), F.col("pieces"))
-        sized.withColumn("piece", piece).repartition(*by, "piece").select(*rows.columns).write.partitionBy(*by).parquet(staged)
+        placed = sized.withColumn("piece", piece).repartition(*by, "piece").select(*rows.columns)
+        placed.write.partitionBy(*by).parquet(staged)
     folders.switch(spark, staged, path)
     return files
 

@@ -31,7 +31,7 @@ def category_revenue_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucketed_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _table_name("by_customer")
     writers.write_bucketed(transactions(spark, sf_dir, ["customer_id", "product_id"]), name, 10, ["customer_id"], scratch_path(spark, name))
-    return joins.customer_product_breadth(spark.table(name))
+    return joins.customer_product_breadth(joins.bucketed_scan(spark, name))
 
 
 @query("SELECT o_orderpriority, count(*) AS items, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS units FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority")

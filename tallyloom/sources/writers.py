@@ -50,28 +50,32 @@ def append(df: DataFrame, table: str, fmt: str = "parquet", by: Sequence[str] =
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], dynamic: bool = True, spread: int = 1, fmt: str = "parquet") -> None:
+def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows brought together by ``by`` for writing, with even task sizes.
+
+    Adaptive execution sizes the tasks from the real shuffle: small values share a task, and a value that holds much of
+    the data is split over several, so neither thousands of small files nor one endless task result.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in by])
+
+
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], dynamic: bool = True, fmt: str = "parquet") -> None:
     """One folder per value of the partition columns.
 
-    Dynamic overwrite replaces only the folders that receive rows; static overwrite replaces all. Rows are brought
-    together by partition value, split over ``spread`` tasks each, so that neither thousands of small files nor one
-    task for a hot partition result.
+    Dynamic overwrite replaces only the folders that receive rows; static overwrite replaces all.
     """
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by] or [F.lit(0)]), F.lit(spread))
-    placed = df.repartition(*by, salt) if spread > 1 else df.repartition(*by)
     mode = "dynamic" if dynamic else "static"
-    placed.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by).save(path)
+    writer = gathered(df, by).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(*by).save(path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, cols: Sequence[str], path: str | None = None, fmt: str = "parquet", spread: int = 1) -> None:
+def write_bucketed(df: DataFrame, table: str, buckets: int, cols: Sequence[str], path: str | None = None, fmt: str = "parquet") -> None:
     """A table bucketed and sorted by ``cols``.
 
-    Rows are sent to the bucket they will be written to, ``spread`` tasks each: at most ``buckets * spread`` files, and
-    the rows of a hot bucket are written by several tasks.
+    Rows are gathered by the bucket they will be written to, so a bucket is one file, or a few where it is large.
     """
-    bucket = F.pmod(F.hash(*cols), F.lit(buckets))
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    placed = df.repartition(buckets * spread, bucket, salt)
+    bucket = "bucket_number"
+    placed = gathered(df.withColumn(bucket, F.pmod(F.hash(*cols), F.lit(buckets))), [bucket]).drop(bucket)
     writer = placed.write.format(fmt).mode("overwrite").bucketBy(buckets, *cols).sortBy(*cols)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
@@ -108,7 +112,8 @@ def write_dated(df: DataFrame, base: str, ts_col: str, fmt: str = "parquet") ->
     """Rows below a year, month and day folder taken from a timestamp."""
     day = F.col(ts_col)
     dated = df.withColumns({"yyyy": F.date_format(day, "yyyy"), "MM": F.date_format(day, "MM"), "dd": F.date_format(day, "dd")})
-    dated.write.format(fmt).mode("append").partitionBy("yyyy", "MM", "dd").save(base)
+    parts = ["yyyy", "MM", "dd"]
+    gathered(dated, parts).write.format(fmt).mode("append").partitionBy(*parts).save(base)
 
 
 def write_routes(df: DataFrame, path: str, column: str = "route", mode: str = "append") -> None:
