@@ -1,13 +1,17 @@
-"""Aggregates that read transaction rows and pre-summed transaction totals alike.
+"""Sums and averages that read transaction rows and pre-summed transaction totals alike.
 
-A totals DataFrame (see ``plans.views.transaction_totals``) carries the sum of each measure, the number of rows behind
-it in ``row_weight`` and the number of non-null values behind each measure in ``<measure>__rows``.
+Amounts carry two decimals, whether they are stored as decimals or as doubles. Double amounts are added up as whole
+cents: the sum is exact, the same in any order, and cheaper than a decimal sum.
+
+A totals DataFrame (see ``plans.views.transaction_totals``) holds, per group, the number of rows in ``row_weight``, the
+sum of each measure (``<measure>__cents`` for doubles) and the number of its non-null values (``<measure>__rows``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW_WEIGHT = "row_weight"
 
@@ -16,6 +20,19 @@ def present_name(measure: str) -> str:
     return f"{measure}__rows"
 
 
+def cents_name(measure: str) -> str:
+    return f"{measure}__cents"
+
+
+def is_double(df: DataFrame, measure: str) -> bool:
+    return isinstance(df.schema[measure].dataType, (T.DoubleType, T.FloatType))
+
+
+def cents(c: Column) -> Column:
+    """A double amount as a whole number of cents."""
+    return F.rint(c * 100).cast("long")
+
+
 def row_count(df: DataFrame) -> Column:
     return F.sum(ROW_WEIGHT) if ROW_WEIGHT in df.columns else F.count(F.lit(1))
 
@@ -26,17 +43,23 @@ def present(df: DataFrame, measure: str) -> Column:
     return F.sum(weight) if weight in df.columns else F.count(measure)
 
 
-def total(measure: str) -> Column:
+def total(df: DataFrame, measure: str) -> Column:
+    """Exact sum: a double for double amounts, else the sum type of the column."""
+    summed_cents = cents_name(measure)
+    if summed_cents in df.columns:
+        return F.sum(summed_cents).cast("double") / 100
+    if is_double(df, measure):
+        return F.sum(cents(F.col(measure))).cast("double") / 100
     return F.sum(measure)
 
 
 def mean(df: DataFrame, measure: str) -> Column:
-    """Average as a double, from an exact sum where the measure is a decimal."""
-    return F.try_divide(F.sum(measure).cast("double"), present(df, measure).cast("double"))
+    """Average as a double, from the exact sum; null for a group without values."""
+    return F.try_divide(total(df, measure).cast("double"), present(df, measure).cast("double"))
 
 
 def summed(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Rows summed per ``keys`` with the weights that keep counts and averages exact afterwards."""
-    weights = [F.count(F.lit(1)).alias(ROW_WEIGHT)]
-    weights += [F.count(m).alias(present_name(m)) for m in measures]
-    return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures], *weights)
+    sums = [F.sum(cents(F.col(m))).alias(cents_name(m)) if is_double(df, m) else F.sum(m).alias(m) for m in measures]
+    weights = [F.count(m).alias(present_name(m)) for m in measures]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROW_WEIGHT), *sums, *weights)

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.columns import as_column
 
-# Fixed value: one word is a run of Unicode letters, digits and underscores.
-WORD_PATTERN = r"(?U)\w+"
+# Fixed value: one word is a run of Unicode letters, numbers and underscores.
+WORD_PATTERN = r"[\p{L}\p{N}_]+"
 
 
 def words(c: Column | str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.measures import cents, is_double
 from tallyloom.sources.tables import largest_bucket, table_location
 
 BROADCAST_LIMIT = 25_000_000
@@ -86,7 +87,7 @@ def repeat_day_customers(
     """
     tagged = tx.filter(F.col(customer).isNotNull() & F.col(day).isNotNull()).select(
         customer,
-        F.col(amount).alias("amount"),
+        (cents(F.col(amount)) if is_double(tx, amount) else (F.col(amount) * 100).cast("long")).alias("cents"),
         F.explode(
             F.array(
                 F.struct(F.lit(True).alias("is_day"), F.col(day).cast("string").alias("item")),
@@ -94,19 +95,19 @@ def repeat_day_customers(
             )
         ).alias("tag"),
     )
-    items = tagged.groupBy(customer, "tag.is_day", "tag.item").agg(
-        F.count(F.lit(1)).cast("decimal(14,0)").alias("n"), F.sum("amount").alias("s")
-    )
+    items = tagged.groupBy(customer, "tag.is_day", "tag.item").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("s"))
     on_day = F.col("is_day")
+    # Products of sums and counts outgrow a long, so from here on they are whole-number decimals.
+    rows, spent = F.col("n").cast("decimal(15,0)"), F.col("s").cast("decimal(20,0)")
     per_customer = items.groupBy(customer).agg(
-        F.sum(F.when(on_day, F.col("n"))).cast("decimal(14,0)").alias("rows"),
-        F.sum(F.when(on_day, F.col("s"))).alias("spent"),
-        F.sum(F.when(on_day, F.col("s") * F.col("n"))).alias("same_day"),
+        F.sum(F.when(on_day, F.col("n"))).cast("decimal(15,0)").alias("rows"),
+        F.sum(F.when(on_day, F.col("s"))).cast("decimal(20,0)").alias("spent"),
+        F.sum(F.when(on_day, rows * spent)).alias("same_day"),
         F.count(F.when(on_day, F.lit(1))).alias("days"),
         F.count(F.when(~on_day, F.col("item"))).alias("unique_products"),
     )
     return per_customer.filter(F.col("days") > 1).select(
-        customer, "unique_products", (F.col("spent") * F.col("rows") - F.col("same_day")).alias("total_spent")
+        customer, "unique_products", ((F.col("spent") * F.col("rows") - F.col("same_day")).cast("double") / 100).alias("total_spent")
     )
 
 

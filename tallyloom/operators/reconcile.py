@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 def combine(dfs: Sequence[DataFrame]) -> DataFrame:
     """All rows, columns matched by name; a column some inputs lack is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+    rows = [df.select(*df.columns) for df in dfs]  # plain rows, also from typed sources such as spark.range
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
 
 
 def row_diff(a: DataFrame, b: DataFrame) -> DataFrame:

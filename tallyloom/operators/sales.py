@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tallyloom.functions.columns import LOYALTY_LABELS, SPEND_BOUNDS, VALUE_LABELS, discount_band, segment
-from tallyloom.functions.measures import mean, row_count, total
+from tallyloom.functions.measures import cents, is_double, mean, row_count, total
 from tallyloom.functions.parsing import currency, hour_of, safe_number
 
 
@@ -39,7 +39,7 @@ def category_revenue(tx: DataFrame) -> DataFrame:
     return _by(
         tx,
         ["category"],
-        total_revenue=total("total_amount"),
+        total_revenue=total(tx, "total_amount"),
         transaction_count=row_count(tx),
         avg_transaction_value=mean(tx, "total_amount"),
     ).orderBy(F.desc("total_revenue"), "category")
@@ -50,9 +50,9 @@ def category_performance(tx: DataFrame) -> DataFrame:
         tx,
         ["category"],
         unique_customers=F.countDistinct("customer_id"),
-        total_revenue=total("total_amount"),
+        total_revenue=total(tx, "total_amount"),
         avg_transaction_value=mean(tx, "total_amount"),
-        total_items_sold=total("quantity"),
+        total_items_sold=total(tx, "quantity"),
     ).orderBy(F.desc("total_revenue"), "category")
 
 
@@ -61,7 +61,7 @@ def customer_value(tx: DataFrame) -> DataFrame:
     return _by(
         tx,
         ["customer_id"],
-        customer_lifetime_value=total("total_amount"),
+        customer_lifetime_value=total(tx, "total_amount"),
         purchase_count=row_count(tx),
         avg_purchase_value=mean(tx, "total_amount"),
     )
@@ -92,7 +92,7 @@ def monthly_trend(tx: DataFrame) -> DataFrame:
         tx,
         ["year", "month"],
         transaction_count=row_count(tx),
-        monthly_revenue=total("total_amount"),
+        monthly_revenue=total(tx, "total_amount"),
         avg_transaction_value=mean(tx, "total_amount"),
     ).orderBy("year", "month")
 
@@ -102,13 +102,13 @@ def monthly_trend_for(tx: DataFrame, year: int, date_col: str = "transaction_dat
     day = F.col(date_col)
     rows = tx.filter((day >= F.make_date(F.lit(year), F.lit(1), F.lit(1))) & (day < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))))
     return _by(
-        rows, [F.month(day).alias("month")], transactions=row_count(tx), total_sales=total("total_amount")
+        rows, [F.month(day).alias("month")], transactions=row_count(tx), total_sales=total(tx, "total_amount")
     ).orderBy("month")
 
 
 def daily_trend(tx: DataFrame, date_col: str = "transaction_date") -> DataFrame:
     return _by(
-        tx, [F.to_date(F.col(date_col)).alias("date")], daily_sales=total("total_amount"), transactions=row_count(tx)
+        tx, [F.to_date(F.col(date_col)).alias("date")], daily_sales=total(tx, "total_amount"), transactions=row_count(tx)
     ).orderBy("date")
 
 
@@ -118,7 +118,7 @@ def hourly_pattern(tx: DataFrame, time_col: str = "transaction_time", amount: st
         tx,
         [hour_of(time_col).alias("hour_of_day")],
         transaction_count=row_count(tx),
-        hourly_revenue=total(amount),
+        hourly_revenue=total(tx, amount),
     ).orderBy("hour_of_day")
 
 
@@ -128,8 +128,8 @@ def product_performance(tx: DataFrame, n: int = 15) -> DataFrame:
         _by(
             tx,
             ["product_name", "category"],
-            units_sold=total("quantity"),
-            total_revenue=total("total_amount"),
+            units_sold=total(tx, "quantity"),
+            total_revenue=total(tx, "total_amount"),
             avg_discount=mean(tx, "discount"),
             transaction_count=row_count(tx),
         )
@@ -143,7 +143,7 @@ def city_sales(tx: DataFrame) -> DataFrame:
         tx,
         ["city"],
         transaction_count=row_count(tx),
-        total_revenue=total("total_amount"),
+        total_revenue=total(tx, "total_amount"),
         unique_customers=F.countDistinct("customer_id"),
         avg_transaction_value=mean(tx, "total_amount"),
     ).orderBy(F.desc("total_revenue"), "city")
@@ -158,7 +158,7 @@ def payment_mix(tx: DataFrame) -> DataFrame:
         tx,
         ["payment_method"],
         usage_count=row_count(tx),
-        total_revenue=total("total_amount"),
+        total_revenue=total(tx, "total_amount"),
         avg_transaction=mean(tx, "total_amount"),
     )
     return methods.withColumn("usage_percentage", share_of_total("usage_count")).orderBy(F.desc("usage_count"), "payment_method")
@@ -181,7 +181,7 @@ def discount_impact(tx: DataFrame) -> DataFrame:
         tx,
         [discount_band("discount").alias("discount_range")],
         transaction_count=row_count(tx),
-        total_revenue=total("total_amount"),
+        total_revenue=total(tx, "total_amount"),
         avg_transaction_value=mean(tx, "total_amount"),
     ).orderBy(F.desc("transaction_count"), "discount_range")
 
@@ -209,7 +209,7 @@ def price_stats(tx: DataFrame, min_rows: int = 5, n: int = 10) -> DataFrame:
 def frequent_customers(tx: DataFrame, k: int = 5) -> DataFrame:
     """Customers with more than ``k`` purchases."""
     return _by(
-        tx, ["customer_id"], purchase_count=row_count(tx), total_spent=total("total_amount")
+        tx, ["customer_id"], purchase_count=row_count(tx), total_spent=total(tx, "total_amount")
     ).filter(F.col("purchase_count") > k)
 
 
@@ -220,7 +220,7 @@ def big_ticket_categories(tx: DataFrame, min_amount: float = 100, min_total: flo
             tx.filter(F.col("total_amount") > min_amount),
             ["category"],
             unique_customers=F.countDistinct("customer_id"),
-            total_revenue=total("total_amount"),
+            total_revenue=total(tx, "total_amount"),
         )
         .filter(F.col("total_revenue") > min_total)
         .orderBy(F.desc("total_revenue"), "category")
@@ -230,14 +230,14 @@ def big_ticket_categories(tx: DataFrame, min_amount: float = 100, min_total: flo
 def category_revenue_for(tx: DataFrame, year: int, months: Sequence[int]) -> DataFrame:
     """Revenue per category in some months of a year; on a table partitioned by year and month only those are read."""
     rows = tx.filter((F.col("year") == year) & F.col("month").isin(*months))
-    return _by(rows, ["category"], revenue=total("total_amount"), transactions=row_count(tx))
+    return _by(rows, ["category"], revenue=total(tx, "total_amount"), transactions=row_count(tx))
 
 
 def category_month(tx: DataFrame, year: int) -> DataFrame:
     return _by(
         tx.filter(F.col("year") == year),
         ["category", "year", "month"],
-        revenue=total("total_amount"),
+        revenue=total(tx, "total_amount"),
         avg_transaction=mean(tx, "total_amount"),
         transaction_count=row_count(tx),
     )
@@ -248,7 +248,7 @@ def monthly_sales_summary(tx: DataFrame) -> DataFrame:
     return _by(
         tx,
         ["year", "month", "category", "city"],
-        total_revenue=total("total_amount"),
+        total_revenue=total(tx, "total_amount"),
         transaction_count=row_count(tx),
         avg_transaction=mean(tx, "total_amount"),
         unique_customers=F.countDistinct("customer_id"),
@@ -271,12 +271,12 @@ def category_sales_report(rows: DataFrame, formatted: bool = False, amount: str
 
 
 def units_by_product(tx: DataFrame) -> DataFrame:
-    return _by(tx, ["product_name"], units_sold=total("quantity")).orderBy("product_name")
+    return _by(tx, ["product_name"], units_sold=total(tx, "quantity")).orderBy("product_name")
 
 
 def top_customers(tx: DataFrame, n: int = 5) -> DataFrame:
     return (
-        _by(tx, ["customer_id"], total_spent=total("total_amount"))
+        _by(tx, ["customer_id"], total_spent=total(tx, "total_amount"))
         .orderBy(F.desc("total_spent"), "customer_id")
         .limit(n)
     )
@@ -284,7 +284,7 @@ def top_customers(tx: DataFrame, n: int = 5) -> DataFrame:
 
 def category_city(tx: DataFrame) -> DataFrame:
     """Revenue per category and city, of a batch or a stream."""
-    return _by(tx, ["category", "city"], revenue=total("total_amount"))
+    return _by(tx, ["category", "city"], revenue=total(tx, "total_amount"))
 
 
 def top_products(tx: DataFrame, n: int = 10) -> DataFrame:
@@ -292,8 +292,8 @@ def top_products(tx: DataFrame, n: int = 10) -> DataFrame:
         _by(
             tx,
             ["product_name"],
-            total_quantity=total("quantity"),
-            total_revenue=total("total_amount"),
+            total_quantity=total(tx, "quantity"),
+            total_revenue=total(tx, "total_amount"),
             transaction_count=row_count(tx),
         )
         .orderBy(F.desc("total_revenue"), "product_name")
@@ -303,7 +303,7 @@ def top_products(tx: DataFrame, n: int = 10) -> DataFrame:
 
 def top_categories(tx: DataFrame, n: int = 5) -> DataFrame:
     return (
-        _by(tx, ["category"], revenue=total("total_amount")).orderBy(F.desc("revenue"), "category").limit(n)
+        _by(tx, ["category"], revenue=total(tx, "total_amount")).orderBy(F.desc("revenue"), "category").limit(n)
     )
 
 
@@ -320,12 +320,14 @@ def slice_metrics(tx: DataFrame, order: Sequence[str | Column], size: int = 100,
     first = tx.orderBy(*order).limit(stop)
     numbered = first.withColumn("position", F.row_number().over(Window.orderBy(*order)))
     slices = numbered.groupBy(F.ceil(F.col("position") / size).cast("int").alias("batch")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("amount")
+        F.count(F.lit(1)).alias("n"), total(tx, "total_amount").alias("amount")
     )
     so_far = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return slices.select(
-        "batch",
-        F.sum("n").over(so_far).alias("transactions"),
-        F.sum("amount").over(so_far).alias("revenue"),
-        (F.sum("amount").over(so_far).cast("double") / F.sum("n").over(so_far)).alias("avg_transaction"),
+    running = slices.withColumn("transactions", F.sum("n").over(so_far))
+    if is_double(slices, "amount"):
+        running = running.withColumn("revenue", F.sum(cents(F.col("amount"))).over(so_far).cast("double") / 100)
+    else:
+        running = running.withColumn("revenue", F.sum("amount").over(so_far))
+    return running.select(
+        "batch", "transactions", "revenue", (F.col("revenue").cast("double") / F.col("transactions")).alias("avg_transaction")
     )

@@ -92,8 +92,7 @@ def daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
        CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS hourly_revenue FROM events GROUP BY 1"""
 )
 def hourly_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events").withColumn("value", F.col("value").cast("decimal(12,2)"))
-    return sales.hourly_pattern(events, "ts", "value")
+    return sales.hourly_pattern(load(spark, sf_dir, "events"), "ts", "value")
 
 
 @query(
@@ -267,7 +266,7 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM b JOIN r ON p <= batch * 100 GROUP BY batch"""
 )
 def slice_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders").withColumn("total_amount", F.col("o_totalprice").cast("decimal(12,2)"))
+    orders = load(spark, sf_dir, "orders").withColumnRenamed("o_totalprice", "total_amount")
     return sales.slice_metrics(orders, ["o_orderdate", "o_orderkey"])
 
 

@@ -27,7 +27,7 @@ AMOUNT = "CAST(value AS DECIMAL(12,2))"
 def _sales_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of sales: type as category, value as amount."""
     return stream_table(spark, sf_dir, "events").select(
-        F.col("ts").alias("timestamp"), F.col("event_type").alias("category"), F.col("value").cast("decimal(12,2)").alias("total_amount"), "user_id"
+        F.col("ts").alias("timestamp"), F.col("event_type").alias("category"), F.col("value").alias("total_amount"), "user_id"
     )
 
 

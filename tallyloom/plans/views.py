@@ -15,8 +15,6 @@ from tallyloom.functions.measures import summed
 from tallyloom.operators.joins import fits_broadcast
 from tallyloom.sources.readers import load
 
-MONEY = "decimal(12,2)"
-
 _FACT: dict[str, Column] = {}
 _ORDER: dict[str, Column] = {}
 _PRODUCT: dict[str, Column] = {}
@@ -30,7 +28,7 @@ def _columns() -> tuple[dict[str, Column], dict[str, Column], dict[str, Column]]
             transaction_id=F.concat_ws("-", "l_orderkey", "l_linenumber"),
             product_id=F.col("l_partkey"),
             quantity=F.col("l_quantity").cast("int"),
-            total_amount=F.col("l_extendedprice").cast(MONEY),
+            total_amount=F.col("l_extendedprice"),
             discount=F.round(F.col("l_discount") * 300),
         )
         _ORDER.update(
@@ -45,7 +43,7 @@ def _columns() -> tuple[dict[str, Column], dict[str, Column], dict[str, Column]]
         _PRODUCT.update(
             product_name=F.col("p_name"),
             category=F.col("p_type"),
-            unit_price=F.col("p_retailprice").cast(MONEY),
+            unit_price=F.col("p_retailprice"),
         )
     return _FACT, _ORDER, _PRODUCT
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+FALLBACK_KEY = "tallyloom.scratch.dir"
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,8 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set(CHECKPOINT_KEY, fallback)
+    fallback = spark.conf.get(FALLBACK_KEY, None)
+    if fallback is None:
+        fallback = tempfile.mkdtemp(prefix="tallyloom-")
+        spark.conf.set(FALLBACK_KEY, fallback)
     return fallback
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions.measures import mean
+from tallyloom.functions.measures import mean, total
 from tallyloom.operators.enrichment import label_sensors, parse_records, score_logs
 from tallyloom.operators.quality import validate
 from tallyloom.sources.readers import LOG_SCHEMA
@@ -30,7 +30,7 @@ def windowed_sales(
     timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
     return timed.groupBy(window, by).agg(
-        F.sum(amount).alias("total_revenue"), F.count(F.lit(1)).alias("transaction_count"), mean(timed, amount).alias("avg_transaction")
+        total(timed, amount).alias("total_revenue"), F.count(F.lit(1)).alias("transaction_count"), mean(timed, amount).alias("avg_transaction")
     )
 
 
@@ -42,7 +42,7 @@ def flat_window(df: DataFrame) -> DataFrame:
 
 def running_totals(stream: DataFrame, by: str = "category", amount: str = "total_amount") -> DataFrame:
     """Totals since the start; the state holds one row per group."""
-    return stream.groupBy(by).agg(F.sum(amount).alias("cumulative_revenue"), F.count(F.lit(1)).alias("total_transactions"))
+    return stream.groupBy(by).agg(total(stream, amount).alias("cumulative_revenue"), F.count(F.lit(1)).alias("total_transactions"))
 
 
 def log_stream(raw: DataFrame, schema: T.StructType | str = LOG_SCHEMA) -> DataFrame:
