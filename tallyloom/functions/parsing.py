@@ -43,6 +43,13 @@ def json_record(c: Column | str, schema: T.StructType | str) -> Column:
     return F.from_json(as_column(c).cast("string"), schema)
 
 
+def avro_record(c: Column | str, schema_json: str) -> Column:
+    """Avro bytes as a struct. Needs the external Avro package on the session's class path."""
+    from pyspark.sql.avro.functions import from_avro
+
+    return from_avro(as_column(c), schema_json)
+
+
 def event_time(date_col: Column | str, time_col: Column | str) -> Column:
     """Timestamp from a date text and a time text, null where they do not parse."""
     text = F.concat(as_column(date_col).cast("string"), F.lit(" "), as_column(time_col))

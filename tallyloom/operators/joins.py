@@ -51,7 +51,7 @@ def enrich_hot_keys(
 
     Keys with more than ``share`` of the rows (so at most ``1 / share`` keys) are joined to a broadcast of just their
     dimension rows, so their fact rows are never shuffled; all other keys take the shuffled join. Null keys match
-    nothing and take neither.
+    nothing and take neither. The bound on the broadcast is checked, not assumed.
     """
     if fits_broadcast(dim, limit):
         return enrich(fact, dim, key, how, limit)
@@ -64,6 +64,8 @@ def enrich_hot_keys(
     if not hot_keys:
         return fact.join(dim, key, how)
     hot = F.col(key).isin(hot_keys)
+    if dim.filter(hot).limit(len(hot_keys) + 1).count() > len(hot_keys):
+        raise ValueError("the dimension must hold one row per key")
     joined = keys.filter(hot).join(F.broadcast(dim.filter(hot)), key, how)
     joined = joined.unionByName(keys.filter(~hot).join(dim.filter(~hot), key, how))
     if how == "inner":
@@ -82,21 +84,15 @@ def repeat_day_customers(
 
     A row counts once for every row of its customer on another day: per customer, with N rows, n rows and sum s on one
     day, the total is the sum of s * (N - n) over the days. Products are those of customers with two days or more. Rows
-    without customer or day match nothing. One pass: each row is tagged once with its day and once with its product,
-    so that a single pre-aggregated exchange serves both.
+    without customer or day match nothing. One pass: days and products are two grouping sets of one pre-aggregated
+    exchange.
     """
-    tagged = tx.filter(F.col(customer).isNotNull() & F.col(day).isNotNull()).select(
-        customer,
-        (cents(F.col(amount)) if is_double(tx, amount) else (F.col(amount) * 100).cast("long")).alias("cents"),
-        F.explode(
-            F.array(
-                F.struct(F.lit(True).alias("is_day"), F.col(day).cast("string").alias("item")),
-                F.struct(F.lit(False).alias("is_day"), F.col(product).cast("string").alias("item")),
-            )
-        ).alias("tag"),
+    amounts = cents(F.col(amount)) if is_double(tx, amount) else (F.col(amount) * 100).cast("long")
+    kept = tx.filter(F.col(customer).isNotNull() & F.col(day).isNotNull()).select(customer, day, product, amounts.alias("cents"))
+    items = kept.groupingSets([[customer, day], [customer, product]], customer, day, product).agg(
+        F.grouping(day).alias("by_product"), F.count(F.lit(1)).alias("n"), F.sum("cents").alias("s")
     )
-    items = tagged.groupBy(customer, "tag.is_day", "tag.item").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("s"))
-    on_day = F.col("is_day")
+    on_day = F.col("by_product") == 0
     # Products of sums and counts outgrow a long, so from here on they are whole-number decimals.
     rows, spent = F.col("n").cast("decimal(15,0)"), F.col("s").cast("decimal(20,0)")
     per_customer = items.groupBy(customer).agg(
@@ -104,7 +100,7 @@ def repeat_day_customers(
         F.sum(F.when(on_day, F.col("s"))).cast("decimal(20,0)").alias("spent"),
         F.sum(F.when(on_day, rows * spent)).alias("same_day"),
         F.count(F.when(on_day, F.lit(1))).alias("days"),
-        F.count(F.when(~on_day, F.col("item"))).alias("unique_products"),
+        F.count(F.when(~on_day, F.col(product))).alias("unique_products"),
     )
     return per_customer.filter(F.col("days") > 1).select(
         customer, "unique_products", ((F.col("spent") * F.col("rows") - F.col("same_day")).cast("double") / 100).alias("total_spent")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyloom.sources.readers import TABLES
+
 
 def stream_files(
     spark: SparkSession,
@@ -26,5 +28,4 @@ def stream_files(
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """A Parquet table of a data folder as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return stream_files(spark, sf_dir, "parquet", schema, max_files, glob=f"{name}.parquet")
+    return stream_files(spark, sf_dir, "parquet", TABLES[name], max_files, glob=f"{name}.parquet")

@@ -57,6 +57,13 @@ def test_hot_key_join_equals_plain_join(spark, rows, how):
     assert none_hot.count() == hot.count()
 
 
+def test_hot_key_join_refuses_repeated_dimension_keys(spark):
+    fact = spark.range(100).select(F.lit(1).cast("long").alias("k"), "id")
+    dim = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(ValueError):
+        joins.enrich_hot_keys(fact, dim, "k", limit=-1)
+
+
 def test_bucketed_tables_join_without_exchange_unless_a_bucket_is_too_large(spark, setting, rows):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     left = spark.range(1000).select((F.col("id") % 100).alias("k"), F.col("id").alias("a"))

@@ -28,6 +28,8 @@ def db():
 def normal(value):
     if value is None or value is pd.NA or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
         return None
+    if isinstance(value, float) and value.is_integer():
+        return int(value)  # pandas turns an integer column with gaps into floats
     return pd.Timestamp(value) if hasattr(value, "isoformat") else value
 
 

@@ -132,3 +132,25 @@ def test_failed_query_raises(spark, feed, tmp_path):
     broken = stream_files(spark, folder, "parquet", SALES).withColumn("x", F.raise_error(F.lit("boom")))
     with pytest.raises(Exception, match="boom"):
         sinks.finish(sinks.to_table(broken, str(tmp_path / "o"), str(tmp_path / "c")))
+
+
+def test_console_sink_runs(spark, feed, tmp_path):
+    folder, add = feed
+    add([(moment("10:00:00"), "a", 1.0)])
+    query = sinks.to_console(jobs.running_totals(stream_files(spark, folder, "parquet", SALES)), "update", None, str(tmp_path / "c"))
+    assert sinks.finish(query).lastProgress["numInputRows"] == 1
+
+
+def test_minute_bundles_are_bounded(spark, feed, tmp_path):
+    folder, add = feed
+    add([(moment(f"10:00:{s:02d}"), "a", float(s)) for s in range(25)] + [(moment("10:01:00"), "a", 99.0)])
+    stream = stream_files(spark, folder, "parquet", SALES)
+    sinks.finish(sinks.bundle_stream(stream, str(tmp_path / "o"), str(tmp_path / "c"), "timestamp", ["category"], ["total_amount"], max_records=10, every=None))
+    got = [(r["window_start"], r["bundle_no"], [x["total_amount"] for x in r["records"]]) for r in sinks.read_batches(spark, str(tmp_path / "o")).collect()]
+    ten = moment("10:00:00")
+    assert sorted(got) == [
+        (ten, 1, [float(i) for i in range(10)]),
+        (ten, 2, [float(i) for i in range(10, 20)]),
+        (ten, 3, [float(i) for i in range(20, 25)]),
+        (moment("10:01:00"), 1, [99.0]),
+    ]
