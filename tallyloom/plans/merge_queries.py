@@ -18,42 +18,46 @@ EARLIER = dt.datetime(2024, 1, 1)
 
 
 @query(
-    """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 2 AS DOUBLE) ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS o_totalprice,
-       CASE WHEN o_orderkey % 7 = 0 THEN 'UPDATED' ELSE o_orderpriority END AS o_orderpriority FROM orders"""
+    """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 2 AS DOUBLE) ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS o_totalprice,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'UPDATED' ELSE o_orderpriority END AS o_orderpriority FROM orders"""
 )
 def merge_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderpriority")
-    updates = orders.filter(F.col("o_orderkey") % 7 == 0).select("o_orderkey", (F.col("o_totalprice") * 2).alias("price"), F.lit("UPDATED").alias("flag"))
+    updates = orders.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", (F.col("o_totalprice") * 2).alias("price"), F.lit("UPDATED").alias("flag"))
     return merge.merge_update(orders, updates, ["o_orderkey"], {"o_totalprice": "price", "o_orderpriority": "flag"})
 
 
+CUT = dt.datetime(2000, 1, 1)
+
+
 def _target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders except every fifth, with stamps of an earlier load."""
-    orders = load(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 5 != 0)
+    """Orders up to the end of 1999, with the stamps of an earlier load."""
+    orders = load(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz"))
     stamp = F.lit(EARLIER).cast("timestamp")
     return orders.select(
-        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"), F.col("o_orderdate").alias("timestamp"), stamp.alias("created_at"), stamp.alias("updated_at")
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"), F.col("o_orderdate").alias("timestamp"), stamp.alias("created_at"), stamp.alias("updated_at"), "o_orderpriority"
     )
 
 
 def _incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order with a key divisible by 3 or 5, twice: once at its own date, once a day earlier or later."""
-    orders = load(spark, sf_dir, "orders").filter((F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") % 5 == 0))
-    shifted = F.col("o_orderdate") + F.when(F.col("o_orderkey") % 2 == 0, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL -1 DAY"))
-    row = lambda value, ts: F.struct(F.col("o_orderkey").alias("id"), value.alias("value"), ts.alias("timestamp"))
-    return orders.select(F.inline(F.array(row(F.lit(1.5), F.col("o_orderdate")), row(F.col("o_totalprice") + 1, shifted))))
-
-
-UPSERT_SQL = """WITH t AS (SELECT o_orderkey AS id, o_totalprice AS value, o_orderdate AS timestamp FROM orders WHERE o_orderkey % 5 <> 0),
-  s0 AS (SELECT o_orderkey AS id, 1.5::DOUBLE AS value, o_orderdate AS timestamp FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0
-         UNION ALL SELECT o_orderkey, o_totalprice + 1, o_orderdate + CASE WHEN o_orderkey % 2 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL (-1) DAY END
-         FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0),
-  s AS (SELECT id, value, timestamp FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp DESC, value DESC) AS n FROM s0) WHERE n = 1)
+    """Every order twice: once at its own date, once a day later (finished orders) or earlier (the others)."""
+    day = F.when(F.col("o_orderstatus") == "F", F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL -1 DAY"))
+    row = lambda value, ts: F.struct(F.col("o_orderkey").alias("id"), value.alias("value"), ts.alias("timestamp"), "o_orderpriority")
+    return load(spark, sf_dir, "orders").select(
+        F.inline(F.array(row(F.lit(1.5), F.col("o_orderdate")), row(F.col("o_totalprice") + 1, F.col("o_orderdate") + day)))
+    )
+
+
+UPSERT_SQL = """WITH t AS (SELECT o_orderkey AS id, o_totalprice AS value, o_orderdate AS timestamp, o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+  s0 AS (SELECT o_orderkey AS id, 1.5::DOUBLE AS value, o_orderdate AS timestamp, o_orderpriority FROM orders
+         UNION ALL SELECT o_orderkey, o_totalprice + 1, o_orderdate + CASE WHEN o_orderstatus = 'F' THEN INTERVAL 1 DAY ELSE INTERVAL (-1) DAY END, o_orderpriority FROM orders),
+  s AS (SELECT id, value, timestamp, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp DESC, value DESC) AS n FROM s0) WHERE n = 1)
   SELECT coalesce(t.id, s.id) AS id,
          CASE WHEN t.id IS NULL OR s.timestamp > t.timestamp THEN s.value ELSE t.value END AS value,
          CASE WHEN t.id IS NULL OR s.timestamp > t.timestamp THEN s.timestamp ELSE t.timestamp END AS timestamp,
          CASE WHEN t.id IS NULL THEN TIMESTAMP '2024-06-01 12:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS created_at,
-         CASE WHEN t.id IS NULL OR s.timestamp > t.timestamp THEN TIMESTAMP '2024-06-01 12:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
+         CASE WHEN t.id IS NULL OR s.timestamp > t.timestamp THEN TIMESTAMP '2024-06-01 12:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at,
+         coalesce(t.o_orderpriority, s.o_orderpriority) AS o_orderpriority
   FROM t FULL JOIN s ON t.id = s.id"""
 
 
@@ -64,19 +68,18 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(UPSERT_SQL)
 def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same upsert against a table partitioned by a hash of the key, rewriting touched partitions only."""
-    path = scratch_path(spark, "upsert-table")
-    part = F.pmod(F.col("id"), F.lit(8)).cast("int")
-    write_partitioned(_target(spark, sf_dir).withColumn("part", part), path, ["part"])
-    merge.upsert_partitions(spark, path, _incoming(spark, sf_dir).withColumn("part", part), ["id"], ["part"], now=NOON, tiebreak=["value"])
-    return spark.read.parquet(path).drop("part")
+    """The same upsert against a table partitioned by priority, rewriting touched partitions only."""
+    path, by = scratch_path(spark, "upsert-table"), ["o_orderpriority"]
+    write_partitioned(_target(spark, sf_dir), path, by)
+    merge.upsert_partitions(spark, path, _incoming(spark, sf_dir), ["id"], by, now=NOON, tiebreak=["value"])
+    return spark.read.parquet(path)
 
 
 ROW = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
 
 
 def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change envelopes as JSON: an update for every order, then a delete of every sixth, and a create for as many new keys."""
+    """Change envelopes as JSON: an update for every order, then for open orders a delete and a create under a new key."""
     orders = load(spark, sf_dir, "orders")
     image = lambda key, status, price: F.struct(key.alias("o_orderkey"), status.alias("o_orderstatus"), price.alias("o_totalprice"))
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
@@ -90,21 +93,21 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         change(old, none, "d", 1_700_000_001_000),
         change(none, image(-key - 1, F.lit("N"), price), "c", 1_700_000_002_000),
     )
-    sixth = F.col("o_orderkey") % 6 == 0
-    return orders.select(F.inline(F.when(sixth, changes).otherwise(F.slice(changes, 1, 1)))).select("value")
+    is_open = F.col("o_orderstatus") == "O"
+    return orders.select(F.inline(F.when(is_open, changes).otherwise(F.slice(changes, 1, 1)))).select("value")
 
 
 @query(
     """SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice * 2 AS o_totalprice, 'u' AS operation, make_timestamp(1700000000000000) AS changed_at FROM orders
-    UNION ALL SELECT o_orderkey, NULL, NULL, 'd', make_timestamp(1700000001000000) FROM orders WHERE o_orderkey % 6 = 0
-    UNION ALL SELECT -o_orderkey - 1, 'N', o_totalprice, 'c', make_timestamp(1700000002000000) FROM orders WHERE o_orderkey % 6 = 0"""
+    UNION ALL SELECT o_orderkey, NULL, NULL, 'd', make_timestamp(1700000001000000) FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT -o_orderkey - 1, 'N', o_totalprice, 'c', make_timestamp(1700000002000000) FROM orders WHERE o_orderstatus = 'O'"""
 )
 def flatten_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.flatten_cdc(order_envelopes(spark, sf_dir), ROW, ["o_orderkey"])
 
 
-CDC_SQL = """SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderkey % 6 <> 0
-    UNION ALL SELECT -o_orderkey - 1, 'N', o_totalprice FROM orders WHERE o_orderkey % 6 = 0"""
+CDC_SQL = """SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderstatus <> 'O'
+    UNION ALL SELECT -o_orderkey - 1, 'N', o_totalprice FROM orders WHERE o_orderstatus = 'O'"""
 
 
 @query(CDC_SQL)
@@ -148,12 +151,13 @@ def migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("source", "target")
 
 
-_SHIFTED = "SELECT * FROM orders WHERE o_orderkey % 50 <> 0 AND o_orderpriority <> '5-LOW'"
+_SHIFTED = "SELECT * FROM orders WHERE NOT (o_orderpriority = '5-LOW' OR (o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'))"
 
 
 def _shifted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = load(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
-    return orders, orders.filter((F.col("o_orderkey") % 50 != 0) & (F.col("o_orderpriority") != "5-LOW"))
+    priority = F.col("o_orderpriority")
+    return orders, orders.filter(~((priority == "5-LOW") | ((priority == "1-URGENT") & (F.col("o_orderstatus") == "O"))))
 
 
 @query(
@@ -174,34 +178,36 @@ def count_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH a AS (SELECT l_returnflag AS f, l_linestatus AS s, l_linenumber AS n FROM lineitem),
-    b AS (SELECT l_returnflag AS f, l_linestatus AS s, l_linenumber AS n FROM lineitem WHERE l_partkey % 3 <> 0),
+    b AS (SELECT l_returnflag AS f, l_linestatus AS s, l_linenumber AS n FROM lineitem WHERE l_quantity < 40),
     d AS (SELECT f, s, n, sum(w) AS c FROM (SELECT *, 1 AS w FROM a UNION ALL SELECT *, -1 FROM b) GROUP BY f, s, n)
     SELECT f, s, n, CAST(abs(c) AS BIGINT) AS copies, CASE WHEN c > 0 THEN 'left' ELSE 'right' END AS side FROM d WHERE c <> 0"""
 )
 def row_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("s"), F.col("l_linenumber").alias("n"), "l_partkey")
-    return reconcile.row_diff(rows.drop("l_partkey"), rows.filter(F.col("l_partkey") % 3 != 0).drop("l_partkey"))
+    rows = load(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("s"), F.col("l_linenumber").alias("n"), "l_quantity")
+    return reconcile.row_diff(rows.drop("l_quantity"), rows.filter(F.col("l_quantity") < 40).drop("l_quantity"))
 
 
 @query(
-    """WITH b AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_acctbal + CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS c_acctbal
-               FROM customer WHERE c_custkey % 100 <> 1)
-    SELECT 'schema_equal' AS item, 3::BIGINT AS left_value, 3::BIGINT AS right_value, true AS matches
+    """WITH b AS (SELECT c_custkey, CASE WHEN c_nationkey = 7 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_nationkey,
+                      c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment = 'BUILDING' AS raised
+               FROM customer WHERE c_nationkey <> 3)
+    SELECT 'schema_equal' AS item, 4::BIGINT AS left_value, 4::BIGINT AS right_value, true AS matches
     UNION ALL SELECT 'rows', (SELECT count(*) FROM customer), (SELECT count(*) FROM b), (SELECT count(*) FROM customer) = (SELECT count(*) FROM b)
-    UNION ALL SELECT 'nulls:c_custkey', 0, 0, true UNION ALL SELECT 'nulls:c_acctbal', 0, 0, true
-    UNION ALL SELECT 'nulls:c_mktsegment', 0, (SELECT count(*) FROM b WHERE c_mktsegment IS NULL), false
-    UNION ALL SELECT 'keys_only_here', (SELECT count(*) FROM customer WHERE c_custkey % 100 = 1), 0, false
-    UNION ALL SELECT 'duplicate_keys', 0, 0, true
-    UNION ALL SELECT 'different:c_mktsegment', (SELECT count(*) FROM b WHERE c_mktsegment IS NULL), (SELECT count(*) FROM b WHERE c_mktsegment IS NULL), false
-    UNION ALL SELECT 'different:c_acctbal', (SELECT count(*) FROM b WHERE c_custkey % 4 = 0), (SELECT count(*) FROM b WHERE c_custkey % 4 = 0), false"""
+    UNION ALL SELECT 'nulls:c_custkey', 0, 0, true UNION ALL SELECT 'nulls:c_acctbal', 0, 0, true UNION ALL SELECT 'nulls:c_nationkey', 0, 0, true
+    UNION ALL SELECT 'nulls:c_mktsegment', 0, (SELECT count(*) FROM b WHERE c_mktsegment IS NULL), (SELECT count(*) FROM b WHERE c_mktsegment IS NULL) = 0
+    UNION ALL SELECT 'keys_only_here', (SELECT count(*) FROM customer WHERE c_nationkey = 3), 0, (SELECT count(*) FROM customer WHERE c_nationkey = 3) = 0
+    UNION ALL SELECT 'duplicate_keys', 0, 0, true UNION ALL SELECT 'different:c_nationkey', 0, 0, true
+    UNION ALL SELECT 'different:c_mktsegment', count(*), count(*), count(*) = 0 FROM b WHERE c_mktsegment IS NULL
+    UNION ALL SELECT 'different:c_acctbal', count(*), count(*), count(*) = 0 FROM b WHERE raised"""
 )
 def compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    key = F.col("c_custkey")
-    b = a.filter(key % 100 != 1).select(
+    a = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
+    nation, market = F.col("c_nationkey"), F.col("c_mktsegment")
+    b = a.filter(nation != 3).select(
         "c_custkey",
-        F.when(key % 10 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
-        (F.col("c_acctbal") + F.when(key % 4 == 0, 1).otherwise(0)).alias("c_acctbal"),
+        F.when(nation != 7, market).alias("c_mktsegment"),
+        "c_nationkey",
+        (F.col("c_acctbal") + F.when(market == "BUILDING", 1).otherwise(0)).alias("c_acctbal"),
     )
     return reconcile.compare(a, b, "c_custkey", 0.01)
 
