@@ -73,4 +73,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tallyloom.plans import layout_queries, merge_queries, record_queries, sales_queries, stream_queries  # noqa: F401
+    from tallyloom.plans import file_queries, layout_queries, merge_queries, record_queries, sales_queries, stream_queries  # noqa: F401

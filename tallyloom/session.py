@@ -19,6 +19,9 @@ SETTINGS = {
     # A hot key is split even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Streaming state on executors' disks instead of their heaps, checkpointed as changes to the shared folder.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
