@@ -26,6 +26,8 @@ def db():
 
 
 def normal(value):
+    if hasattr(value, "item"):
+        value = value.item()
     if value is None or value is pd.NA or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
         return None
     if isinstance(value, float) and value.is_integer():
