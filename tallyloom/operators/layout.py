@@ -86,9 +86,12 @@ def refresh_summary(spark: SparkSession, tx: DataFrame, path: str, touched: Data
     """The stored monthly summary, built or refreshed.
 
     Distinct customers cannot be added up, so whole months are recomputed: all of them, or those in ``touched``
-    (year, month). Only their folders are replaced.
+    (year, month). Only their folders are replaced, and of a table partitioned by month only their folders are read.
     """
-    rows = tx if touched is None else tx.join(touched.select("year", "month").distinct(), ["year", "month"], "left_semi")
+    rows = tx
+    if touched is not None:
+        month = F.col("year") * 100 + F.col("month")
+        rows = tx.filter(month.isin([r["m"] for r in touched.select(month.alias("m")).distinct().collect()]))
     summary = monthly_sales_summary(rows)
     write_partitioned(summary, path, ["year", "month"], dynamic=touched is not None)
     return read_summary(spark, path)

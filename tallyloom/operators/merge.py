@@ -15,6 +15,7 @@ from tallyloom.functions.parsing import json_record
 from tallyloom.operators.ordering import latest_per_key
 from tallyloom.session import checkpointed
 from tallyloom.sources import folders
+from tallyloom.sources.tables import in_partitions_of
 
 
 def _moment(now: object) -> Column:
@@ -91,8 +92,7 @@ def upsert_partitions(
     overwritten while it is read; the touched folders are then replaced.
     """
     target = spark.read.parquet(path)
-    touched = source.select(*by).distinct()
-    affected = target.join(touched, list(by), "left_semi").select(*target.columns)
+    affected = target.filter(in_partitions_of(target, source, by))
     merged = checkpointed(spark, upsert(affected, source, keys, ts, **options), "upsert")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 

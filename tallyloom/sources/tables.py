@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.sources.inventory import list_files
@@ -24,3 +26,14 @@ def bucket_bytes(spark: SparkSession, table: str) -> DataFrame:
 
 def largest_bucket(spark: SparkSession, table: str) -> int:
     return bucket_bytes(spark, table).agg(F.max("bytes").alias("bytes")).first()["bytes"] or 0
+
+
+def in_partitions_of(table: DataFrame, source: DataFrame, by: Sequence[str]) -> Column:
+    """Condition on the partition columns of a table that holds in the partitions some row of ``source`` belongs to.
+
+    The partition values are collected (no more than the table has folders, and few of them in an incremental load), so
+    that the scan prunes to them; a join would read the whole table first.
+    """
+    typed = source.select(*[F.col(c).cast(table.schema[c].dataType).alias(c) for c in by]).distinct()
+    place = F.to_json(F.struct(*by))  # leaves nulls out, so a null partition compares too
+    return place.isin([r["place"] for r in typed.select(place.alias("place")).collect()])

@@ -4,8 +4,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import merge, ordering, snapshots
+from tallyloom.operators import layout, merge, ordering, snapshots
 from tallyloom.sources import writers
+from tallyloom.sources.tables import in_partitions_of
 
 T0, T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
 NOW = dt.datetime(2024, 6, 1)
@@ -44,6 +45,15 @@ def test_upsert_updates_only_with_strictly_newer_rows(target, source, rows):
     assert rows(merge.upsert(merged, source, ["id"], now=T2)) == rows(merged)
 
 
+def test_touched_partitions_prune_the_scan(spark, target, source, tmp_path):
+    path = str(tmp_path / "t")
+    writers.write_partitioned(target.withColumn("p", F.when(F.col("id") > 3, F.col("id") % 2)), path, ["p"])
+    table = spark.read.parquet(path)
+    touched = table.filter(in_partitions_of(table, source.select(F.lit(None).cast("string").alias("p")), ["p"]))
+    assert {r["id"] for r in touched.collect()} == {1, 2, 3}
+    assert "StructsToJson" in layout.plan_facts(touched)["partition_filters"][0]
+
+
 def test_upsert_partitions_touches_only_affected_folders(spark, target, source, tmp_path):
     path = str(tmp_path / "t")
     part = F.col("id") % 4
