@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.parsing import json_record
 from tallyloom.operators.ordering import latest_per_key
-from tallyloom.session import checkpointed
+from tallyloom.session import checkpointed, scratch_path
 from tallyloom.sources import folders
 from tallyloom.sources.tables import in_partitions_of
+from tallyloom.sources.writers import write_partitioned
 
 
 def _moment(now: object) -> Column:
@@ -93,8 +94,10 @@ def upsert_partitions(
     """
     target = spark.read.parquet(path)
     affected = target.filter(in_partitions_of(target, source, by))
-    merged = checkpointed(spark, upsert(affected, source, keys, ts, **options), "upsert")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    scratch = scratch_path(spark, "upsert")
+    merged = checkpointed(spark, upsert(affected, source, keys, ts, **options), "upsert", scratch)
+    write_partitioned(merged, path, by)
+    folders.delete(spark, scratch)
 
 
 def flatten_cdc(df: DataFrame, row_schema: T.StructType | str, keys: Sequence[str], value: str = "value") -> DataFrame:

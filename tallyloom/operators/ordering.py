@@ -29,18 +29,21 @@ def rank_columns(names: Sequence[str]) -> list[Column]:
     return [F.col(c).alias(f"rank_{i}") for i, c in enumerate(names)]
 
 
-def with_position(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], out: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], out: str = "position", scratch: str | None = None
+) -> DataFrame:
     """Row number from 1 within each key, in an order that must be unique within the key.
 
     ``row_number`` alone would sort a whole key in one task. Here rows are split by range of key and order, so a hot
     key spans many tasks, and each range is written with its number. Positions are the rank inside the range plus the
-    number of the key's rows in earlier ranges, which is summed over one row per key and range.
+    number of the key's rows in earlier ranges, which is summed over one row per key and range. The written ranges stay
+    in the shared folder, or in ``scratch``, which the caller may delete once the result has been used.
     """
     spark = df.sparkSession
     keys, order = _names(keys), _names(order)
     ranged = df.repartitionByRange(*keys, *order).withColumn("range_no", F.spark_partition_id())
     # A struct is never null, so null keys form a group of their own, and one partitioning serves window and join.
-    parts = checkpointed(spark, ranged, "positions").withColumn("group_key", F.struct(*keys))
+    parts = checkpointed(spark, ranged, "positions", scratch).withColumn("group_key", F.struct(*keys))
     earlier = Window.partitionBy("group_key").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         parts.groupBy("group_key", "range_no")
@@ -52,11 +55,16 @@ def with_position(df: DataFrame, keys: str | Sequence[str], order: str | Sequenc
     return ranked.join(offsets, ["group_key", "range_no"]).select(*df.columns, (F.col("rank") + F.col("before")).alias(out))
 
 
-def bundle(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], max_records: int = 1000) -> DataFrame:
-    """Records of each key gathered into ordered arrays of at most ``max_records``, numbered from 1 per key."""
+def bundle(
+    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], max_records: int = 1000, scratch: str | None = None
+) -> DataFrame:
+    """Records of each key gathered into ordered arrays of at most ``max_records``, numbered from 1 per key.
+
+    For ``scratch`` see :func:`with_position`.
+    """
     keys, order = _names(keys), _names(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    placed = with_position(df, keys, order)
+    placed = with_position(df, keys, order, scratch=scratch)
     bundle_no = F.ceil(F.col("position") / max_records).cast("long")
     gathered = placed.groupBy(*keys, bundle_no.alias("bundle_no")).agg(
         F.array_sort(F.collect_list(F.struct("position", *order, *rest))).alias("records")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 FALLBACK_KEY = "tallyloom.scratch.dir"
@@ -59,12 +59,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(spark: SparkSession, df, label: str):
-    """Write ``df`` once to the shared folder and read it back, so that later steps do not recompute it.
+def checkpointed(spark: SparkSession, df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder (or to ``path``) and read it back, so that later steps do not recompute it.
 
     The written table outlives any executor, and each row is fixed: nothing drawn at run time (such as sampled range
-    bounds) can come out differently on a retry.
+    bounds) can come out differently on a retry. Whoever gives a path may delete it after the last use.
     """
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
+    path = path or scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

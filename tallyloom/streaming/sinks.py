@@ -127,8 +127,10 @@ def bundle_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         windowed = batch.withColumn("window_start", F.window(F.col(ts).cast("timestamp"), size)["start"])
-        gathered = bundle(windowed, ["window_start", *by], list(order), max_records)
+        scratch = f"{checkpoint.rstrip('/')}-scratch/batch_id={batch_id}"
+        gathered = bundle(windowed, ["window_start", *by], list(order), max_records, scratch)
         gathered.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        folders.delete(batch.sparkSession, scratch)
 
     return _per_batch(stream, handle, checkpoint, "append", every)
 
@@ -159,6 +161,3 @@ def progress_row(query: StreamingQuery) -> DataFrame:
         "processed_rows_per_second double, batch_duration_ms long, state_operators array<string>",
     )
 
-
-def sink_exists(spark: SparkSession, path: str) -> bool:
-    return folders.exists(spark, path)

@@ -71,3 +71,9 @@ def test_levels_of_chain_diamond_and_isolated_node(spark):
 def test_levels_are_null_on_and_behind_a_cycle(spark):
     got = levels(spark, [("a", "b"), ("b", "c"), ("c", "b"), ("c", "d"), ("a", "e")], ["a"])
     assert got == {"a": 0, "b": None, "c": None, "d": None, "e": 1}
+
+
+def test_levels_without_edges_or_nodes(spark):
+    assert levels(spark, [], ["a", "b"]) == {"a": 0, "b": 0}
+    assert levels(spark, [], []) == {}
+    assert levels(spark, [("a", "a")], []) == {"a": None}

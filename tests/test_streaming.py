@@ -154,3 +154,4 @@ def test_minute_bundles_are_bounded(spark, feed, tmp_path):
         (ten, 3, [float(i) for i in range(20, 25)]),
         (moment("10:01:00"), 1, [99.0]),
     ]
+    assert not list((tmp_path / "c-scratch").glob("batch_id=*"))
