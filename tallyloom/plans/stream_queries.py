@@ -48,6 +48,26 @@ def windowed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_updates(spark, out, ["window_start", "window_end", "category"])
 
 
+@query(
+    f"""SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type AS category,
+        CAST(sum({AMOUNT}) AS DOUBLE) AS total_revenue, count(*) AS transaction_count, CAST(sum({AMOUNT}) AS DOUBLE) / count(*) AS avg_transaction
+        FROM events GROUP BY 1, 2, 3"""
+)
+def windowed_sales_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events staged as CSV transactions with date and time texts, streamed into hourly windows."""
+    staged = scratch_path(spark, "transactions")
+    ts = F.col("ts")
+    load(spark, sf_dir, "events").select(
+        F.date_format(ts, "yyyy-MM-dd").alias("transaction_date"), F.date_format(ts, "HH:mm:ss").alias("transaction_time"),
+        F.col("event_type").alias("category"), F.col("value").alias("total_amount"),
+    ).write.csv(staged, header=True)
+    stream = stream_files(spark, staged, "csv", "transaction_date string, transaction_time string, category string, total_amount double", header=True)
+    out, checkpoint = _places(spark, "windowed-csv")
+    windows = jobs.flat_window(jobs.windowed_sales(jobs.timed_transactions(stream), size="1 hour", slide=None))
+    sinks.finish(sinks.to_updates(windows, out, checkpoint))
+    return sinks.read_updates(spark, out, ["window_start", "window_end", "category"])
+
+
 @query(f"SELECT event_type AS category, CAST(sum({AMOUNT}) AS DOUBLE) AS cumulative_revenue, count(*) AS total_transactions FROM events GROUP BY 1")
 def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "totals")

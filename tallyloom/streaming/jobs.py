@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.measures import mean, total
+from tallyloom.functions.parsing import event_time
 from tallyloom.operators.enrichment import label_sensors, parse_records, score_logs
 from tallyloom.operators.quality import validate
 from tallyloom.sources.readers import LOG_SCHEMA
@@ -34,6 +35,11 @@ def windowed_sales(
     )
 
 
+def timed_transactions(stream: DataFrame, date_col: str = "transaction_date", time_col: str = "transaction_time") -> DataFrame:
+    """Transactions with an event time made of their date and time texts; null where these do not parse."""
+    return stream.withColumn("timestamp", event_time(date_col, time_col))
+
+
 def flat_window(df: DataFrame) -> DataFrame:
     """The window struct as two plain columns, for file sinks."""
     rest = [c for c in df.columns if c != "window"]

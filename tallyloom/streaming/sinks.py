@@ -1,5 +1,5 @@
 """Stream sinks. File sinks commit each batch once; those that run a function per batch write under the batch's own
-name, so a batch that is run again after a failure replaces its first try."""
+name, so a batch that is run again after a failure replaces its first try. A sink's path belongs to one checkpoint."""
 
 from __future__ import annotations
 
