@@ -2,8 +2,9 @@
 
 A document's shingles are hashed once; the hash's first bits choose one of BUCKETS registers, which keeps the smallest
 remainder as its number of leading zeros and MANTISSA bits after them. Documents of the same shingle set are one class.
-Bands of compressed registers make candidates: every class of a band is held against the band's smallest member, and what
-is then still apart within a band is compared in blocks of bounded size. The estimate from the registers, corrected for
+Bands of compressed registers make candidates: every class of a band is held against the band's smallest member, its
+leader. Two classes that share a band share its leader, so what is then still apart under a leader is compared in blocks
+of bounded size, by registers alone. The estimate from the registers, corrected for
 accidental collisions, drops clear misses by a margin of MARGIN standard errors; every other candidate is decided on the
 full sets. Links become components by repeated large-star and small-star steps.
 
@@ -23,12 +24,16 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import Scratch, WordHashes, arrow_map, fits, lowered_words, mixed, text_bytes
 
 SHINGLE = 5
-BUCKETS = 128
+BUCKETS = 512
 MANTISSA = 10
+#: Bands are made of PARTS wider registers, each the first of BUCKETS / PARTS neighbours that is not empty.
+PARTS = 128
 ROWS_PER_BAND = 4
-BANDS = BUCKETS // ROWS_PER_BAND
+BANDS = PARTS // ROWS_PER_BAND
 MARGIN = 5.0
+LEAST_MARGIN = 0.02
 BLOCK = 500
+PAIRS_AT_ONCE = 20_000
 MAX_BROADCAST_IDS = 500_000
 
 _hashes = WordHashes()
@@ -78,10 +83,16 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(used > 0, (same - off) / np.maximum(used - off, 1e-9), 0.0), used
 
 
-def may_link(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether the estimate leaves ``similarity`` possible, within MARGIN standard errors."""
+def may_link(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the estimate leaves ``similarity`` possible, within MARGIN standard errors; ``sizes``: both sets' added up.
+
+    The used registers are a sample of the union without replacement, which narrows the error of small sets.
+    """
     j, used = estimate(a, b)
-    return j >= similarity - MARGIN * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
+    union = np.maximum(sizes / (1 + similarity), 2)
+    rest = np.clip((union - used) / (union - 1), 0, 1)
+    error = np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1) * rest)
+    return j >= similarity - np.maximum(MARGIN * error, LEAST_MARGIN)
 
 
 def sketch(docs: DataFrame) -> DataFrame:
@@ -100,15 +111,18 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(band, node) of every class: a 64-bit value of the band's number and its registers; bands without a value are left out."""
+    """(band, node) of every class: a 64-bit value of the band's number and its registers; empty bands are left out."""
 
     def run(rows: dict) -> dict:
-        regs = np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(-1, BANDS, ROWS_PER_BAND)
-        value = np.zeros(regs.shape[:2], np.uint64)
+        regs = np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(len(rows["node"]), PARTS, BUCKETS // PARTS)
+        first = (regs != 0).argmax(2)
+        wide = np.take_along_axis(regs, first[:, :, None], 2)[:, :, 0].astype(np.uint64)
+        wide |= np.where(wide > 0, first, 0).astype(np.uint64) << np.uint64(16)
+        wide = wide.reshape(-1, BANDS, ROWS_PER_BAND)
+        key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(wide), 0)
         for k in range(ROWS_PER_BAND):
-            value = value << np.uint64(16) | regs[:, :, k].astype(np.uint64)
-        key = mixed(mixed(value) + np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * _MULTIPLIERS[1])
-        at = value != 0
+            key = mixed(key * _MULTIPLIERS[1] + wide[:, :, k])
+        at = wide.any(2)
         nodes = np.repeat(np.array(rows["node"], np.int64)[:, None], BANDS, 1)
         return {"band": key[at].view(np.int64), "node": nodes[at]}
 
@@ -117,13 +131,14 @@ def bands(classes: DataFrame) -> DataFrame:
 
 def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose registers leave the similarity possible."""
-    regs = classes.select("node", "registers")
-    joined = pairs.join(regs.withColumnsRenamed({"node": "a", "registers": "ra"}), "a")
-    joined = joined.join(regs.withColumnsRenamed({"node": "b", "registers": "rb"}), "b")
+    regs = classes.select("node", "registers", "n_shingles")
+    joined = pairs.join(regs.withColumnsRenamed({"node": "a", "registers": "ra", "n_shingles": "na"}), "a")
+    joined = joined.join(regs.withColumnsRenamed({"node": "b", "registers": "rb", "n_shingles": "nb"}), "b")
 
     def run(rows: dict) -> dict:
         a, b = (np.frombuffer(b"".join(rows[c]), np.uint16).reshape(-1, BUCKETS) for c in ("ra", "rb"))
-        at = np.nonzero(may_link(a, b, similarity))[0]
+        sizes = np.array(rows["na"], np.int64) + np.array(rows["nb"], np.int64)
+        at = np.nonzero(may_link(a, b, sizes, similarity))[0]
         return {"a": np.array(rows["a"], np.int64)[at], "b": np.array(rows["b"], np.int64)[at]}
 
     return arrow_map(joined, run, "a long, b long")
@@ -175,38 +190,42 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
 
 
-def apart(band_rows: DataFrame, classes: DataFrame, comps: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
-    """Pairs of classes that share a band but no component yet, and may be linked.
+def apart(stars: DataFrame, classes: DataFrame, comps: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """Pairs of classes under one leader that are in different components so far and may be linked.
 
-    Bands with the same members are looked at once. Members are dealt into blocks of about BLOCK; each pair of blocks is
+    ``stars`` holds (leader, member) rows (a, b). Members are dealt into blocks of about BLOCK; each pair of blocks is
     compared in one task by registers, and only pairs that may be linked leave it.
     """
-    named = band_rows.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    per = named.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
-        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.min("node").alias("least"),
-    )
-    open_bands = scratch.write(per.filter("n > 2 and lo < hi").dropDuplicates(["n", "sum", "least"]).select("band", "n"), "open-bands")
-    members = named.join(open_bands, "band").join(classes.select("node", "registers"), "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    members = members.withColumn("k", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    named = stars.join(comps, stars.b == comps.node, "left").select("a", "b", F.coalesce("component", "b").alias("component"))
+    per = named.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    open_ = scratch.write(per.filter("lo < hi").select("a", F.ceil(F.col("n") / BLOCK).cast("int").alias("k")), "open-leaders")
+    members = named.join(open_, "a").withColumn("own", F.pmod(F.xxhash64("b"), F.col("k")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    members = members.select("band", "node", "component", "registers", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    regs = classes.select(F.col("node").alias("b"), "registers", "n_shingles")
+    members = members.join(regs, "b").select(
+        "a", F.col("b").alias("node"), "component", "registers", "n_shingles", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         regs = np.frombuffer(b"".join(pdf.registers), np.uint16).reshape(-1, BUCKETS)
-        node, comp, own = pdf.node.to_numpy(), pdf.component.to_numpy(), pdf.own.to_numpy()
-        same_block = pdf.i.iloc[0] == pdf.j.iloc[0]
-        found = []
-        for x in range(len(node)):
-            if not same_block and own[x] != pdf.i.iloc[0]:
-                continue
-            ys = np.nonzero((comp != comp[x]) & ((node > node[x]) if same_block else (own != own[x])))[0]
-            ys = ys[may_link(regs[x][None, :], regs[ys], similarity)]
-            found += [(min(node[x], node[y]), max(node[x], node[y])) for y in ys]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return members.groupBy("band", "i", "j").applyInPandas(one, "a long, b long").distinct()
+        node, comp, own, size = (pdf[c].to_numpy() for c in ("node", "component", "own", "n_shingles"))
+        i, j = pdf.i.iloc[0], pdf.j.iloc[0]
+        if i == j:
+            x, y = np.triu_indices(len(node), 1)
+        else:
+            left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
+            x, y = np.repeat(left, len(right)), np.tile(right, len(left))
+        differ = comp[x] != comp[y]
+        x, y = x[differ], y[differ]
+        keep = [np.zeros(0, bool)]
+        for at in range(0, len(x), PAIRS_AT_ONCE):
+            p, q = x[at : at + PAIRS_AT_ONCE], y[at : at + PAIRS_AT_ONCE]
+            keep.append(may_link(regs[p], regs[q], size[p] + size[q], similarity))
+        keep = np.concatenate(keep)
+        p, q = node[x[keep]], node[y[keep]]
+        return pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q)})
+
+    return members.groupBy("a", "i", "j").applyInPandas(one, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -221,17 +240,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     similarity = percent / 100
     rows = scratch.write(sketch(docs), "sketches")
     classes = rows.filter("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("members"), F.first("registers").alias("registers")
+        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("members"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")
     )
     classes = scratch.write(classes, "classes")
-    nodes = classes.filter("node is not null").select("node", "registers")
+    nodes = classes.filter("node is not null").select("node", "registers", "n_shingles")
     band_rows = bands(nodes)
     leaders = band_rows.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared = scratch.write(band_rows.join(leaders, "band"), "shared-bands")
-    stars = shared.filter("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(likely(stars, nodes, similarity), docs, percent, scratch, "stars")
+    stars = band_rows.join(leaders, "band").filter("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    stars = scratch.write(stars.distinct(), "stars")
+    links = verified(likely(stars, nodes, similarity), docs, percent, scratch, "near-leader")
     comps = scratch.write(components(links, scratch, "cc1"), "components1")
-    rest = apart(shared.select("band", "node"), nodes, comps, scratch, similarity)
+    rest = apart(stars, nodes, comps, scratch, similarity)
     more = verified(rest, docs, percent, scratch, "rest")
     joined = links.unionByName(more)
     comps = scratch.write(components(joined, scratch, "cc2"), "components2")

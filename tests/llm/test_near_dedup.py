@@ -100,6 +100,18 @@ def test_estimate_is_near_the_truth():
         assert abs(np.mean(found) - true) < 0.02
 
 
+def test_no_pair_at_the_threshold_is_dropped():
+    rng = np.random.default_rng(8)
+    for union in (7, 20, 60, 150, 400, 1000, 4000):
+        for _ in range(150):
+            h = rng.integers(0, 1 << 63, union, np.uint64) * np.uint64(2) + np.uint64(1)
+            common = -(-union * 85 // 100)
+            rest = (union - common) // 2
+            a, b = np.unique(h[: common + rest]), np.unique(np.concatenate([h[:common], h[common + rest :]]))
+            ra, rb = near_dedup.registers(a)[None], near_dedup.registers(b)[None]
+            assert near_dedup.may_link(ra, rb, np.array([len(a) + len(b)]), 0.85)[0]
+
+
 def test_components(spark):
     from tallyloom.llm.common import Scratch
 
