@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -73,16 +74,12 @@ class WordHashes:
         self.seen: dict[bytes, int] = {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        try:
-            return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(seen) > self.BOUND:
-                seen.clear()
-            for w in words:
-                if w not in seen:
-                    seen[w] = xxhash.xxh64_intdigest(w)
-            return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+        if len(self.seen) > self.BOUND:
+            self.seen.clear()
+        out = np.fromiter(map(self.seen.get, words, repeat(0)), np.uint64, len(words))
+        for i in np.nonzero(out == 0)[0].tolist():
+            out[i] = self.seen[words[i]] = xxhash.xxh64_intdigest(words[i]) or 1
+        return out
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -141,7 +142,8 @@ class Trie:
         self.backoff1, self.prob2, self.backoff2 = parts[3][: n1 + 1], parts[5][:n2], parts[5][n2 : 2 * n2]
         self.prob3 = parts[5][2 * n2 :]
         self.first = parts[7].view("<u4")  # where a context's successors start in level 2
-        self.fan = int(np.diff(self.first.astype(np.int64)).max()) + 1
+        self.fans = np.diff(self.first.astype(np.int64))
+        self.fan = int(self.fans.max()) + 1
         self.bos, self.width = n1, np.uint64(n1 + 1)
         with np.errstate(divide="ignore"):
             self.log1 = self.unigram(self.counts.astype(np.float64))
@@ -190,7 +192,8 @@ class Trie:
         """Positions in level 2 of (context, word) ids, -1 where either is unknown or the pair is not kept."""
         out = np.full(len(a), -1, np.int64)
         if self.level2 is not None:
-            ok = np.nonzero((a >= 0) & (b >= 0))[0]
+            known = np.nonzero((a >= 0) & (b >= 0))[0]
+            ok = known[self.fans[a[known]] > 0]
             out[ok] = self.level2.find(a[ok].astype(np.uint64) * self.width + b[ok].astype(np.uint64))
         return out
 
@@ -203,16 +206,22 @@ class Trie:
             out[ok] = self.level3.find(ab[ok].astype(np.uint64) * np.uint64(self.fan) + place.astype(np.uint64))
         return out
 
-    def scores(self, ids: np.ndarray, before: np.ndarray, before2: np.ndarray) -> np.ndarray:
-        """log10 probabilities of tokens after their contexts (-1: unknown word or none). An unknown token's own unigram
-        part is left out (0), to be added from its exact count."""
+    def pairs_at(self, ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of (before, token) and of the pair before it, for the tokens of whole texts in order."""
+        bc = self.pair_at(before, ids)
+        ab = np.concatenate([[-1], bc[:-1]])[: len(bc)]
+        ab[before == self.bos] = -1  # the first token of a text
+        return ab, bc
+
+    def scores(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """log10 probabilities of the tokens of whole texts in order, each after its context (-1: an unknown word). An
+        unknown token's own unigram part is left out (0), to be added from its exact count."""
         known = ids >= 0
         low = np.where(known, self.log1[np.where(known, ids, 0)] if len(self.log1) else 0.0, 0.0)
         has = before >= 0
         back1 = np.where(has, self.books[2][self.backoff1[np.where(has, before, 0)]], 0.0)
-        bc = self.pair_at(before, ids)
+        ab, bc = self.pairs_at(ids, before)
         mid = np.where(bc >= 0, self.books[0][self.prob2[bc]] if len(self.prob2) else 0.0, back1 + low)
-        ab = self.pair_at(before2, before)
         if self.level3 is None:
             return mid
         abc = self.triple_at(ab, bc, before)
@@ -227,17 +236,16 @@ class WordIds:
         self.trie, self.seen = trie, {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        try:
-            return np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            if len(seen) > MAX_PENDING:
-                seen.clear()
-            fresh = list({w for w in words if w not in seen})
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, fresh), np.uint64, len(fresh))
-            found = self.trie.level1.find(hashes) if self.trie.level1 else np.full(len(fresh), -1)
-            seen.update(zip(fresh, found.tolist(), strict=True))
-            return np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+        if len(self.seen) > MAX_PENDING:
+            self.seen.clear()
+        out = np.fromiter(map(self.seen.get, words, repeat(-2)), np.int64, len(words))
+        at = np.nonzero(out == -2)[0]
+        fresh = [words[i] for i in at.tolist()]
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, fresh), np.uint64, len(fresh))
+        found = self.trie.level1.find(hashes) if self.trie.level1 else np.full(len(fresh), -1)
+        self.seen.update(zip(fresh, found.tolist(), strict=True))
+        out[at] = found
+        return out
 
 
 _opened: dict[str, tuple[Trie, WordIds]] = {}
@@ -251,65 +259,92 @@ def opened(name: str) -> tuple[Trie, WordIds]:
     return _opened[name]
 
 
-def token_arrays(ids: WordIds, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, previous, one before that, owner) of all tokens of the texts, each text with its end; a start precedes it."""
+def token_arrays(ids: WordIds, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, previous ids, owner) of all tokens of the texts in order, each text with its end; a start precedes it."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    flat = ids([w for words in texts for w in words])
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    bos = ids.trie.bos
-    # Every text with two leading marks: one unknown, one start.
-    size = int(lengths.sum()) + 2 * len(texts)
-    padded = np.full(size, -1, np.int64)
-    begin = np.cumsum(lengths) - lengths + 2 * np.arange(len(texts))
-    padded[begin + 1] = bos
-    place = np.arange(len(flat)) + 2 * (owner + 1)
-    padded[place] = flat
-    return flat, padded[place - 1], padded[place - 2], owner
-
-
-def flushed(docs: DataFrame, take, schema: str, names: list[str]) -> DataFrame:
-    """Counts kept across a task's batches and given out whenever MAX_PENDING keys wait: ``take(batch texts, counter)``
-    adds to a Counter of keys."""
-    small_batches(docs.sparkSession)
-
-    def out(counter: Counter) -> pa.RecordBatch:
-        keys = np.fromiter(counter.keys(), np.uint64, len(counter)).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.fromiter(counter.values(), np.int64, len(counter)))], names)
+    flat = ids(list(chain.from_iterable(texts)))
+    before = np.concatenate([[-1], flat[:-1]])
+    before[np.cumsum(lengths) - lengths] = ids.trie.bos
+    return flat, before, np.repeat(np.arange(len(texts)), lengths)
+
+
+class WordCounts:
+    """Counts of words, given out under their hashes."""
+
+    def __init__(self):
+        self.counter: Counter = Counter()
+
+    def __len__(self) -> int:
+        return len(self.counter)
+
+    def add(self, texts: list[list[bytes]]) -> None:
+        self.counter.update(chain.from_iterable(texts))
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.counter)
+        out = np.fromiter(map(xxhash.xxh64_intdigest, self.counter), np.uint64, n), np.fromiter(self.counter.values(), np.int64, n)
+        self.counter = Counter()
+        return out
+
+
+class KeyCounts:
+    """Counts of 64-bit keys that ``keys(texts)`` makes of each batch."""
+
+    def __init__(self, keys):
+        self.keys, self.parts, self.n, self.merged = keys, [], 0, 0
+
+    def __len__(self) -> int:
+        if self.n > 2 * max(self.merged, MAX_PENDING):
+            self._merge()
+        return self.merged
+
+    def add(self, texts: list[list[bytes]]) -> None:
+        self.parts.append(np.unique(self.keys(texts), return_counts=True))
+        self.n += len(self.parts[-1][0])
+
+    def _merge(self) -> None:
+        keys, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0][: len(keys)]
+        self.parts = [(keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts)]
+        self.n = self.merged = len(first)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.parts:
+            self._merge()
+        out = self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.parts, self.n, self.merged = [], 0, 0
+        return out
+
+
+def counted(texts: DataFrame, new_counts, name: str) -> DataFrame:
+    """(``name``, c): counts summed over a task's batches, given out whenever too many keys wait, then over all tasks."""
+    small_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
-        for batch in batches:
-            take([[*lowered_words(t), END] for t in batch.column(0).to_pylist()], counter)
-            if len(counter) > MAX_PENDING:
-                yield out(counter)
-                counter.clear()
-        if counter:
-            yield out(counter)
+        held = new_counts()
 
-    return docs.mapInArrow(run, schema)
+        def out() -> pa.RecordBatch:
+            keys, counts = held.take()
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], [name, "c"])
 
+        for batch in batches:
+            held.add([[*lowered_words(t), END] for t in batch.column(0).to_pylist()])
+            if len(held) > 2 * MAX_PENDING:
+                yield out()
+        yield out()
 
-def add_counts(counter: Counter, keys: np.ndarray) -> None:
-    values, counts = np.unique(keys, return_counts=True)
-    for k, c in zip(values.tolist(), counts.tolist(), strict=True):
-        counter[k] += c
+    return texts.mapInArrow(run, f"{name} long, c long").groupBy(name).agg(F.sum("c").alias("c"))
 
 
 def train(texts: DataFrame, scratch: Scratch, unigram_share: float, ngram_share: float) -> tuple[bytes, DataFrame]:
     """(the trie's bytes, the table of all word counts) from the column ``text`` (bytes) of the training rows."""
     spark = texts.sparkSession
 
-    def words(batch: list, counter: Counter) -> None:
-        local = Counter()
-        for w in batch:
-            local.update(w)
-        for w, c in local.items():
-            counter[xxhash.xxh64_intdigest(w)] += c
-
-    counted = flushed(texts, words, "h long, c long", ["h", "c"]).groupBy("h").agg(F.sum("c").alias("c"))
-    counted = scratch.write(counted, "words")
+    words = scratch.write(counted(texts, WordCounts, "h"), "words")
     end = np.uint64(xxhash.xxh64_intdigest(END)).astype(np.int64).item()
-    total = counted.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("h") == end, F.col("c"))).alias("texts")).first()
+    total = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("h") == end, F.col("c"))).alias("texts")).first()
     tokens, distinct, starts = total["n"] or 0, total["v"], total["texts"] or 0
 
     def frequent(table: DataFrame, share: float, key: str) -> tuple[np.ndarray, np.ndarray]:
@@ -319,34 +354,35 @@ def train(texts: DataFrame, scratch: Scratch, unigram_share: float, ngram_share:
         order = np.argsort(keys)
         return keys[order], rows["c"].to_numpy(np.int64)[order]
 
-    hashes, counts = frequent(counted, unigram_share, "h")
+    hashes, counts = frequent(words, unigram_share, "h")
     width = len(hashes) + 1
     least = max(2, int(np.ceil(ngram_share * tokens)))
     common = np.append(counts >= least, starts >= least)
     one = share_file(spark, "lm-words", Trie.build(tokens, distinct, hashes, counts, starts=starts))
 
-    def pairs(batch: list, counter: Counter) -> None:
-        ids, before, _, _ = token_arrays(opened(one)[1], batch)
+    shared = spark.sparkContext.broadcast(common)
+
+    def pairs(batch: list) -> np.ndarray:
+        ids, before, _ = token_arrays(opened(one)[1], batch)
         ok = np.nonzero((ids >= 0) & (before >= 0))[0]
         ok = ok[shared.value[ids[ok]] & shared.value[before[ok]]]  # a frequent pair has frequent words
-        add_counts(counter, before[ok].astype(np.uint64) * np.uint64(width) + ids[ok].astype(np.uint64))
+        return before[ok].astype(np.uint64) * np.uint64(width) + ids[ok].astype(np.uint64)
 
-    shared = spark.sparkContext.broadcast(common)
-    table = flushed(texts, pairs, "k long, c long", ["k", "c"]).groupBy("k").agg(F.sum("c").alias("c"))
+    table = counted(texts, lambda: KeyCounts(pairs), "k")
     found = frequent(table, ngram_share, "k")
     two = share_file(spark, "lm-pairs", Trie.build(tokens, distinct, hashes, counts, found, starts=starts))
 
-    def triples(batch: list, counter: Counter) -> None:
+    def triples(batch: list) -> np.ndarray:
         trie, known = opened(two)
-        ids, before, before2, _ = token_arrays(known, batch)
-        ab, bc = trie.pair_at(before2, before), trie.pair_at(before, ids)
+        ids, before, _ = token_arrays(known, batch)
+        ab, bc = trie.pairs_at(ids, before)
         ok = np.nonzero((ab >= 0) & (bc >= 0))[0]  # a frequent triple has frequent pairs
-        add_counts(counter, ab[ok].astype(np.uint64) * np.uint64(width) + ids[ok].astype(np.uint64))
+        return ab[ok].astype(np.uint64) * np.uint64(width) + ids[ok].astype(np.uint64)
 
-    table = flushed(texts, triples, "k long, c long", ["k", "c"]).groupBy("k").agg(F.sum("c").alias("c"))
+    table = counted(texts, lambda: KeyCounts(triples), "k")
     key3, c3 = frequent(table, ngram_share, "k")
     parent, last = (key3 // np.uint64(width)).astype(np.int64), (key3 % np.uint64(width)).astype(np.int64)
-    return Trie.build(tokens, distinct, hashes, counts, found, (parent, last, c3), starts), counted
+    return Trie.build(tokens, distinct, hashes, counts, found, (parent, last, c3), starts), words
 
 
 def score_documents(
@@ -360,7 +396,7 @@ def score_documents(
     """
     scratch = Scratch(docs.sparkSession, "lm-score")
     held_out = crc_of_id() % folds == remainder
-    data, counted = train(docs.filter(~held_out).select(text_bytes().alias("text")), scratch, unigram_share, ngram_share)
+    data, words = train(docs.filter(~held_out).select(text_bytes().alias("text")), scratch, unigram_share, ngram_share)
     name = share_file(docs.sparkSession, "lm-trie", data)
     whole = Trie(data)
     tokens, log_total = whole.tokens, float(np.log10(whole.tokens + ADDED * (whole.words + 1)))
@@ -368,18 +404,18 @@ def score_documents(
     def run(rows: dict) -> dict:
         trie, known = opened(name)
         texts = [[*lowered_words(t), END] for t in rows["text"]]
-        ids, before, before2, owner = token_arrays(known, texts)
+        ids, before, owner = token_arrays(known, texts)
         n = len(texts)
-        model = np.bincount(owner, trie.scores(ids, before, before2), n)
+        model = np.bincount(owner, trie.scores(ids, before), n)
         there = ids >= 0
         base = np.bincount(owner, np.where(there, trie.log1[np.where(there, ids, 0)] if len(trie.log1) else 0.0, 0.0), n)
         rare: list[list] = [[] for _ in range(n)]
-        flat = [w for words in texts for w in words]
+        flat = list(chain.from_iterable(texts))
         by_doc: dict[int, Counter] = defaultdict(Counter)
         for i in np.nonzero(~there)[0].tolist():
             by_doc[owner[i]][flat[i]] += 1
-        for d, words in by_doc.items():
-            rare[d] = [{"h": int(np.uint64(xxhash.xxh64_intdigest(w)).astype(np.int64)), "n": c} for w, c in words.items()]
+        for d, own in by_doc.items():
+            rare[d] = [{"h": (h := xxhash.xxh64_intdigest(w)) - (h >> 63 << 64), "n": c} for w, c in own.items()]
         return {
             "n_tokens": [len(t) for t in texts], "n_frequent": np.bincount(owner, there, n).astype(np.int64),
             "base": base, "model": model, "rare": rare,
@@ -391,7 +427,7 @@ def score_documents(
     )
     parts = scratch.write(parts, "parts")  # fixes each row's own id
     rare = parts.select("_row", F.explode("rare").alias("r")).select("_row", "r.h", "r.n")
-    summed = rare.join(counted.select("h", "c"), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    summed = rare.join(words.select("h", "c"), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     summed = summed.groupBy("_row").agg(
         F.sum(F.col("n") * (F.log10(F.col("c") + ADDED) - log_total)).alias("extra"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("seen"),

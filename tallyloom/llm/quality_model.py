@@ -8,6 +8,7 @@ the mean of their weights is the model, a sparse vector of at most DIM entries.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,22 +28,31 @@ SHAPES = bytes(
     ord("a") if 97 <= c <= 122 or c >= 128 else ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57 else c for c in range(256)
 )
 _runs = re.compile(rb"(.)\1+", re.S)
-_words: dict[bytes, int] = {}
-_shapes: dict[bytes, int] = {}
+_place: dict[bytes, int] = {}
+_hashes_at = np.zeros((2, MAX_REMEMBERED), np.uint64)
 
 
 def _hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    try:
-        return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words)), np.fromiter(map(_shapes.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        if len(_words) > MAX_REMEMBERED:
-            _words.clear()
-            _shapes.clear()
-        for w in words:
-            if w not in _words:
-                _words[w] = xxhash.xxh64_intdigest(w.translate(LOWER_ASCII), 1)
-                _shapes[w] = xxhash.xxh64_intdigest(_runs.sub(rb"\1", w.translate(SHAPES)), 2)
-        return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words)), np.fromiter(map(_shapes.__getitem__, words), np.uint64, len(words))
+    """Hashes of the words and of their shapes, remembered up to a bound of words."""
+    at = np.fromiter(map(_place.get, words, repeat(-1)), np.int64, len(words))
+    new = np.nonzero(at < 0)[0].tolist()
+    if len(_place) + len(new) > MAX_REMEMBERED:
+        _place.clear()
+        if len(words) > MAX_REMEMBERED:  # one text with more words than are remembered
+            pairs = [_hash(w) for w in words]
+            return np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.uint64)
+        return _hashes(words)
+    for i in new:
+        w = words[i]
+        if w not in _place:
+            _hashes_at[:, len(_place)] = _hash(w)
+            _place[w] = len(_place)
+        at[i] = _place[w]
+    return _hashes_at[0, at], _hashes_at[1, at]
+
+
+def _hash(w: bytes) -> tuple[int, int]:
+    return xxhash.xxh64_intdigest(w.translate(LOWER_ASCII), 1), xxhash.xxh64_intdigest(_runs.sub(rb"\1", w.translate(SHAPES)), 2)
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:

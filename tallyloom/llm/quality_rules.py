@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import SPACE
+from tallyloom.llm.common import SPACE, Scratch
 
 #: Phrases of page furniture, looked for in lines of at most MAX_FURNITURE characters.
 BOILERPLATE = (
@@ -121,9 +121,12 @@ def clean(docs: DataFrame, min_left: float = 0.5) -> DataFrame:
 
     All other columns stay as they are, whatever their names.
     """
-    packed = docs.select(F.col("text"), F.struct("*").alias("_row"))
-    passed = judge(packed, ["_row"], min_left).filter("kept")
-    row = F.col("_row").withField("text", F.col("clean_text"))
-    if "n_chars" in docs.columns:
-        row = row.withField("n_chars", F.length("clean_text").cast(docs.schema["n_chars"].dataType))
-    return passed.select(row.alias("_row")).select("_row.*")
+    names = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    packed = docs.select("text", *[F.col(c).alias(n) for c, n in names.items()])
+    # Written before it is filtered: a filter would be pushed below the projections, and every measure computed in it again.
+    judged = judge(packed, list(names.values()), min_left).select(*names.values(), "clean_text", "kept")
+    passed = Scratch(docs.sparkSession, "quality-rules").write(judged, "judged").filter("kept")
+    new = {"text": F.col("clean_text")}
+    if "n_chars" in names:
+        new["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
+    return passed.select(*[new.get(c, F.col(names.get(c, c))).alias(c) for c in docs.columns])
