@@ -4,9 +4,11 @@ Counts. Words of all training texts are counted; then pairs, and then triples, o
 is frequent when its share of all tokens is at least UNIGRAM_SHARE or NGRAM_SHARE, so a level never holds more than the
 inverse of that share: the bound of what is sent to the executors, the same for any input.
 
-Trie. Level 1 is the sorted hashes of frequent words, whose positions are their ids. Level 2 is the sequence of
-(context id, word id), level 3 of (position of a pair, the last word's place among the successors of the middle word): a
-context-relative id. All are monotone, kept in Elias-Fano form, and searched by successor from the high bits.
+Trie. Level 1 is the sorted hashes of frequent words, whose positions are their ids. Level 2 holds the successors of each
+word, level 3 those of each pair, by the last word's place among the successors of the middle word: a context-relative id.
+Monotone pointers say where a context's successors start; a successor's key is its id spread evenly over the room that its
+context takes up, so keys rise through the level and are as dense under a frequent context as under a rare one. Levels are
+kept in Elias-Fano form and searched by successor from the high bits.
 Probabilities and back-off weights are quantised to 256 values a level. Executors map the file into memory.
 
 Smoothing. Absolute discounting, interpolated with the next lower order, down to additive unigrams; what pruning leaves out
@@ -39,6 +41,14 @@ END = b"\n"  # no word holds white space
 ADDED = 0.1
 
 
+SHIFT = 24  # a place among at most 2^SHIFT
+
+
+def spread(first: np.ndarray, fan: np.ndarray, place: np.ndarray, room: np.ndarray | int) -> np.ndarray:
+    """Keys of successors at ``place`` of ``room`` in contexts whose ``fan`` successors start at ``first``; rising, distinct."""
+    return ((first << SHIFT) + (place << SHIFT) // room * fan).astype(np.uint64)
+
+
 class EliasFano:
     """A monotone sequence of integers: low bits packed, high bits as a unary bit string.
 
@@ -124,7 +134,7 @@ def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Trie:
     """The memory-mapped model. ``tokens``: all training tokens (N); ``words``: distinct ones (V)."""
 
-    HEADER = struct.Struct("<QQ8Q")
+    HEADER = struct.Struct("<QQ9Q")
 
     def __init__(self, source: str | bytes):
         data = np.frombuffer(source, np.uint8) if isinstance(source, bytes) else np.memmap(source, np.uint8, "r")
@@ -141,10 +151,10 @@ class Trie:
         n2 = self.level2.n if self.level2 else 0
         self.backoff1, self.prob2, self.backoff2 = parts[3][: n1 + 1], parts[5][:n2], parts[5][n2 : 2 * n2]
         self.prob3 = parts[5][2 * n2 :]
-        self.first = parts[7].view("<u4")  # where a context's successors start in level 2
-        self.fans = np.diff(self.first.astype(np.int64))
-        self.fan = int(self.fans.max()) + 1
-        self.bos, self.width = n1, np.uint64(n1 + 1)
+        # Pointers: where the successors of a word, of a pair, start; decoded once.
+        self.first, self.third = parts[7].view("<u4").astype(np.int64), parts[8].view("<u4").astype(np.int64)
+        self.fans, self.fans3 = np.diff(self.first), np.diff(self.third)
+        self.bos, self.width = n1, n1 + 1
         with np.errstate(divide="ignore"):
             self.log1 = self.unigram(self.counts.astype(np.float64))
 
@@ -164,27 +174,27 @@ class Trie:
         c2 = c2.astype(np.float64)
         left1 = np.maximum(1e-12, 1 - np.bincount(a, (c2 - DISCOUNT) / context[a], width) if len(a) else np.ones(width))
         p2 = (c2 - DISCOUNT) / context[a] + left1[a] * p1[b] if len(a) else np.zeros(0)
-        first = np.searchsorted(a, np.arange(width + 1)).astype("<u4")
+        first = np.searchsorted(a, np.arange(width + 1))
+        third = np.zeros(len(key2) + 1, np.int64)
+        fans = np.diff(first)
         key3 = np.zeros(0, np.uint64)
         p3, left2 = np.zeros(0), np.ones(len(key2))
         if triples is not None and len(triples[0]):
             parent, last, c3 = triples
             middle = b[parent]
             place = np.searchsorted(key2, (middle * width + last).astype(np.uint64))
-            key3 = (parent * (1 << 32) + (place - first[middle])).astype(np.uint64)
-            order = np.argsort(key3)
-            key3, parent, place, c3 = key3[order], parent[order], place[order], c3[order].astype(np.float64)
+            order = np.lexsort((place, parent))
+            parent, place, middle, c3 = parent[order], place[order], middle[order], c3[order].astype(np.float64)
+            third = np.searchsorted(parent, np.arange(len(key2) + 1))
+            key3 = spread(third[parent], np.diff(third)[parent], place - first[middle], fans[middle])
             left2 = np.maximum(1e-12, 1 - np.bincount(parent, (c3 - DISCOUNT) / c2[parent], len(key2)))
             p3 = (c3 - DISCOUNT) / c2[parent] + left2[parent] * p2[place]
-            # The last word's place is below the largest number of successors: a dense key packs better.
-            fan = np.uint64(int(np.diff(first).max()) + 1)
-            key3 = (key3 >> np.uint64(32)) * fan + (key3 & np.uint64(0xFFFFFFFF))
         q = [quantised(np.log10(v)) for v in (p2, p3, left1, left2)]
         books = np.stack([x[0] for x in q]).astype("<f8")
         parts = [
-            EliasFano.build(hashes) if n1 else b"", counts.astype("<u8").tobytes(), EliasFano.build(key2) if len(key2) else b"",
+            EliasFano.build(hashes) if n1 else b"", counts.astype("<u8").tobytes(), EliasFano.build(spread(first[a], fans[a], b, width)) if len(key2) else b"",
             q[2][1].tobytes(), EliasFano.build(key3) if len(key3) else b"", q[0][1].tobytes() + q[3][1].tobytes() + q[1][1].tobytes(),
-            books.tobytes(), first.tobytes(),
+            books.tobytes(), first.astype("<u4").tobytes(), third.astype("<u4").tobytes(),
         ]
         return cls.HEADER.pack(tokens, words, *map(len, parts)) + b"".join(p + b"\0" * (-len(p) % 8) for p in parts)
 
@@ -194,16 +204,17 @@ class Trie:
         if self.level2 is not None:
             known = np.nonzero((a >= 0) & (b >= 0))[0]
             ok = known[self.fans[a[known]] > 0]
-            out[ok] = self.level2.find(a[ok].astype(np.uint64) * self.width + b[ok].astype(np.uint64))
+            out[ok] = self.level2.find(spread(self.first[a[ok]], self.fans[a[ok]], b[ok], self.width))
         return out
 
     def triple_at(self, ab: np.ndarray, bc: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Positions in level 3: the pair's successors searched for the last word's place among those of the middle one."""
         out = np.full(len(ab), -1, np.int64)
         if self.level3 is not None:
-            ok = np.nonzero((ab >= 0) & (bc >= 0))[0]
-            place = bc[ok] - self.first[b[ok]].astype(np.int64)
-            out[ok] = self.level3.find(ab[ok].astype(np.uint64) * np.uint64(self.fan) + place.astype(np.uint64))
+            known = np.nonzero((ab >= 0) & (bc >= 0))[0]
+            ok = known[self.fans3[ab[known]] > 0]
+            place = bc[ok] - self.first[b[ok]]
+            out[ok] = self.level3.find(spread(self.third[ab[ok]], self.fans3[ab[ok]], place, self.fans[b[ok]]))
         return out
 
     def pairs_at(self, ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
