@@ -56,8 +56,11 @@ def parse_records(df: DataFrame, schema: T.StructType | str, value: str = "value
 
 def score_logs(df: DataFrame) -> DataFrame:
     """Hour, severity and alert flag of log records."""
+    moment = F.col("timestamp")
+    if not isinstance(df.schema["timestamp"].dataType, (T.TimestampType, T.TimestampNTZType)):
+        moment = F.try_to_timestamp(moment.cast("string"))
     return df.withColumns(
-        {"hour": F.hour(F.try_to_timestamp(F.col("timestamp").cast("string"))), "severity": severity("level"), "alert_required": alert_required("level")}
+        {"hour": F.hour(moment), "severity": severity("level"), "alert_required": alert_required("level")}
     )
 
 

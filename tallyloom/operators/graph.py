@@ -10,7 +10,7 @@ from tallyloom.session import checkpointed, scratch_path
 from tallyloom.sources import folders
 
 
-def dag_levels(edges: DataFrame, nodes: DataFrame, max_levels: int = 1000) -> DataFrame:
+def dag_levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Level of each node: the length of the longest path that leads to it.
 
     ``edges`` has src and dst, ``nodes`` has id. Nodes without edges get level 0. Nodes on a cycle, or behind one, get
@@ -42,8 +42,6 @@ def dag_levels(edges: DataFrame, nodes: DataFrame, max_levels: int = 1000) -> Da
     level = 0
     frontier, waiting = write_round(first, level)
     while not frontier.isEmpty() and not waiting.isEmpty():
-        if level == max_levels:
-            raise ValueError(f"the graph is deeper than {max_levels} levels")
         closed = links.join(frontier.withColumnRenamed("id", "src"), "src", "left_semi").groupBy("dst").agg(F.count(F.lit(1)).alias("closed"))
         left = waiting.join(closed, waiting["id"] == closed["dst"], "left").select(
             "id", (F.col("open") - F.coalesce("closed", F.lit(0))).alias("open")

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.measures import cents, is_double
-from tallyloom.sources.tables import largest_bucket, table_location
+from tallyloom.functions.measures import UNITS, is_double, units
+from tallyloom.sources.tables import largest_bucket, table_location, table_options
 
 BROADCAST_LIMIT = 25_000_000
 
@@ -87,10 +87,13 @@ def repeat_day_customers(
     without customer or day match nothing. One pass: days and products are two grouping sets of one pre-aggregated
     exchange.
     """
-    amounts = cents(F.col(amount)) if is_double(tx, amount) else (F.col(amount) * 100).cast("long")
-    kept = tx.filter(F.col(customer).isNotNull() & F.col(day).isNotNull()).select(customer, day, product, amounts.alias("cents"))
+    # Whole numbers of the amount's smallest unit.
+    kind = tx.schema[amount].dataType
+    per_one = UNITS if is_double(tx, amount) else 10 ** getattr(kind, "scale", 0)
+    amounts = units(F.col(amount)) if is_double(tx, amount) else (F.col(amount) * per_one).cast("long")
+    kept = tx.filter(F.col(customer).isNotNull() & F.col(day).isNotNull()).select(customer, day, product, amounts.alias("units"))
     items = kept.groupingSets([[customer, day], [customer, product]], customer, day, product).agg(
-        F.grouping(day).alias("by_product"), F.count(F.lit(1)).alias("n"), F.sum("cents").alias("s")
+        F.grouping(day).alias("by_product"), F.count(F.lit(1)).alias("n"), F.sum("units").alias("s")
     )
     on_day = F.col("by_product") == 0
     # Products of sums and counts outgrow a long, so from here on they are whole-number decimals.
@@ -103,7 +106,7 @@ def repeat_day_customers(
         F.count(F.when(~on_day, F.col(product))).alias("unique_products"),
     )
     return per_customer.filter(F.col("days") > 1).select(
-        customer, "unique_products", ((F.col("spent") * F.col("rows") - F.col("same_day")).cast("double") / 100).alias("total_spent")
+        customer, "unique_products", ((F.col("spent") * F.col("rows") - F.col("same_day")).cast("double") / per_one).alias("total_spent")
     )
 
 
@@ -128,7 +131,7 @@ def bucketed_scan(spark: SparkSession, table: str, max_bucket_bytes: int = MAX_B
     if largest_bucket(spark, table) <= max_bucket_bytes:
         return spark.table(table)
     provider, path = table_location(spark, table)
-    return spark.read.schema(spark.table(table).schema).format(provider).load(path)
+    return spark.read.schema(spark.table(table).schema).format(provider).options(**table_options(spark, table)).load(path)
 
 
 def bucketed_join(

@@ -101,15 +101,28 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_as_written(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet folder with the columns of all its files, and partition values as the text of their folder names."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 def compact(spark: SparkSession, path: str, target_bytes: int = 256 * 1024**2, by: Sequence[str] = ()) -> int:
     """Rewrite a Parquet folder into files of about ``target_bytes``; returns how many the plain layout gets.
 
     A plain folder is rewritten without a shuffle by merging scan tasks, unless the target is smaller than what one
     scan task reads. A partitioned one is shuffled by partition
     value and, for values above the target, by a hash of the row, so that no value is one task's work. The result is
-    written beside the folder and switched in.
+    written beside the folder and switched in, once it holds as many rows and the same columns. Columns that only some
+    files have are kept, and partition values stay the text of their folder names.
     """
-    rows = spark.read.parquet(path)
+    source = read_as_written(spark, path)
+    rows = source
     files = max(1, math.ceil(folders.folder_bytes(spark, path) / target_bytes))
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     if not by:
@@ -127,6 +140,10 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 256 * 1024**2, b
         piece = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in by]), F.col("pieces"))
         placed = sized.withColumn("piece", piece).repartition(*by, "piece").select(*rows.columns)
         placed.write.partitionBy(*by).parquet(staged)
+    done = read_as_written(spark, staged)
+    if done.count() != source.count() or set(done.columns) != set(source.columns):
+        folders.delete(spark, staged)
+        raise ValueError(f"{path} changed while it was compacted")
     folders.switch(spark, staged, path)
     return files
 

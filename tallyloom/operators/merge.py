@@ -6,6 +6,8 @@ Target keys are unique and sources are reduced to one row per key before the joi
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,11 +91,16 @@ def upsert_partitions(
 ) -> None:
     """:func:`upsert` into a Parquet table partitioned by ``by``, rewriting only the partitions the source touches.
 
-    A key must stay in its partition. The new state is written beside the table first, since a folder cannot be
-    overwritten while it is read; the touched folders are then replaced.
+    A key must stay in its partition: one that the table holds elsewhere is refused, as it would be there twice. Columns
+    that older files lack are kept. The new state is written beside the table first, since a folder cannot be overwritten
+    while it is read; the touched folders are then replaced.
     """
-    target = spark.read.parquet(path)
-    affected = target.filter(in_partitions_of(target, source, by))
+    target = read_evolved(spark, path)
+    touched = in_partitions_of(target, source, by)
+    moved = target.filter(~touched).join(source.select(*keys), list(keys), "left_semi")
+    if not moved.isEmpty():
+        raise ValueError("a key of the source lies in another partition of the table")
+    affected = target.filter(touched)
     scratch = scratch_path(spark, "upsert")
     merged = checkpointed(spark, upsert(affected, source, keys, ts, **options), "upsert", scratch)
     write_partitioned(merged, path, by)
@@ -127,15 +134,29 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], ts: str = "changed_a
     return latest_per_key(ranked, list(keys), ts, [*tiebreak, "strength", *others]).drop("strength")
 
 
+OPERATIONS = ("c", "u", "d", "r")
+
+
+def usable_change(keys: Sequence[str]) -> Column:
+    """Whether a flat change has its key and an operation: create, update, delete, or read (a snapshot's create)."""
+    return reduce(and_, [F.col(k).isNotNull() for k in keys], F.coalesce(F.col("operation").isin(*OPERATIONS), F.lit(False)))
+
+
+def rejected_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Flat changes that :func:`apply_cdc` cannot apply, broken envelopes among them, for a dead-letter output."""
+    return changes.filter(~usable_change(list(keys)))
+
+
 def apply_cdc(target: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str = "changed_at", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Target after a batch of flat changes: the last change per key decides; applying a batch twice changes nothing.
 
-    A create or update sets the row, a delete removes it. A delete of an unknown key does nothing.
+    A create or update sets the row, a delete removes it. A delete of an unknown key does nothing. Changes without a full
+    key or a known operation are not applied; :func:`rejected_changes` returns them.
     """
     keys = list(keys)
-    last = latest_changes(changes.filter(F.col(keys[0]).isNotNull()), keys, ts, tiebreak)
+    last = latest_changes(changes.filter(usable_change(keys)), keys, ts, tiebreak).withColumn("_change", F.lit(True))
     joined = target.alias("t").join(last.alias("s"), _on(keys), "full_outer")
-    changed = F.col("s.operation").isNotNull()
+    changed = F.col("s._change").isNotNull()
     kept = joined.filter(~changed | (F.col("s.operation") != "d"))
     values = set(changes.columns)
     return kept.select(

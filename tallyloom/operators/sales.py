@@ -6,6 +6,7 @@ transaction totals (``functions.measures``). Global sorts run on aggregated rows
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tallyloom.functions.columns import LOYALTY_LABELS, SPEND_BOUNDS, VALUE_LABELS, discount_band, segment
-from tallyloom.functions.measures import cents, is_double, mean, row_count, total
+from tallyloom.functions.measures import UNITS, is_double, mean, row_count, total, units
 from tallyloom.functions.parsing import currency, hour_of, safe_number
 
 
@@ -227,15 +228,25 @@ def big_ticket_categories(tx: DataFrame, min_amount: float = 100, min_total: flo
     )
 
 
+def _days(tx: DataFrame, year: int, months: Sequence[int] = (1, 12)) -> DataFrame:
+    """Rows between the first and the last of some months, a range of dates that a scan can push down; where the table
+    holds no date, all rows. The exact year and months are for the caller to ask for."""
+    if "transaction_date" not in tx.columns or not months:
+        return tx
+    last = max(months)
+    until = dt.date(year + (last == 12), last % 12 + 1, 1)
+    return tx.filter((F.col("transaction_date") >= F.lit(dt.date(year, min(months), 1))) & (F.col("transaction_date") < F.lit(until)))
+
+
 def category_revenue_for(tx: DataFrame, year: int, months: Sequence[int]) -> DataFrame:
     """Revenue per category in some months of a year; on a table partitioned by year and month only those are read."""
-    rows = tx.filter((F.col("year") == year) & F.col("month").isin(*months))
+    rows = _days(tx, year, months).filter((F.col("year") == year) & F.col("month").isin(*months))
     return _by(rows, ["category"], revenue=total(tx, "total_amount"), transactions=row_count(tx))
 
 
 def category_month(tx: DataFrame, year: int) -> DataFrame:
     return _by(
-        tx.filter(F.col("year") == year),
+        _days(tx, year).filter(F.col("year") == year),
         ["category", "year", "month"],
         revenue=total(tx, "total_amount"),
         avg_transaction=mean(tx, "total_amount"),
@@ -325,7 +336,7 @@ def slice_metrics(tx: DataFrame, order: Sequence[str | Column], size: int = 100,
     so_far = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = slices.withColumn("transactions", F.sum("n").over(so_far))
     if is_double(slices, "amount"):
-        running = running.withColumn("revenue", F.sum(cents(F.col("amount"))).over(so_far).cast("double") / 100)
+        running = running.withColumn("revenue", F.sum(units(F.col("amount"))).over(so_far).cast("double") / UNITS)
     else:
         running = running.withColumn("revenue", F.sum("amount").over(so_far))
     return running.select(

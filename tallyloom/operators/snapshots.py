@@ -29,8 +29,12 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
 
 
 def write_snapshot(df: DataFrame, path: str, operation: str = "WRITE", version: int | None = None, now: dt.datetime | None = None) -> int:
-    """Store a new version and return its number; giving the number makes a retry of the same write safe."""
+    """Store a new version and return its number; giving the number makes a retry of the same write safe.
+
+    Without a number, a version that another writer has recorded meanwhile is refused instead of replaced.
+    """
     spark = df.sparkSession
+    given = version
     if version is None:
         newest = latest_version(spark, path)
         version = 0 if newest is None else newest + 1
@@ -38,7 +42,7 @@ def write_snapshot(df: DataFrame, path: str, operation: str = "WRITE", version:
     df.write.mode("overwrite").parquet(data)
     moment = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     record = spark.read.schema(df.schema).parquet(data).agg(F.count(F.lit(1)).alias("rows"))
-    record.select(F.lit(operation).alias("operation"), "rows", moment.alias("committed_at")).write.mode("overwrite").parquet(
+    record.select(F.lit(operation).alias("operation"), "rows", moment.alias("committed_at")).write.mode("overwrite" if given is not None else "errorifexists").parquet(
         f"{path}/_history/version={version}"
     )
     return version
@@ -59,7 +63,7 @@ def history(spark: SparkSession, path: str) -> DataFrame:
 
 def expire_snapshots(spark: SparkSession, path: str, hours: float = 168, now: dt.datetime | None = None) -> list[int]:
     """Drop versions older than the retention, never the newest; returns their numbers."""
-    cutoff = (F.current_timestamp() if now is None else F.lit(now).cast("timestamp")) - F.make_dt_interval(hours=F.lit(int(hours)))
+    cutoff = (F.current_timestamp() if now is None else F.lit(now).cast("timestamp")) - F.make_dt_interval(secs=F.lit(hours * 3600).cast("decimal(18,6)"))
     newest = latest_version(spark, path)
     old = history(spark, path).filter((F.col("committed_at") < cutoff) & (F.col("version") != newest))
     expired = sorted(r["version"] for r in old.select("version").collect())

@@ -173,7 +173,7 @@ def big_ticket_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(TX + f"SELECT category, {REVENUE} AS revenue, count(*) AS transactions FROM tx WHERE year = {YEAR} AND month IN {MONTHS} GROUP BY category")
 def category_revenue_for(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales.category_revenue_for(transactions(spark, sf_dir, ["category", "year", "month", "total_amount"]), YEAR, MONTHS)
+    return sales.category_revenue_for(transactions(spark, sf_dir, ["category", "transaction_date", "year", "month", "total_amount"]), YEAR, MONTHS)
 
 
 @query(
@@ -181,7 +181,7 @@ def category_revenue_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f"SELECT category, year, month, {REVENUE} AS revenue, {MEAN} AS avg_transaction, count(*) AS transaction_count FROM tx WHERE year = {YEAR} GROUP BY category, year, month"
 )
 def category_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales.category_month(transactions(spark, sf_dir, ["category", "year", "month", "total_amount"]), YEAR)
+    return sales.category_month(transactions(spark, sf_dir, ["category", "transaction_date", "year", "month", "total_amount"]), YEAR)
 
 
 SUMMARY_SQL = (
@@ -345,3 +345,16 @@ def constants_on_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
         & F.col("o_totalprice").between(1000, 200000)
     )
     return enrichment.with_constants(orders.select("o_orderkey"), data_source="shop", revision=3)
+
+
+@query(
+    """SELECT p_type AS category, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS total_revenue,
+              count(*) AS transaction_count,
+              CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) / count(*) AS avg_transaction_value
+       FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY p_type"""
+)
+def net_category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category revenue of discounted prices, which carry four decimals."""
+    lines = load(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("total_amount"))
+    parts = load(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("category"))
+    return sales.category_revenue(lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left"))

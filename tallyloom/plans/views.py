@@ -72,10 +72,11 @@ def _orders(spark: SparkSession, sf_dir: str, wanted: Iterable[str]) -> DataFram
     return orders.select("o_orderkey", *[_columns()[1][c].alias(c) for c in wanted])
 
 
-def _base(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str]) -> DataFrame:
-    """As many columns of a table as the view takes from it: what a broadcast of that dimension would hold."""
-    df = load(spark, sf_dir, name)
-    return df.select(*df.columns[: 1 + len(list(columns))])
+def _base(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
+    """The order columns that the view takes: what a broadcast of that dimension would hold, before cities are joined to it."""
+    columns = list(columns)
+    city = [F.lit(" " * 25).alias("city")] * ("city" in columns)
+    return _orders(spark, sf_dir, [c for c in columns if c != "city"]).select("*", *city)
 
 
 def _products(spark: SparkSession, sf_dir: str, wanted: Iterable[str]) -> DataFrame:
@@ -96,7 +97,7 @@ def transactions(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
     )
     if from_orders:
         orders = _orders(spark, sf_dir, from_orders)
-        rows = _lookup(rows, orders, F.col("l_orderkey") == F.col("o_orderkey"), _base(spark, sf_dir, "orders", from_orders))
+        rows = _lookup(rows, orders, F.col("l_orderkey") == F.col("o_orderkey"), _base(spark, sf_dir, from_orders))
     if from_products:
         products = _products(spark, sf_dir, from_products)
         rows = _lookup(rows, products, F.col("l_partkey") == F.col("p_partkey"), products)
@@ -119,7 +120,7 @@ def transaction_totals(
         dimension = base = _products(spark, sf_dir, by)
     elif all(c in order_cols for c in by):
         key, other_key = "l_orderkey", "o_orderkey"
-        dimension, base = _orders(spark, sf_dir, by), _base(spark, sf_dir, "orders", by)
+        dimension, base = _orders(spark, sf_dir, by), _base(spark, sf_dir, by)
     else:
         return transactions(spark, sf_dir, [*by, *measures])
     if any(m not in fact_cols for m in measures) or fits_broadcast(base):

@@ -16,6 +16,14 @@ def table_location(spark: SparkSession, table: str) -> tuple[str, str]:
     return described["Provider"], described["Location"]
 
 
+def table_options(spark: SparkSession, table: str) -> dict[str, str]:
+    """The reader's options that a table was created with."""
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    given = described.get("Storage Properties", "").strip("[]")
+    pairs = (p.partition("=") for p in given.split(", ") if "=" in p)
+    return {k: v for k, _, v in pairs if k not in ("path", "serialization.format")}
+
+
 def bucket_bytes(spark: SparkSession, table: str) -> DataFrame:
     """Files and bytes per bucket of a bucketed table, from its file names."""
     _, path = table_location(spark, table)

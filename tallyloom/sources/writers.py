@@ -29,22 +29,34 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", on_conflict: str = "fa
 def write_single(df: DataFrame, path: str, fmt: str = "parquet", max_bytes: int = 256 * 1024**2) -> None:
     """A small result as one file.
 
-    The result is first written by all tasks. Only if that turned out no larger than ``max_bytes`` is it rewritten as
-    one file, so a large result never passes through one task; it keeps its many files instead.
+    The result is first written by all tasks. If that turned out larger than ``max_bytes`` it is refused, since one file
+    would be one task's work.
     """
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     df.write.parquet(staged)
-    small = folders.folder_bytes(spark, staged) <= max_bytes
-    rows = spark.read.schema(df.schema).parquet(staged)
-    (rows.coalesce(1) if small else rows).write.format(fmt).mode("overwrite").save(path)
+    size = folders.folder_bytes(spark, staged)
+    if size > max_bytes:
+        folders.delete(spark, staged)
+        raise ValueError(f"{size} bytes are too many for a single file of at most {max_bytes}")
+    spark.read.schema(df.schema).parquet(staged).coalesce(1).write.format(fmt).mode("overwrite").save(path)
     folders.delete(spark, staged)
 
 
 def append(df: DataFrame, table: str, fmt: str = "parquet", by: Sequence[str] = (), path: str | None = None) -> None:
-    """Add rows to a table, creating it if needed; an existing table is matched by column name."""
-    if df.sparkSession.catalog.tableExists(table):
-        df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+    """Add rows to a table, creating it if needed; an existing table is matched by column name.
+
+    Columns that the table lacks are added to it (older rows show null there); those that ``df`` lacks are null.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        known = spark.table(table)
+        new = [f for f in df.schema.fields if f.name not in known.columns]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+            known = spark.table(table)
+        given = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in known.schema.fields]
+        df.select(*given).write.insertInto(table)
         return
     writer = df.write.format(fmt).partitionBy(*by)
     (writer.option("path", path) if path else writer).saveAsTable(table)

@@ -107,3 +107,12 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(local) == shared_dir(local)
     assert scratch_path(spark, "a").startswith(f"{shared_dir(spark)}/a-")
     assert checkpointed(spark, spark.range(3), "kept").count() == 3
+
+
+def test_compaction_keeps_columns_and_folder_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "06"), (2, "07")], "id int, mm string").write.partitionBy("mm").parquet(path)
+    spark.createDataFrame([(3, "06", "x")], "id int, mm string, note string").write.mode("append").partitionBy("mm").parquet(path)
+    layout.compact(spark, path, by=["mm"])
+    got = layout.read_as_written(spark, path).select("id", "mm", "note").collect()
+    assert sorted(map(tuple, got)) == [(1, "06", None), (2, "07", None), (3, "06", "x")]

@@ -141,3 +141,29 @@ def test_migrate_reports_a_match(spark, tmp_path):
     spark.range(50).selectExpr("id", "id % 3 as g", "cast(id as decimal(10,2)) as v").createOrReplaceTempView("to_migrate")
     report = snapshots.migrate(spark, "to_migrate", str(tmp_path / "m"), ["g"], "g", "v").first()
     assert report["matches"] and report["source_count"] == 50 and report["groups"] == 3
+
+
+def test_changes_without_operation_or_key_are_rejected(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    changes = spark.createDataFrame(
+        [(1, "x", None, 5), (3, "y", None, 5), (None, "z", "u", 5), (2, None, "d", 5), (4, "w", "c", 5), (5, "q", "?", 5)],
+        "id int, v string, operation string, t int",
+    ).selectExpr("id", "v", "operation", "timestamp_seconds(t) AS changed_at")
+    assert rows(merge.apply_cdc(target, changes, ["id"])) == [(1, "a"), (4, "w")]
+    assert rows(merge.rejected_changes(changes, ["id"]).select("v")) == [("q",), ("x",), ("y",), ("z",)]
+
+
+def test_retention_below_an_hour_and_a_second_writer(spark, tmp_path):
+    path, now = str(tmp_path / "t"), dt.datetime(2024, 1, 1, 12)
+    for minutes in (40, 10, 0):
+        snapshots.write_snapshot(spark.range(3), path, now=now - dt.timedelta(minutes=minutes))
+    assert snapshots.expire_snapshots(spark, path, hours=0.5, now=now) == [0]
+    assert snapshots.latest_version(spark, path) == 2
+
+
+def test_a_key_must_stay_in_its_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id int, p string, t int").selectExpr("id", "p", "timestamp_seconds(t) AS timestamp").write.partitionBy("p").parquet(path)
+    moved = spark.createDataFrame([(1, "b", 9)], "id int, p string, t int").selectExpr("id", "p", "timestamp_seconds(t) AS timestamp")
+    with pytest.raises(ValueError):
+        merge.upsert_partitions(spark, path, moved, ["id"], ["p"])

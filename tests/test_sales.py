@@ -89,3 +89,17 @@ def test_totals_without_broadcast_sum_before_the_join(spark, setting):
     assert "row_weight" in totals.columns
     exchanges = totals._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(l_partkey")
     assert exchanges == 1  # the join reuses the aggregation's exchange
+
+
+def test_no_amount_is_rounded(spark, rows):
+    tx = spark.range(1000).selectExpr("'a' AS category", "0.0004D AS total_amount")
+    assert rows(sales.category_revenue(tx).select("total_revenue")) == [(0.4,)]
+    with pytest.raises(Exception, match="more than 4 decimals"):
+        sales.category_revenue(tx.selectExpr("category", "total_amount / 7 AS total_amount")).collect()
+
+
+def test_a_month_of_a_year_reaches_the_scan_as_dates(spark):
+    tx = transactions(spark, SMALL, ["category", "transaction_date", "year", "month", "total_amount"])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = sales.category_revenue_for(tx, 1998, [6, 7])._jdf.queryExecution().explainString(mode)
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan

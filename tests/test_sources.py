@@ -121,7 +121,8 @@ def test_write_single(spark, tmp_path):
     path = tmp_path / "one"
     writers.write_single(spark.range(100).repartition(4), str(path))
     assert len(list(path.glob("part-*"))) == 1
-    writers.write_single(spark.range(100).repartition(4), str(path), max_bytes=1)
+    with pytest.raises(ValueError):
+        writers.write_single(spark.range(100).repartition(4), str(path), max_bytes=1)
     assert spark.read.parquet(str(path)).count() == 100
     assert [p.name for p in tmp_path.iterdir()] == ["one"]
 
@@ -188,3 +189,11 @@ def test_kafka_layout(spark):
     assert kafka.kafka_options("b:1", "t")["maxOffsetsPerTrigger"] == "10000"
     message = kafka.as_messages(spark.createDataFrame([(1, "x")], "id int, v string"), "id").first()
     assert tuple(message) == ("1", '{"id":1,"v":"x"}')
+
+
+def test_append_adds_new_columns(spark):
+    spark.sql("DROP TABLE IF EXISTS appended")
+    writers.append(spark.createDataFrame([(1, "a")], "id int, name string"), "appended")
+    writers.append(spark.createDataFrame([("x", 2)], "note string, id int"), "appended")
+    assert sorted(map(tuple, spark.table("appended").collect())) == [(1, "a", None), (2, None, "x")]
+    spark.sql("DROP TABLE appended")
