@@ -78,4 +78,66 @@ QUERIES = {
         op8_lm_scoring, op9_html_extraction, op10_mixing,
     )
 }
-ORACLES: dict[str, str] = {}
+SPACE = r"[\x20\x09-\x0D]"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_RULES = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in RULES)
+_REST = "substr(url, strpos(url, '://') + 3)"
+_HAS = "url IS NOT NULL AND contains(url, '://')"
+_STOCK = "|".join(quality_rules.BOILERPLATE)
+
+ORACLES = {
+    "op1_url_filters": f"""
+WITH split AS (
+  SELECT page_id, CASE WHEN {_HAS} THEN translate(regexp_extract({_REST}, '^[^/?#]*'), '{UPPER}', '{LOWER}') ELSE '' END AS host,
+         CASE WHEN {_HAS} THEN regexp_extract({_REST}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+rules(verdict, rule, rule_host, rule_path) AS (VALUES {_RULES}),
+fits AS (
+  SELECT page_id, verdict, rule, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS place
+  FROM split JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT s.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM split s LEFT JOIN fits f ON s.page_id = f.page_id AND place = 1""",
+    "op3_quality_rules": f"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}+'), lambda x: x <> '') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w),
+grams AS (SELECT doc_id, i, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || ' ' || words[i+3] || ' ' || words[i+4] AS gram FROM starts),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(5)) AS k) GROUP BY doc_id),
+lines AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT doc_id, line, length(regexp_replace(line, '{SPACE}+', '', 'g')) AS chars,
+         length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > length(line) * CAST(0.1 AS DOUBLE)
+         OR len(regexp_extract_all(line, '!![ \t]|!!$')) >= 3
+         OR (length(line) <= 200 AND NOT regexp_matches(line, '[\pL\pN]'))
+         OR len(regexp_extract_all(line, '[ \t][|>»›·•/][ \t]')) >= 3
+         OR (length(line) <= {quality_rules.MAX_FURNITURE} AND regexp_matches(lower(line), '{_STOCK}')) AS fails
+  FROM lines),
+per AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, sum(chars) AS all_chars, sum(CASE WHEN fails THEN 0 ELSE chars END) AS left_chars
+  FROM judged GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         coalesce(all_chars, 0) AS all_chars, coalesce(left_chars, 0) AS left_chars
+  FROM w LEFT JOIN per USING (doc_id) LEFT JOIN covered c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_chars * 2 >= all_chars AS kept
+FROM m""",
+    "op4_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op6_line_dedup": f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+numbered AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM split),
+keyed AS (SELECT *, translate(regexp_replace(line, '^{SPACE}+|{SPACE}+$', '', 'g'), '{UPPER}', '{LOWER}') AS key FROM numbered),
+frequent AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT k.*, coalesce(last <> doc_id, false) AS gone FROM keyed k LEFT JOIN frequent USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+}
