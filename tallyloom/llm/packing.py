@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from collections import defaultdict
 
@@ -23,37 +24,76 @@ from tallyloom.llm.common import Scratch, arrow_map, text_bytes
 WINDOW = 4096
 #: Pieces of one length numbered by one task.
 CHUNK = 2000
-MAX_REMEMBERED = 400_000
+MAX_REMEMBERED = 300_000
 MAX_WORD = 64
 
 _state: dict = {}
 
 
-def _tokenizer(path: str):
+def _tokenizer(path: str) -> dict:
     if _state.get("path") != path:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _state.update(path=path, tokenizer=Tokenizer.from_file(path), words={})
-    return _state["tokenizer"], _state["words"]
+        tokenizer = Tokenizer.from_file(path)
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, i in tokenizer.get_vocab().items():
+            ends[i] = token.endswith("</w>")
+        _state.update(path=path, tokenizer=tokenizer, ends=ends, new={}, old={})
+    return _state
+
+
+#: Letters, then signs: one part for the tokenizer's own splitting, or two. Nothing here changes under its normalizer
+#: but for case, and nothing can be part of a special token.
+SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([!-&(-/:;=-@\[-`{-~]*)")
+
+
+def _encode(words: list[bytes]) -> list[bytes]:
+    """Ids of each word. Simple words go through the tokenizer as one text, cut again after the ids that end a part."""
+    state, out = _state, [b""] * len(words)
+    texts = [w.decode("utf-8", "replace") for w in words]
+    found = [SIMPLE.fullmatch(t) for t in texts]
+    simple = [i for i, m in enumerate(found) if m] if state["ends"].any() else []
+    if simple:
+        ids = np.array(state["tokenizer"].encode(" ".join(texts[i] for i in simple), add_special_tokens=False).ids, "<u4")
+        parts = np.cumsum([1 + bool(found[i].group(1)) for i in simple])
+        ends = np.nonzero(state["ends"][ids])[0] + 1
+        if len(ends) == parts[-1]:
+            cuts, data = [0, *(4 * ends[parts - 1]).tolist()], ids.tobytes()
+            for k, i in enumerate(simple):
+                out[i] = data[cuts[k] : cuts[k + 1]]
+        else:
+            simple = []
+    done = set(simple)
+    rest = [i for i in range(len(words)) if i not in done]
+    for i, e in zip(rest, state["tokenizer"].encode_batch([texts[i] for i in rest], add_special_tokens=False), strict=True):
+        out[i] = np.array(e.ids, "<u4").tobytes()
+    return out
 
 
 def token_ids(texts: list[bytes], path: str, end_id: int) -> list[bytes]:
     """Little-endian 32-bit ids of each text, then ``end_id``.
 
-    The tokenizer drops white space and never joins words across it, so a text's ids are those of its words; ids of short
-    words are remembered between calls, up to a bound.
+    The tokenizer drops white space and never joins words across it, so a text's ids are those of its words. Ids of short
+    words are remembered between calls, up to a bound; what was in use lately outlives the rest.
     """
-    tokenizer, known = _tokenizer(path)
-    if len(known) > MAX_REMEMBERED:
-        known.clear()
+    state = _tokenizer(path)
+    if len(state["new"]) > MAX_REMEMBERED:
+        state["old"], state["new"] = state["new"], {}
+    known, old = state["new"], state["old"]
     split = [t.split() for t in texts]
-    fresh = list({w for words in split for w in words if w not in known})
+    fresh = []
+    for w in {w for words in split for w in words}:
+        if w not in known:
+            if w in old:
+                known[w] = old[w]
+            else:
+                fresh.append(w)
     large = {}
     for at in range(0, len(fresh), 4096):
         some = fresh[at : at + 4096]
-        for w, e in zip(some, tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False), strict=True):
-            (known if len(w) <= MAX_WORD else large)[w] = np.array(e.ids, "<u4").tobytes()
+        for w, ids in zip(some, _encode(some), strict=True):
+            (known if len(w) <= MAX_WORD else large)[w] = ids
     end = np.array([end_id], "<u4").tobytes()
     if large:
         return [b"".join([large[w] if w in large else known[w] for w in words]) + end for words in split]

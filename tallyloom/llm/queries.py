@@ -110,7 +110,7 @@ judged AS (
   SELECT doc_id, line, length(regexp_replace(line, '{SPACE}+', '', 'g')) AS chars,
          length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > length(line) * CAST(0.1 AS DOUBLE)
          OR len(regexp_extract_all(line, '!![ \t]|!!$')) >= 3
-         OR (length(line) <= 200 AND NOT regexp_matches(line, '[\pL\pN]'))
+         OR (length(line) <= 200 AND NOT regexp_matches(line, '[\\pL\\pN]'))
          OR len(regexp_extract_all(line, '[ \t][|>»›·•/][ \t]')) >= 3
          OR (length(line) <= {quality_rules.MAX_FURNITURE} AND regexp_matches(lower(line), '{_STOCK}')) AS fails
   FROM lines),

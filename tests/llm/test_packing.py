@@ -101,3 +101,11 @@ def test_little_padding():
 @pytest.mark.parametrize("text", ["a<|endoftext|>b", "x" * 500, "don't we'll", " a b\x1cc"])
 def test_odd_words(text):
     assert np.frombuffer(packing.token_ids([text.encode()], PATH, 2)[0], "<u4").tolist() == whole(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abÀéÿß×'.,*$<|>_1²", min_size=1, max_size=8), min_size=1, max_size=12))
+def test_words_cut_from_one_text(words):
+    packing._tokenizer(PATH)
+    got = packing._encode([w.encode() for w in words])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [TOKENIZER.encode(w, add_special_tokens=False).ids for w in words]
