@@ -20,6 +20,8 @@ from tallyloom.sources.inventory import list_files
 from tallyloom.sources.writers import write_partitioned
 
 CLUSTER_BITS = 6
+#: Rows from which the quantiles of text columns are taken; they reach the driver.
+TEXT_SAMPLE = 6400
 
 
 def partitions(spark: SparkSession, table: str) -> DataFrame:
@@ -55,16 +57,16 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 def plan_facts(df: DataFrame) -> dict[str, object]:
     """What matters of a plan: exchanges, broadcasts, scans, join kinds and the filters that reach the files."""
-    text = plan_text(df, "simple")
+    text, whole = plan_text(df, "simple"), plan_text(df, "formatted")  # only the latter gives filters in full
     return {
         "exchanges": len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange (?:hash|range|Single|RoundRobin)", text)),
         "broadcasts": text.count("BroadcastExchange"),
         "scans": len(re.findall(r"FileScan |Scan parquet", text)),
         "sort_merge_joins": text.count("SortMergeJoin"),
         "broadcast_joins": text.count("BroadcastHashJoin"),
-        "partition_filters": [f for f in re.findall(r"PartitionFilters: \[([^\]]*)\]", text) if f],
-        "pushed_filters": [f for f in re.findall(r"PushedFilters: \[([^\]]*)\]", text) if f],
-        "read_schemas": re.findall(r"ReadSchema: struct<([^>]*)>", text),
+        "partition_filters": [f for f in re.findall(r"^PartitionFilters: \[(.*)\]$", whole, re.M) if f],
+        "pushed_filters": [f for f in re.findall(r"^PushedFilters: \[(.*)\]$", whole, re.M) if f],
+        "read_schemas": re.findall(r"^ReadSchema: struct<(.*)>$", whole, re.M),
     }
 
 
@@ -160,23 +162,40 @@ def _rank_of(value: Column, bounds: Sequence[object]) -> Column:
     return F.coalesce(search(0, len(bounds)), F.lit(0)) if bounds else F.lit(0)
 
 
+def text_quantiles(df: DataFrame, cols: Sequence[str], n: int) -> dict[str, list[str]]:
+    """Up to ``n - 1`` ascending bounds per text column, from the TEXT_SAMPLE rows of least hash."""
+    if not cols:
+        return {}
+    sample = df.select(*cols, F.xxhash64(*df.columns).alias("_hash")).orderBy("_hash").limit(TEXT_SAMPLE).collect()
+    bounds = {}
+    for c in cols:
+        values = sorted(r[c] for r in sample if r[c] is not None)
+        bounds[c] = sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
+    return bounds
+
+
 def cluster_key(df: DataFrame, cols: Sequence[str], bits: int = CLUSTER_BITS) -> Column:
     """One number per row that keeps rows close in all ``cols`` close: the bits of each column's quantile rank, taken
-    in turn. Quantiles are approximate; they steer the layout only."""
+    in turn. Texts rank in their own order. Quantiles are approximate; they steer the layout only."""
     probes = [i / 2**bits for i in range(1, 2**bits)]
-    numbers = []
+    values: dict[str, Column] = {}
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
     for c in cols:
         kind = df.schema[c].dataType
-        if isinstance(kind, T.StringType):
-            numbers.append(F.xxhash64(c).cast("double"))
+        if c in texts:
+            values[c] = F.col(c)
         elif isinstance(kind, T.DateType):
-            numbers.append(F.unix_date(c).cast("double"))
+            values[c] = F.unix_date(c).cast("double")
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            numbers.append(F.unix_micros(F.col(c).cast("timestamp")).cast("double"))
+            values[c] = F.unix_micros(F.col(c).cast("timestamp")).cast("double")
         else:
-            numbers.append(F.col(c).cast("double"))
-    quantiles = df.agg(*[F.percentile_approx(n, probes, 1000).alias(f"q{i}") for i, n in enumerate(numbers)]).first()
-    ranks = [_rank_of(n, sorted(set(quantiles[f"q{i}"] or []))) for i, n in enumerate(numbers)]
+            values[c] = F.col(c).cast("double")
+    bounds: dict[str, list] = dict(text_quantiles(df, texts, 2**bits))
+    numbers = [c for c in cols if c not in texts]
+    if numbers:
+        found = df.agg(*[F.percentile_approx(values[c], probes, 1000).alias(c) for c in numbers]).first()
+        bounds |= {c: sorted(set(found[c] or [])) for c in numbers}
+    ranks = [_rank_of(values[c], bounds[c]) for c in cols]
     key = F.lit(0).cast("long")
     for bit in reversed(range(bits)):
         for rank in ranks:

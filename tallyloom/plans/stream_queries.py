@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tallyloom.plans.record_queries import VALIDATED_SQL
 from tallyloom.plans.registry import LOGS, SENSORS, query
 from tallyloom.plans.views import logs, sensors
 from tallyloom.session import scratch_path
-from tallyloom.sources.readers import load
+from tallyloom.sources.readers import TABLES, load
 from tallyloom.streaming import jobs, sinks
 from tallyloom.streaming.sources import stream_files, stream_table
 
@@ -142,7 +143,65 @@ def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_snapshot(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), out, "LOAD")
     changes = flatten_cdc(stream_files(spark, staged, "parquet", "value string"), ROW, ["o_orderkey"])
     sinks.finish(sinks.merge_stream(changes, out, ["o_orderkey"], checkpoint))
-    return read_as_of(spark, out)
+    return sinks.read_merged(spark, out, ["o_orderkey"])
+
+
+@query(
+    """SELECT o_orderkey, 'R' AS o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT o_orderkey, 'U', o_totalprice * 2 FROM orders WHERE o_orderstatus NOT IN ('O', 'P')"""
+)
+def merge_stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the newer changes first, with changes that lack an operation and texts that are no JSON among them."""
+    staged, (out, checkpoint) = scratch_path(spark, "changes"), _places(spark, "merged")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    write_snapshot(orders, out, "LOAD")
+    image = "named_struct('o_orderkey', o_orderkey, 'o_orderstatus', '{}', 'o_totalprice', o_totalprice * {})"
+    none = "cast(null as struct<o_orderkey: bigint, o_orderstatus: string, o_totalprice: double>)"
+
+    def envelopes(status: str | None, op: str, ts: int, before: str, after: str) -> DataFrame:
+        rows = orders if status is None else orders.filter(F.col("o_orderstatus") == status)
+        return rows.selectExpr(f"to_json(named_struct('before', {before}, 'after', {after}, 'op', {op}, 'ts_ms', {ts})) AS value")
+
+    update = envelopes(None, "'u'", 1_700_000_000_000, none, image.format("U", 2))
+    delete = [envelopes(s, "'d'", 1_700_000_001_000, image.format(s, 1), none) for s in ("O", "P")]
+    create = envelopes("P", "'c'", 1_700_000_002_000, none, image.format("R", 1))
+    unknown = envelopes("F", "cast(null as string)", 1_700_000_003_000, none, "named_struct('o_orderkey', -o_orderkey, 'o_orderstatus', 'X', 'o_totalprice', 0D)")
+    broken = orders.select(F.concat(F.lit("{no json "), "o_orderkey").alias("value"))
+    for batch in (create.unionByName(delete[0]).unionByName(unknown), update.unionByName(delete[1]).unionByName(broken)):
+        batch.write.mode("append").parquet(staged)
+        changes = flatten_cdc(stream_files(spark, staged, "parquet", "value string"), ROW, ["o_orderkey"])
+        sinks.finish(sinks.merge_stream(changes, out, ["o_orderkey"], checkpoint))
+    return sinks.read_merged(spark, out, ["o_orderkey"])
+
+
+def _in_parts(spark: SparkSession, sf_dir: str, run: Callable[[str], object], parts: int = 4, late: bool = False) -> None:
+    """Events staged in ``parts`` steps by time, ``run`` after each; with ``late`` the first step's rows come again at the end."""
+    events, folder = load(spark, sf_dir, "events"), scratch_path(spark, "parts")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(micros), F.max(micros)).first()
+    part = F.least(F.floor((micros - (lo or 0)) * parts / max(1, (hi or 0) - (lo or 0))), F.lit(parts - 1))
+    for k in [*range(parts), *[0] * late]:
+        events.filter(part == k).write.mode("append").parquet(folder)
+        run(folder)
+
+
+@query(
+    f"""SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type AS category,
+        CAST(sum({AMOUNT}) AS DOUBLE) AS total_revenue, count(*) AS transaction_count, CAST(sum({AMOUNT}) AS DOUBLE) / count(*) AS avg_transaction
+        FROM events GROUP BY 1, 2, 3 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+)
+def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows over four batches and a fifth of late rows only, which change nothing."""
+    out, checkpoint = _places(spark, "late")
+
+    def run(folder: str) -> None:
+        events = stream_files(spark, folder, "parquet", TABLES["events"])
+        sales = events.select(F.col("ts").alias("timestamp"), F.col("event_type").alias("category"), F.col("value").alias("total_amount"))
+        windows = jobs.flat_window(jobs.windowed_sales(sales, size="1 hour", slide=None, late="10 minutes"))
+        sinks.finish(sinks.to_table(windows, out, checkpoint))
+
+    _in_parts(spark, sf_dir, run, late=True)
+    return spark.read.parquet(out)
 
 
 @query("SELECT event_id, event_type, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey")
@@ -165,11 +224,17 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """WITH p AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, event_id,
                   (row_number() OVER (PARTITION BY time_bucket(INTERVAL 1 HOUR, ts), event_type ORDER BY event_id) - 1) // 3 + 1 AS bundle_no FROM events)
-    SELECT window_start, event_type, bundle_no, string_agg(event_id, ',' ORDER BY event_id) AS ids FROM p GROUP BY window_start, event_type, bundle_no"""
+    SELECT window_start, event_type, bundle_no, string_agg(event_id, ',' ORDER BY event_id) AS ids FROM p
+    WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY window_start, event_type, bundle_no"""
 )
 def bundle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in four batches whose bounds cut windows; windows that the watermark has passed are bundled."""
     out, checkpoint = _places(spark, "bundles")
-    events = stream_table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    sinks.finish(sinks.bundle_stream(events, out, checkpoint, "ts", ["event_type"], ["event_id"], "1 hour", 3, None))
+
+    def run(folder: str) -> None:
+        events = stream_files(spark, folder, "parquet", TABLES["events"]).select("event_id", "ts", "event_type")
+        sinks.finish(sinks.bundle_stream(events, out, checkpoint, "ts", ["event_type"], ["event_id"], "1 hour", 3, None, "10 minutes", 4))
+
+    _in_parts(spark, sf_dir, run)
     ids = F.array_join(F.transform("records", lambda r: r["event_id"].cast("string")), ",")
     return sinks.read_batches(spark, out).select("window_start", "event_type", "bundle_no", ids.alias("ids"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tallyloom.operators.merge import apply_cdc
+from tallyloom.operators.merge import apply_cdc, latest_changes, rejected_changes, usable_change
 from tallyloom.operators.ordering import bundle, latest_per_key
 from tallyloom.operators.quality import threshold_alert
 from tallyloom.operators.snapshots import history, latest_version, read_as_of, write_snapshot
@@ -86,18 +86,61 @@ def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     return latest_per_key(rows, list(keys), "batch_id", "batch_id").drop("batch_id")
 
 
-def merge_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Apply flat changes to a versioned table, one version per batch; a batch already among the versions is skipped."""
+def merge_stream(
+    stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, every: str | None = None, ts: str = "changed_at", tiebreak: Sequence[str] = ()
+) -> StreamingQuery:
+    """Collect flat changes beside a versioned table: the last change per key of each batch, one folder per batch.
+
+    A batch costs as much as its changes; the table is not rewritten. :func:`read_merged` gives the table with all changes
+    applied in the order of their times, whichever batch brought them. Changes that cannot be applied are kept
+    apart, see :func:`read_rejected`.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        label = f"batch {batch_id} of {checkpoint}"
-        spark = batch.sparkSession
-        if not _applied(spark, path, label):
-            write_snapshot(apply_cdc(read_as_of(spark, path), batch, keys), path, label)
+        usable = batch.filter(usable_change(list(keys)))
+        latest_changes(usable, keys, ts, tiebreak).write.mode("overwrite").parquet(f"{path}/_changes/batch_id={batch_id}")
+        rejected_changes(batch, keys).write.mode("overwrite").parquet(f"{path}/_rejected/batch_id={batch_id}")
 
     return _per_batch(stream, handle, checkpoint, "append", every)
 
 
+def read_merged(spark: SparkSession, path: str, keys: Sequence[str], ts: str = "changed_at", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The newest version of a table with the collected changes; per key the change of the latest time counts.
+
+    Deletes stay among the changes, so an older change that arrives later does not bring a row back. The table's own rows
+    have no change time: any change replaces them.
+    """
+    table = read_as_of(spark, path)
+    if not folders.subfolders(spark, f"{path}/_changes"):
+        return table
+    return apply_cdc(table, read_batches(spark, f"{path}/_changes").drop("batch_id"), keys, ts, tiebreak)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Changes of all batches that lacked a key or a known operation."""
+    return read_batches(spark, f"{path}/_rejected")
+
+
+def fold_changes(spark: SparkSession, path: str, keys: Sequence[str], ts: str = "changed_at", tiebreak: Sequence[str] = ()) -> None:
+    """Reduce the collected changes to the last one per key; to be run while no stream writes to the table.
+
+    The newest batch keeps its folder, as the stream may run it again. What was folded lies in folder ``batch_id=-1``;
+    folders left over by a failure hold changes that are in it already, which changes no result.
+    """
+    log = f"{path}/_changes"
+    names = {int(n.removeprefix("batch_id=")): n for n in folders.subfolders(spark, log) if n.startswith("batch_id=")}
+    old = sorted(names)[:-1]
+    if len(old) < 2:
+        return
+    rows = spark.read.parquet(*[f"{log}/{names[n]}" for n in old])
+    staged = f"{path}/_folded"
+    latest_changes(rows, keys, ts, tiebreak).write.mode("overwrite").parquet(staged)
+    folders.switch(spark, staged, f"{log}/batch_id=-1")
+    for n in old:
+        if n >= 0:
+            folders.delete(spark, f"{log}/{names[n]}")
+
+
 def alert_stream(
     stream: DataFrame, path: str, checkpoint: str, metric: Column, limit: float, name: str, by: tuple[str, ...] = (), every: str | None = None
 ) -> StreamingQuery:
@@ -119,20 +162,27 @@ def bundle_stream(
     size: str = "1 minute",
     max_records: int = 1000,
     every: str | None = "1 minute",
+    late: str = "1 minute",
+    shards: int = 64,
 ) -> StreamingQuery:
-    """Records of each batch gathered per time window and ``by`` into arrays of at most ``max_records``.
+    """Records gathered per event-time window and ``by`` into arrays of at most ``max_records``.
 
-    Bundles are closed with their batch, so no state is kept; a window that spans two batches gets bundles from both.
+    A window is bundled once, when the watermark (``late`` behind the newest time seen) has passed its end, so the bundles
+    do not depend on how the records fell into batches; later records are dropped. Open windows wait in the state, each
+    in ``shards`` rows, so that a hot one is no single task's work.
     """
+    timed = stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark("event_time", late)
+    shard = F.pmod(F.xxhash64(*order), F.lit(shards)).alias("shard")
+    waiting = timed.groupBy(F.window("event_time", size), *by, shard).agg(F.collect_list(F.struct(*stream.columns)).alias("records"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        windowed = batch.withColumn("window_start", F.window(F.col(ts).cast("timestamp"), size)["start"])
+        closed = batch.select(F.col("window.start").alias("window_start"), F.explode("records").alias("record")).select("window_start", "record.*")
         scratch = f"{checkpoint.rstrip('/')}-scratch/batch_id={batch_id}"
-        gathered = bundle(windowed, ["window_start", *by], list(order), max_records, scratch)
+        gathered = bundle(closed, ["window_start", *by], list(order), max_records, scratch)
         gathered.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         folders.delete(batch.sparkSession, scratch)
 
-    return _per_batch(stream, handle, checkpoint, "append", every)
+    return _per_batch(waiting, handle, checkpoint, "append", every)
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

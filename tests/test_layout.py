@@ -116,3 +116,24 @@ def test_compaction_keeps_columns_and_folder_names(spark, tmp_path):
     layout.compact(spark, path, by=["mm"])
     got = layout.read_as_written(spark, path).select("id", "mm", "note").collect()
     assert sorted(map(tuple, got)) == [(1, "06", None), (2, "07", None), (3, "06", "x")]
+
+
+def test_text_keys_cluster_as_well_as_numbers(spark, tmp_path):
+    df = spark.range(40000).selectExpr("(id * 7919) % 1000 as n", "format_string('CUST%06d', (id * 7919) % 1000) as t", "cast(id / 200 as int) as b")
+
+    def files_with(key, path):
+        layout.cluster_write(df, [key, "b"], path, 16)
+        spans = spark.read.parquet(path).groupBy(F.col("_metadata.file_name")).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
+        probes = [f"CUST{k:06d}" if key == "t" else k for k in range(0, 1000, 50)]
+        return sum(r["lo"] <= p <= r["hi"] for p in probes for r in spans)
+
+    text, number = files_with("t", str(tmp_path / "t")), files_with("n", str(tmp_path / "n"))
+    assert text <= number * 1.1 and text < 20 * 8
+
+
+def test_pushed_filters_are_given_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).selectExpr("id", "current_timestamp() as a_column_with_a_long_name").write.parquet(path)
+    kept = spark.read.parquet(path).filter("a_column_with_a_long_name >= timestamp'2024-01-01' and a_column_with_a_long_name < timestamp'2025-01-01' and id in (1, 2)")
+    pushed = layout.plan_facts(kept)["pushed_filters"]
+    assert len(pushed) == 1 and "GreaterThanOrEqual(a_column" in pushed[0] and "LessThan(a_column" in pushed[0] and "In(id, [1,2])" in pushed[0]

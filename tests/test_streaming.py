@@ -121,9 +121,28 @@ def test_merge_stream_applies_a_batch_once(spark, feed, tmp_path):
     add([(1, "A", "u", moment("10:00:00")), (2, None, "d", moment("10:00:00")), (3, "c", "c", moment("10:00:00"))], ddl)
     for _ in range(2):
         sinks.finish(sinks.merge_stream(stream_files(spark, folder, "parquet", ddl), out, ["id"], str(tmp_path / "c")))
-    assert sorted(map(tuple, snapshots.read_as_of(spark, out).collect())) == [(1, "A"), (3, "c")]
-    assert snapshots.latest_version(spark, out) == 1
-    assert sinks._applied(spark, out, f"batch 0 of {tmp_path / 'c'}")
+    assert sorted(map(tuple, sinks.read_merged(spark, out, ["id"]).collect())) == [(1, "A"), (3, "c")]
+    assert snapshots.latest_version(spark, out) == 0  # the table itself is not rewritten
+
+
+def test_merge_stream_goes_by_change_time(spark, feed, tmp_path):
+    folder, add = feed
+    out, ddl = str(tmp_path / "t"), "id int, name string, operation string, changed_at timestamp"
+    snapshots.write_snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), out)
+    batches = [
+        [(1, "new", "u", moment("12:00:00")), (2, None, "d", moment("12:00:00")), (5, "x", None, moment("12:00:00")), (None, "y", "c", moment("12:00:00"))],
+        [(1, "old", "u", moment("11:00:00")), (2, "late", "u", moment("11:00:00")), (3, "c", "c", moment("11:00:00"))],
+        [(3, "c2", "u", moment("13:00:00")), (2, "again", "c", moment("13:00:00"))],
+    ]
+    want = [[(1, "new")], [(1, "new"), (3, "c")], [(1, "new"), (2, "again"), (3, "c2")]]
+    for rows, after in zip(batches, want, strict=True):
+        add(rows, ddl)
+        sinks.finish(sinks.merge_stream(stream_files(spark, folder, "parquet", ddl), out, ["id"], str(tmp_path / "c")))
+        assert sorted(map(tuple, sinks.read_merged(spark, out, ["id"]).collect())) == after
+    assert sorted(r["name"] for r in sinks.read_rejected(spark, out).collect()) == ["x", "y"]
+    sinks.fold_changes(spark, out, ["id"])
+    assert sorted(p.name for p in (tmp_path / "t/_changes").glob("batch_id=*")) == ["batch_id=-1", "batch_id=2"]
+    assert sorted(map(tuple, sinks.read_merged(spark, out, ["id"]).collect())) == want[-1]
 
 
 def test_failed_query_raises(spark, feed, tmp_path):
@@ -144,8 +163,11 @@ def test_console_sink_runs(spark, feed, tmp_path):
 def test_minute_bundles_are_bounded(spark, feed, tmp_path):
     folder, add = feed
     add([(moment(f"10:00:{s:02d}"), "a", float(s)) for s in range(25)] + [(moment("10:01:00"), "a", 99.0)])
-    stream = stream_files(spark, folder, "parquet", SALES)
-    sinks.finish(sinks.bundle_stream(stream, str(tmp_path / "o"), str(tmp_path / "c"), "timestamp", ["category"], ["total_amount"], max_records=10, every=None))
+    for late in ([], [(moment("10:10:00"), "b", 1.0)], [(moment("10:00:30"), "a", 1000.0)]):  # closes both windows; comes too late
+        if late:
+            add(late)
+        stream = stream_files(spark, folder, "parquet", SALES)
+        sinks.finish(sinks.bundle_stream(stream, str(tmp_path / "o"), str(tmp_path / "c"), "timestamp", ["category"], ["total_amount"], max_records=10, every=None))
     got = [(r["window_start"], r["bundle_no"], [x["total_amount"] for x in r["records"]]) for r in sinks.read_batches(spark, str(tmp_path / "o")).collect()]
     ten = moment("10:00:00")
     assert sorted(got) == [
@@ -155,3 +177,14 @@ def test_minute_bundles_are_bounded(spark, feed, tmp_path):
         (moment("10:01:00"), 1, [99.0]),
     ]
     assert not list((tmp_path / "c-scratch").glob("batch_id=*"))
+
+
+def test_a_stream_runs_by_interval(spark, feed, tmp_path):
+    folder, add = feed
+    add([(moment("10:00:00"), "a", 1.0)])
+    query = sinks.to_table(stream_files(spark, folder, "parquet", SALES), str(tmp_path / "o"), str(tmp_path / "c"), every="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and spark.read.parquet(str(tmp_path / "o")).count() == 1
+    finally:
+        query.stop()
