@@ -65,15 +65,30 @@ def lowered_words(text: bytes) -> list[bytes]:
     return text.translate(LOWER_ASCII).split()
 
 
+_holders: list = []
+
+
+def hold(memory) -> None:
+    """Let one operator at a time remember things in a Python worker, which outlives the stages that run in it.
+
+    ``memory`` is that operator's own (anything with ``clear``); what another one has left behind is cleared.
+    """
+    if not _holders or _holders[0] is not memory:
+        for other in _holders:
+            other.clear()
+        _holders[:] = [memory]
+
+
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound of words so that memory stays flat on any input."""
 
-    BOUND = 400_000
+    BOUND = 100_000
 
     def __init__(self):
         self.seen: dict[bytes, int] = {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
+        hold(self.seen)
         if len(self.seen) > self.BOUND:
             self.seen.clear()
         out = np.fromiter(map(self.seen.get, words, repeat(0)), np.uint64, len(words))

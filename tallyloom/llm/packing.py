@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyloom.llm.common import Scratch, arrow_map, text_bytes
+from tallyloom.llm.common import Scratch, arrow_map, hold, text_bytes
 
 WINDOW = 4096
 #: Pieces of one length numbered by one task.
@@ -31,6 +31,7 @@ _state: dict = {}
 
 
 def _tokenizer(path: str) -> dict:
+    hold(_state)
     if _state.get("path") != path:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer

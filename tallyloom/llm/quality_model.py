@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import LOWER_ASCII, arrow_map, crc_of_id, mixed, small_batches, text_bytes
+from tallyloom.llm.common import LOWER_ASCII, arrow_map, crc_of_id, hold, mixed, small_batches, text_bytes
 
 DIM = 1 << 18
 SHARDS = 8
@@ -34,6 +34,7 @@ _hashes_at = np.zeros((2, MAX_REMEMBERED), np.uint64)
 
 def _hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words and of their shapes, remembered up to a bound of words."""
+    hold(_place)
     at = np.fromiter(map(_place.get, words, repeat(-1)), np.int64, len(words))
     new = np.nonzero(at < 0)[0].tolist()
     if len(_place) + len(new) > MAX_REMEMBERED:

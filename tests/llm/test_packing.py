@@ -109,3 +109,14 @@ def test_words_cut_from_one_text(words):
     packing._tokenizer(PATH)
     got = packing._encode([w.encode() for w in words])
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [TOKENIZER.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_a_worker_remembers_for_one_operator_at_a_time():
+    from tallyloom.llm import common, near_dedup, queries
+
+    texts, path = [b"one two three four five six <unk> seven", b""], queries.tokenizer_path()
+    first, sets = packing.token_ids(texts, path, 2), near_dedup.shingles(texts[0]).tolist()
+    assert not packing._state and near_dedup._hashes.seen
+    assert packing.token_ids(texts, path, 2) == first and not near_dedup._hashes.seen
+    assert near_dedup.shingles(texts[0]).tolist() == sets
+    common.hold({})
