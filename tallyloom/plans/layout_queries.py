@@ -72,9 +72,9 @@ def cluster_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query("SELECT unnest(['csv', 'orc', 'parquet']) AS format, (SELECT count(*) FROM orders) AS rows, true AS has_bytes")
 def format_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.format_sizes(spark, load(spark, sf_dir, "orders"))
+    return layout.format_sizes(spark, load(spark, sf_dir, "orders")).select("format", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("SELECT o_orderstatus, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total FROM orders GROUP BY o_orderstatus")
