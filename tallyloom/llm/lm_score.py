@@ -1,44 +1,49 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-Counts. Words of all training texts are counted; then pairs, and then triples, of which every part is frequent. An n-gram
-is frequent when its share of all tokens is at least UNIGRAM_SHARE or NGRAM_SHARE, so a level never holds more than the
-inverse of that share: the bound of what is sent to the executors, the same for any input.
-
-Trie. Level 1 is the sorted hashes of frequent words, whose positions are their ids. Level 2 holds the successors of each
-word, level 3 those of each pair, by the last word's place among the successors of the middle word: a context-relative id.
+Counts. Every pair and triple that occurs LEAST times in the training texts is kept, at any size of the input; words are
+counted exactly. The texts are read once, into parts of bounded size: their distinct words and their tokens as places among
+them. A part sends its distinct pairs, each with the triples that go on from it, to shards of the pairs' hashes. A shard adds
+up, keeps what is frequent, and answers each part; what a word's kept pairs add up to goes on to the shards of words.
+The number of shards grows with the input, so that a shard stays about as large. No count reaches the driver.
+
+Trie. From the answers a part builds what its texts touch of the model. Level 1 is the sorted hashes of words, whose
+positions are their ids. Level 2 holds the successors of each word, level 3 those of each pair, by the last word's place
+among the successors of the middle word: a context-relative id.
 Monotone pointers say where a context's successors start; a successor's key is its id spread evenly over the room that its
 context takes up, so keys rise through the level and are as dense under a frequent context as under a rare one. Levels are
-kept in Elias-Fano form and searched by successor from the high bits.
-Probabilities and back-off weights are quantised to 256 values a level. Executors map the file into memory.
+kept in Elias-Fano form and searched by successor from the high bits. Probabilities and back-off weights are quantised to 256
+values over a range that follows from the largest context of the corpus, so that every part quantises alike.
 
 Smoothing. Absolute discounting, interpolated with the next lower order, down to additive unigrams; what pruning leaves out
 belongs to the back-off weight, so that each context's probabilities add up to one.
-
-Words that are not frequent are few, but any number in total: their exact counts reach the documents by a join.
 """
 
 from __future__ import annotations
 
+import os
 import struct
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyloom.llm.common import Scratch, arrow_map, crc_of_id, lowered_words, share_file, small_batches, text_bytes
+from tallyloom.llm.common import Scratch, WordHashes, crc_of_id, lowered_words, mixed, small_batches, text_bytes
 
-UNIGRAM_SHARE = 1e-7
-NGRAM_SHARE = 1e-6
+LEAST = 2
 DISCOUNT = 0.75
-MAX_PENDING = 400_000
 END = b"\n"  # no word holds white space
+BOS = xxhash.xxh64_intdigest(b" ")  # stands before a text's first word
 ADDED = 0.1
+#: Tokens of one part (a longer text is a part of its own), and of all parts together per shard.
+PART_TOKENS = 1_000_000
+SHARD_TOKENS = 3_000_000
+
+_hashes = WordHashes()
+PACKED = struct.Struct("<QB")
 
 
 SHIFT = 24  # a place among at most 2^SHIFT
@@ -122,22 +127,22 @@ class EliasFano:
         return out
 
 
-def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(256 code values, codes): the code values lie evenly over the values' range, each value takes the nearest."""
+def quantised(values: np.ndarray, bounds: tuple[float, float] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(256 code values, codes): the code values lie evenly over ``bounds`` or the values' range, each value takes the nearest."""
     if not len(values):
         return np.zeros(256), np.zeros(0, np.uint8)
-    low, high = float(values.min()), float(values.max())
+    low, high = bounds or (float(values.min()), float(values.max()))
     step = max((high - low) / 255, 1e-12)
     return low + step * np.arange(256), np.clip(np.rint((values - low) / step), 0, 255).astype(np.uint8)
 
 
 class Trie:
-    """The memory-mapped model. ``tokens``: all training tokens (N); ``words``: distinct ones (V)."""
+    """The model, or a part of it. ``tokens``: all training tokens (N); ``words``: distinct ones (V)."""
 
     HEADER = struct.Struct("<QQ9Q")
 
-    def __init__(self, source: str | bytes):
-        data = np.frombuffer(source, np.uint8) if isinstance(source, bytes) else np.memmap(source, np.uint8, "r")
+    def __init__(self, source: bytes):
+        data = np.frombuffer(source, np.uint8)
         head = self.HEADER.unpack(data[: self.HEADER.size].tobytes())
         self.tokens, self.words = head[:2]
         parts, at = [], self.HEADER.size
@@ -162,9 +167,10 @@ class Trie:
         return np.log10((counts + ADDED) / (self.tokens + ADDED * (self.words + 1)))
 
     @classmethod
-    def build(cls, tokens: int, words: int, hashes: np.ndarray, counts: np.ndarray, pairs=None, triples=None, starts: int = 0) -> bytes:
+    def build(cls, tokens: int, words: int, hashes: np.ndarray, counts: np.ndarray, pairs=None, triples=None, starts: int = 0, left=None, bounds=None) -> bytes:
         """From frequent words (sorted hashes), (key, count) arrays of pairs (a * (n1 + 1) + b) and of triples
-        (position of (a, b), b's successor c as a word id); ``starts`` is the number of training texts."""
+        (position of (a, b), b's successor c as a word id); ``starts`` is the number of training texts. For a part of a
+        model, ``left`` has the whole model's back-off weights of words and pairs, ``bounds`` the range to quantise."""
         n1 = len(hashes)
         width = n1 + 1
         p1 = (counts + ADDED) / (tokens + ADDED * (words + 1))
@@ -173,12 +179,13 @@ class Trie:
         context = np.append(counts, starts).astype(np.float64)
         c2 = c2.astype(np.float64)
         left1 = np.maximum(1e-12, 1 - np.bincount(a, (c2 - DISCOUNT) / context[a], width) if len(a) else np.ones(width))
+        left1 = left1 if left is None else left[0]
         p2 = (c2 - DISCOUNT) / context[a] + left1[a] * p1[b] if len(a) else np.zeros(0)
         first = np.searchsorted(a, np.arange(width + 1))
         third = np.zeros(len(key2) + 1, np.int64)
         fans = np.diff(first)
         key3 = np.zeros(0, np.uint64)
-        p3, left2 = np.zeros(0), np.ones(len(key2))
+        p3, left2 = np.zeros(0), np.ones(len(key2)) if left is None else left[1]
         if triples is not None and len(triples[0]):
             parent, last, c3 = triples
             middle = b[parent]
@@ -187,9 +194,10 @@ class Trie:
             parent, place, middle, c3 = parent[order], place[order], middle[order], c3[order].astype(np.float64)
             third = np.searchsorted(parent, np.arange(len(key2) + 1))
             key3 = spread(third[parent], np.diff(third)[parent], place - first[middle], fans[middle])
-            left2 = np.maximum(1e-12, 1 - np.bincount(parent, (c3 - DISCOUNT) / c2[parent], len(key2)))
+            if left is None:
+                left2 = np.maximum(1e-12, 1 - np.bincount(parent, (c3 - DISCOUNT) / c2[parent], len(key2)))
             p3 = (c3 - DISCOUNT) / c2[parent] + left2[parent] * p2[place]
-        q = [quantised(np.log10(v)) for v in (p2, p3, left1, left2)]
+        q = [quantised(np.log10(v), bounds) for v in (p2, p3, left1, left2)]
         books = np.stack([x[0] for x in q]).astype("<f8")
         parts = [
             EliasFano.build(hashes) if n1 else b"", counts.astype("<u8").tobytes(), EliasFano.build(spread(first[a], fans[a], b, width)) if len(key2) else b"",
@@ -240,213 +248,296 @@ class Trie:
         return np.where(abc >= 0, self.books[1][self.prob3[abc]], back2 + mid)
 
 
-class WordIds:
-    """Ids of words by successor search in level 1, remembered up to a bound."""
-
-    def __init__(self, trie: Trie):
-        self.trie, self.seen = trie, {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.seen) > MAX_PENDING:
-            self.seen.clear()
-        out = np.fromiter(map(self.seen.get, words, repeat(-2)), np.int64, len(words))
-        at = np.nonzero(out == -2)[0]
-        fresh = [words[i] for i in at.tolist()]
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, fresh), np.uint64, len(fresh))
-        found = self.trie.level1.find(hashes) if self.trie.level1 else np.full(len(fresh), -1)
-        self.seen.update(zip(fresh, found.tolist(), strict=True))
-        out[at] = found
-        return out
-
-
-_opened: dict[str, tuple[Trie, WordIds]] = {}
-
-
-def opened(name: str) -> tuple[Trie, WordIds]:
-    if name not in _opened:
-        _opened.clear()
-        trie = Trie(SparkFiles.get(name))
-        _opened[name] = trie, WordIds(trie)
-    return _opened[name]
-
-
-def token_arrays(ids: WordIds, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, previous ids, owner) of all tokens of the texts in order, each text with its end; a start precedes it."""
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    flat = ids(list(chain.from_iterable(texts)))
-    before = np.concatenate([[-1], flat[:-1]])
-    before[np.cumsum(lengths) - lengths] = ids.trie.bos
-    return flat, before, np.repeat(np.arange(len(texts)), lengths)
-
-
-class WordCounts:
-    """Counts of words, given out under their hashes."""
-
-    def __init__(self):
-        self.counter: Counter = Counter()
-
-    def __len__(self) -> int:
-        return len(self.counter)
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Integers, or the steps between rising ones, as compressed planes of their bytes."""
+    values = np.ascontiguousarray(values, "<u8")
+    values = np.diff(values, prepend=np.uint64(0)) if rising else values
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return PACKED.pack(len(values), width) + pa.compress(planes, "zstd", asbytes=True)
 
-    def add(self, texts: list[list[bytes]]) -> None:
-        self.counter.update(chain.from_iterable(texts))
 
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
-        n = len(self.counter)
-        out = np.fromiter(map(xxhash.xxh64_intdigest, self.counter), np.uint64, n), np.fromiter(self.counter.values(), np.int64, n)
-        self.counter = Counter()
-        return out
-
-
-class KeyCounts:
-    """Counts of 64-bit keys that ``keys(texts)`` makes of each batch."""
-
-    def __init__(self, keys):
-        self.keys, self.parts, self.n, self.merged = keys, [], 0, 0
+def unpacked(data: bytes, rising: bool = False) -> np.ndarray:
+    n, width = PACKED.unpack_from(data)
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        planes = pa.decompress(data[PACKED.size :], n * width, "zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    values = out.reshape(-1).view("<u8")
+    return np.cumsum(values, dtype=np.uint64) if rising else values.astype(np.int64)
 
-    def __len__(self) -> int:
-        if self.n > 2 * max(self.merged, MAX_PENDING):
-            self._merge()
-        return self.merged
 
-    def add(self, texts: list[list[bytes]]) -> None:
-        self.parts.append(np.unique(self.keys(texts), return_counts=True))
-        self.n += len(self.parts[-1][0])
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mixed(mixed(a) * np.uint64(0x9E3779B97F4A7C15) + b)
 
-    def _merge(self) -> None:
-        keys, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0][: len(keys)]
-        self.parts = [(keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts)]
-        self.n = self.merged = len(first)
-
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
-        if self.parts:
-            self._merge()
-        out = self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        self.parts, self.n, self.merged = [], 0, 0
-        return out
 
-
-def counted(texts: DataFrame, new_counts, name: str) -> DataFrame:
-    """(``name``, c): counts summed over a task's batches, given out whenever too many keys wait, then over all tasks."""
-    small_batches(texts.sparkSession)
+def parts_of(docs: DataFrame, held_out) -> DataFrame:
+    """One row per part: its own id, doc_id and held_out of its texts, their lengths, the sorted hashes of its distinct words
+    (and of the start) and the tokens as places among them."""
+    small_batches(docs.sparkSession)
+    limit = PART_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = new_counts()
+        ids, held, hashes, waiting = [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            keys, counts = held.take()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], [name, "c"])
+            words, tokens = np.unique(np.concatenate([*hashes, np.array([BOS], np.uint64)]), return_inverse=True)
+            lengths = np.array(list(map(len, hashes)), np.int64)
+            trained = ~np.array(held, bool)
+            doc_id = pa.concat_arrays(ids)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (doc_id, pa.array(held, pa.bool_()))]
+            row = [
+                pa.array([int.from_bytes(os.urandom(8)) >> 1], pa.int64()), *lists, pa.array([packed(lengths)]), pa.array([packed(words, True)]), pa.array([packed(tokens[:-1])]),
+                pa.array([len(tokens) - 1], pa.int64()), pa.array([int(lengths[trained].sum())], pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(row, names)
 
         for batch in batches:
-            held.add([[*lowered_words(t), END] for t in batch.column(0).to_pylist()])
-            if len(held) > 2 * MAX_PENDING:
-                yield out()
-        yield out()
-
-    return texts.mapInArrow(run, f"{name} long, c long").groupBy(name).agg(F.sum("c").alias("c"))
-
-
-def train(texts: DataFrame, scratch: Scratch, unigram_share: float, ngram_share: float) -> tuple[bytes, DataFrame]:
-    """(the trie's bytes, the table of all word counts) from the column ``text`` (bytes) of the training rows."""
-    spark = texts.sparkSession
-
-    words = scratch.write(counted(texts, WordCounts, "h"), "words")
-    end = np.uint64(xxhash.xxh64_intdigest(END)).astype(np.int64).item()
-    total = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("h") == end, F.col("c"))).alias("texts")).first()
-    tokens, distinct, starts = total["n"] or 0, total["v"], total["texts"] or 0
-
-    def frequent(table: DataFrame, share: float, key: str) -> tuple[np.ndarray, np.ndarray]:
-        """At most 1 / share rows, sorted by key."""
-        rows = table.filter(F.col("c") >= max(2, int(np.ceil(share * tokens)))).select(key, "c").toPandas()
-        keys = rows[key].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        return keys[order], rows["c"].to_numpy(np.int64)[order]
-
-    hashes, counts = frequent(words, unigram_share, "h")
-    width = len(hashes) + 1
-    least = max(2, int(np.ceil(ngram_share * tokens)))
-    common = np.append(counts >= least, starts >= least)
-    one = share_file(spark, "lm-words", Trie.build(tokens, distinct, hashes, counts, starts=starts))
-
-    shared = spark.sparkContext.broadcast(common)
-
-    def pairs(batch: list) -> np.ndarray:
-        ids, before, _ = token_arrays(opened(one)[1], batch)
-        ok = np.nonzero((ids >= 0) & (before >= 0))[0]
-        ok = ok[shared.value[ids[ok]] & shared.value[before[ok]]]  # a frequent pair has frequent words
-        return before[ok].astype(np.uint64) * np.uint64(width) + ids[ok].astype(np.uint64)
-
-    table = counted(texts, lambda: KeyCounts(pairs), "k")
-    found = frequent(table, ngram_share, "k")
-    two = share_file(spark, "lm-pairs", Trie.build(tokens, distinct, hashes, counts, found, starts=starts))
-
-    def triples(batch: list) -> np.ndarray:
-        trie, known = opened(two)
-        ids, before, _ = token_arrays(known, batch)
-        ab, bc = trie.pairs_at(ids, before)
-        ok = np.nonzero((ab >= 0) & (bc >= 0))[0]  # a frequent triple has frequent pairs
-        return ab[ok].astype(np.uint64) * np.uint64(width) + ids[ok].astype(np.uint64)
-
-    table = counted(texts, lambda: KeyCounts(triples), "k")
-    key3, c3 = frequent(table, ngram_share, "k")
-    parent, last = (key3 // np.uint64(width)).astype(np.int64), (key3 % np.uint64(width)).astype(np.int64)
-    return Trie.build(tokens, distinct, hashes, counts, found, (parent, last, c3), starts), words
-
-
-def score_documents(
-    docs: DataFrame, remainder: int = 0, folds: int = 10, unigram_share: float = UNIGRAM_SHARE, ngram_share: float = NGRAM_SHARE
-) -> DataFrame:
+            own, flags = batch.column(0), batch.column(1).to_pylist()
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                ids.append(own.slice(i, 1))
+                held.append(flags[i])
+                hashes.append(_hashes([*lowered_words(text), END]))
+                waiting += len(hashes[-1])
+                if waiting >= limit:
+                    yield out()
+                    ids, held, hashes, waiting = [], [], [], 0
+        if hashes:
+            yield out()
+
+    binary, long = T.BinaryType(), T.LongType()
+    names = ["part", "doc_id", "held_out", "lengths", "words", "tokens", "n", "trained"]
+    kinds = [long, T.ArrayType(docs.schema["doc_id"].dataType), T.ArrayType(T.BooleanType()), binary, binary, binary, long, long]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    return docs.select("doc_id", held_out.alias("held_out"), text_bytes().alias("text")).mapInArrow(run, schema)
+
+
+class Part:
+    """The tokens of a part, and the distinct words, pairs and triples among them, pairs by hash, triples by pair."""
+
+    def __init__(self, row: dict):
+        self.words, self.lengths, self.tokens = unpacked(row["words"], True), unpacked(row["lengths"]), unpacked(row["tokens"])
+        width = len(self.words)
+        self.bos = int(np.searchsorted(self.words, np.uint64(BOS)))
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.before = np.concatenate([[-1], self.tokens[:-1]])
+        self.before[starts] = self.bos
+        texts = ~np.array(row["held_out"], bool)
+        trained = np.repeat(texts, self.lengths)
+        pairs, at = np.unique(self.before * width + self.tokens, return_inverse=True)
+        a, b = pairs // width, pairs % width
+        key = pair_keys(self.words[a], self.words[b])
+        order = np.argsort(key, kind="stable")
+        self.key, self.a, self.b = key[order], a[order], b[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        at = rank[at]
+        self.count2 = np.bincount(at[trained], minlength=len(pairs))
+        inner = np.ones(len(at), bool)
+        inner[starts] = False
+        inner = np.nonzero(inner)[0]
+        triples, at3 = np.unique(at[inner - 1] * width + self.tokens[inner], return_inverse=True)
+        self.parent, self.last = triples // width, triples % width
+        self.count3 = np.bincount(at3[trained[inner]], minlength=len(triples))
+
+
+def cuts(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where the shards of sorted 64-bit keys start and end: equal ranges of hashes."""
+    edges = [-(-(k << 64) // shards) for k in range(1, shards)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]]).astype(np.int64)
+
+
+def flat(table: pa.Table, names: list[str]) -> list[list]:
+    return [table.column(n).to_pylist() for n in names]
+
+
+def requests(parts: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """What parts send to the shards of pairs (their words, pairs in the order of their keys, triples under them), and to
+    those of words."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                p = Part(row)
+                cut = cuts(p.key, shards)
+                deep = np.searchsorted(p.parent, cut)
+                out = []
+                for k in range(shards):
+                    (i, j), (x, y) = cut[k : k + 2], deep[k : k + 2]
+                    if i < j:
+                        own, at = np.unique(np.concatenate([p.a[i:j], p.b[i:j], p.last[x:y]]), return_inverse=True)
+                        out.append((k, row["part"], packed(p.words[own], True), packed(at[: j - i]), packed(at[j - i : 2 * (j - i)]), packed(p.count2[i:j]),
+                                    packed(p.parent[x:y] - i, True), packed(at[2 * (j - i) :]), packed(p.count3[x:y])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), pa.int64(), *[pa.binary()] * 7], strict=True)],
+                                                 ["shard", "part", "words", "a", "b", "c2", "parent", "last", "c3"])
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                found, lengths, tokens, held = unpacked(row["words"], True), unpacked(row["lengths"]), unpacked(row["tokens"]), np.array(row["held_out"], bool)
+                count = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(found))
+                count[np.searchsorted(found, np.uint64(BOS))] = (~held).sum()
+                cut = cuts(found, shards)
+                out = [(k, row["part"], packed(found[i:j], True), packed(count[i:j])) for k, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if i < j]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), pa.int64(), pa.binary(), pa.binary()], strict=True)],
+                                                 ["shard", "part", "words", "c1"])
+
+    source = parts.select("part", "held_out", "lengths", "words", "tokens")
+    first = source.mapInArrow(pairs, "shard int, part long, words binary, a binary, b binary, c2 binary, parent binary, last binary, c3 binary")
+    return first, source.mapInArrow(words, "shard int, part long, words binary, c1 binary")
+
+
+def pair_answers(sent: DataFrame, shards: int, least: int) -> DataFrame:
+    """To each part, with the shard: counts of its kept pairs and triples (0: not kept) and, of each pair, the sum and number
+    of its kept triples; rows without a part go to a shard of words: sum and number of the kept pairs of contexts."""
+
+    def one(table: pa.Table) -> pa.Table:
+        names = ["shard", "part", "words", "a", "b", "c2", "parent", "last", "c3"]
+        shard, part, words, a, b, c2, parent, last, c3 = flat(table, names)
+        own = [unpacked(w, True) for w in words]
+        context = np.concatenate([w[unpacked(x)] for w, x in zip(own, a, strict=True)])
+        keys = pair_keys(context, np.concatenate([w[unpacked(x)] for w, x in zip(own, b, strict=True)]))
+        keys, first, at = np.unique(keys, return_index=True, return_inverse=True)
+        counts = [unpacked(c) for c in c2]
+        n2 = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
+        n2[n2 < least] = 0
+        offsets = np.cumsum([0, *map(len, counts)])
+        counts = [unpacked(c) for c in c3]
+        ends = np.cumsum([0, *map(len, counts)])
+        up = at[np.concatenate([unpacked(x, True).astype(np.int64) + o for x, o in zip(parent, offsets, strict=False)])]
+        word = np.concatenate([w[unpacked(x)] for w, x in zip(own, last, strict=True)])
+        order = np.lexsort((word, up))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(up[order]) != 0) | (word[order][1:] != word[order][:-1])
+        own = np.empty(len(order), np.int64)
+        own[order] = np.cumsum(new) - 1
+        n3 = np.bincount(own, np.concatenate(counts), int(new.sum())).astype(np.int64)
+        n3[n3 < least] = 0
+        above = up[order][new]
+        sum3 = np.bincount(above, n3, len(keys)).astype(np.int64)
+        many3 = np.bincount(above[n3 > 0], minlength=len(keys))
+        out = []
+        for r in range(len(part)):
+            mine = at[offsets[r] : offsets[r + 1]]
+            out.append((part[r], shard[r], None, packed(n2[mine]), packed(sum3[mine]), packed(many3[mine]), packed(n3[own[ends[r] : ends[r + 1]]])))
+        kept = n2 > 0
+        contexts, where = np.unique(context[first[kept]], return_inverse=True)
+        sum2 = np.bincount(where, n2[kept], len(contexts)).astype(np.int64)
+        many2 = np.bincount(where, minlength=len(contexts))
+        cut = cuts(contexts, shards)
+        for k, (i, j) in enumerate(zip(cut, cut[1:], strict=False)):
+            if i < j:
+                out.append((None, k, packed(contexts[i:j], True), None, packed(sum2[i:j]), packed(many2[i:j]), None))
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["part", "shard", "words", "c", "sums", "many", "c3"])
+
+    return sent.groupBy("shard").applyInArrow(one, "part long, shard int, words binary, c binary, sums binary, many binary, c3 binary")
+
+
+def word_answers(sent: DataFrame, contexts: DataFrame) -> DataFrame:
+    """To each part, with the shard: counts of its words and the sum and number of their kept pairs; and one row without a part
+    per shard: its number of distinct training words and the largest count."""
+    none = F.lit(None).cast("binary")
+    rows = sent.withColumns({"sums": none, "many": none}).unionByName(
+        contexts.select("shard", F.lit(None).cast("long").alias("part"), "words", none.alias("c1"), "sums", "many")
+    )
+
+    def one(table: pa.Table) -> pa.Table:
+        shard, part, words, c1, sums, many = flat(table, ["shard", "part", "words", "c1", "sums", "many"])
+        own = [unpacked(w, True) for w in words]
+        found, at = np.unique(np.concatenate(own), return_inverse=True)
+
+        def total(column: list) -> np.ndarray:
+            values = [np.zeros(len(w), np.int64) if c is None else unpacked(c) for c, w in zip(column, own, strict=True)]
+            return np.bincount(at, np.concatenate(values), len(found)).astype(np.int64)
+
+        n1, sum2, many2 = total(c1), total(sums), total(many)
+        out = [(None, shard[0], None, None, None, int(((n1 > 0) & (found != np.uint64(BOS))).sum()), int(n1.max()))]
+        offsets = np.cumsum([0, *map(len, own)])
+        for r in range(len(part)):
+            if part[r] is not None:
+                mine = at[offsets[r] : offsets[r + 1]]
+                out.append((part[r], shard[r], packed(n1[mine]), packed(sum2[mine]), packed(many2[mine]), None, None))
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["part", "shard", "c", "sums", "many", "distinct", "top"])
+
+    return rows.groupBy("shard").applyInArrow(one, "part long, shard int, c binary, sums binary, many binary, distinct long, top long")
+
+
+def touched(p: Part, answers: list[dict], tokens: int, distinct: int, least: int, top: int) -> tuple[Trie, np.ndarray, np.ndarray]:
+    """(the trie of what a part's texts touch, ids of the part's words in it or -1, exact counts of the words)."""
+
+    def gathered(rows: list[dict], name: str) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(unpacked(r[name]) for r in rows)])
+
+    rows = sorted(answers, key=lambda r: r["shard"])
+    ones, twos = [r for r in rows if r["c3"] is None], [r for r in rows if r["c3"] is not None]
+    n1, sum1, many1 = (gathered(ones, c) for c in ("c", "sums", "many"))
+    n2, sum2, many2, n3 = (gathered(twos, c) for c in ("c", "sums", "many", "c3"))
+    known = n1 >= least
+    known[p.bos] = False
+    ids = np.where(known, np.cumsum(known) - 1, -1)
+    ids[p.bos] = size = int(known.sum())
+    order1 = np.append(np.nonzero(known)[0], p.bos)
+    two = np.nonzero(n2)[0]
+    key2 = ids[p.a[two]] * (size + 1) + ids[p.b[two]]
+    order = np.argsort(key2)
+    place = np.full(len(n2), -1, np.int64)
+    place[two[order]] = np.arange(len(two))
+    two = two[order]
+    three = np.nonzero(n3)[0]
+    left1 = np.maximum(1e-12, 1 - (sum1 - DISCOUNT * many1)[order1] / np.maximum(n1[order1], 1))
+    left2 = np.maximum(1e-12, 1 - (sum2 - DISCOUNT * many2)[two] / n2[two])
+    data = Trie.build(
+        tokens, distinct, p.words[known], n1[known], (key2[order].astype(np.uint64), n2[two]), (place[p.parent[three]], ids[p.last[three]], n3[three]),
+        int(n1[p.bos]), (left1, left2), (float(np.log10(DISCOUNT / max(top, 1))), 0.0),
+    )
+    return Trie(data), ids, n1
+
+
+def score_documents(docs: DataFrame, remainder: int = 0, folds: int = 10, unigram_share: float = 0.0, ngram_share: float = 0.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
-    A null or empty text is the end token alone; a null id belongs to the fold of an empty one; repeated rows are counted
-    and scored as often as they occur; an empty table gives no rows. Without training rows N and V are 0 and every token
-    has the same probability. Other columns are not read.
+    N-grams of LEAST occurrences are kept, whatever the size of the input; only a caller's own shares of all tokens ask for
+    more. A null or empty text is the end token alone; a null id belongs to the fold of an empty one; repeated rows are
+    counted and scored as often as they occur; an empty table gives no rows. Without training rows N and V are 0 and every
+    token has the same probability. Other columns are not read.
     """
+    if unigram_share > ngram_share:
+        raise ValueError("words of kept n-grams must be kept: unigram_share is at most ngram_share")
     scratch = Scratch(docs.sparkSession, "lm-score")
     held_out = crc_of_id() % folds == remainder
-    data, words = train(docs.filter(~held_out).select(text_bytes().alias("text")), scratch, unigram_share, ngram_share)
-    name = share_file(docs.sparkSession, "lm-trie", data)
-    whole = Trie(data)
-    tokens, log_total = whole.tokens, float(np.log10(whole.tokens + ADDED * (whole.words + 1)))
-
-    def run(rows: dict) -> dict:
-        trie, known = opened(name)
-        texts = [[*lowered_words(t), END] for t in rows["text"]]
-        ids, before, owner = token_arrays(known, texts)
-        n = len(texts)
-        model = np.bincount(owner, trie.scores(ids, before), n)
-        there = ids >= 0
-        base = np.bincount(owner, np.where(there, trie.log1[np.where(there, ids, 0)] if len(trie.log1) else 0.0, 0.0), n)
-        rare: list[list] = [[] for _ in range(n)]
-        flat = list(chain.from_iterable(texts))
-        by_doc: dict[int, Counter] = defaultdict(Counter)
-        for i in np.nonzero(~there)[0].tolist():
-            by_doc[owner[i]][flat[i]] += 1
-        for d, own in by_doc.items():
-            rare[d] = [{"h": (h := xxhash.xxh64_intdigest(w)) - (h >> 63 << 64), "n": c} for w, c in own.items()]
-        return {
-            "n_tokens": [len(t) for t in texts], "n_frequent": np.bincount(owner, there, n).astype(np.int64),
-            "base": base, "model": model, "rare": rare,
-        }
-
-    parts = arrow_map(
-        docs.select("doc_id", held_out.alias("held_out"), F.expr("uuid()").alias("_row"), text_bytes().alias("text")), run,
-        "n_tokens long, n_frequent long, base double, model double, rare array<struct<h:long,n:long>>", ["doc_id", "held_out", "_row"],
-    )
-    parts = scratch.write(parts, "parts")  # fixes each row's own id
-    rare = parts.select("_row", F.explode("rare").alias("r")).select("_row", "r.h", "r.n")
-    summed = rare.join(words.select("h", "c"), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    summed = summed.groupBy("_row").agg(
-        F.sum(F.col("n") * (F.log10(F.col("c") + ADDED) - log_total)).alias("extra"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("seen"),
-    )
-    out = parts.drop("rare").join(summed, "_row", "left")
-    extra = F.coalesce("extra", F.lit(0.0))
-    result = out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_frequent") + F.coalesce("seen", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base") + extra).alias("base_score"), (F.col("model") + extra).alias("score"),
+    parts = scratch.write(parts_of(docs, held_out), "parts")
+    total = parts.agg(F.sum("n").alias("n"), F.sum("trained").alias("trained")).first()
+    tokens = total["trained"] or 0
+    shards = max(1, -(-(total["n"] or 0) // SHARD_TOKENS))
+    least, least_word = (max(LEAST, int(np.ceil(share * tokens))) for share in (ngram_share, unigram_share))
+    to_pairs, to_words = requests(parts, shards)
+    twos = scratch.write(pair_answers(to_pairs, shards, least), "pairs")
+    ones = scratch.write(word_answers(to_words, twos.filter("part is null")), "words")
+    summary = ones.filter("part is null").agg(F.sum("distinct").alias("v"), F.max("top").alias("top")).first()
+    distinct, top = summary["v"] or 0, summary["top"] or 0
+    log_total = float(np.log10(tokens + ADDED * (distinct + 1)))
+    answers = twos.filter("part is not null").select("part", "shard", "c", "sums", "many", "c3").unionByName(
+        ones.filter("part is not null").select("part", "shard", "c", "sums", "many", F.lit(None).cast("binary").alias("c3"))
     )
-    return scratch.finish(result)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def one(part: pa.Table, given: pa.Table) -> pa.Table:
+        lists = [part.column(c).combine_chunks().flatten() for c in ("doc_id", "held_out")]
+        row = part.select(["held_out", "lengths", "words", "tokens"]).to_pylist()[0]
+        p = Part(row)
+        trie, ids, counts = touched(p, given.to_pylist(), tokens, distinct, least_word, top)
+        owner, n = np.repeat(np.arange(len(p.lengths)), p.lengths), len(p.lengths)
+        unigram = np.log10(counts + ADDED) - log_total
+        rare = np.where(ids[p.tokens] < 0, unigram[p.tokens], 0.0)  # the trie leaves out the unigram part of unknown words
+        score = np.bincount(owner, trie.scores(ids[p.tokens], ids[p.before]) + rare, n)
+        known = np.bincount(owner, counts[p.tokens] > 0, n).astype(np.int64)
+        return pa.table([*lists, p.lengths, known, np.full(n, tokens), np.bincount(owner, unigram[p.tokens], n), score], names)
+
+    schema = T.StructType([
+        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
+        *(T.StructField(c, T.LongType()) for c in names[2:5]), *(T.StructField(c, T.DoubleType()) for c in names[5:]),
+    ])
+    own = parts.select("part", "doc_id", "held_out", "lengths", "words", "tokens")
+    return scratch.finish(own.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(one, schema))

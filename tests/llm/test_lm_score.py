@@ -83,6 +83,26 @@ def test_against_brute_force(listed, documents, odd, nothing):
     assert lm_score.score_documents(nothing).count() == 0
 
 
+def test_what_occurs_twice_is_kept_in_a_large_corpus(spark, listed):
+    ids = range(1000, 1100)
+    trained, held = [i for i in ids if fold(i)][:2], [i for i in ids if not fold(i)][:1]
+    rows = [(i, "x " * 50_000) for i in range(50)] + [(i, "left right turn") for i in trained + held]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r[0]: r for r in brute(listed(docs), 0, 0)}
+    got = {r.doc_id: r for r in lm_score.score_documents(docs).collect()}
+    assert got.keys() == want.keys() and next(iter(got.values())).train_tokens > 2_000_000
+    for i, r in got.items():
+        assert abs(r.score - want[i][6]) <= 0.05 * want[i][2], i
+        assert i < 1000 or r.score > r.base_score + 6
+
+
+def test_parts_and_shards_of_any_size(listed, documents, odd, monkeypatch):
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 3000)
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 7000)
+    assert_right(listed, documents)
+    assert_right(listed, odd)
+
+
 def test_no_training_rows(spark):
     doc = next(i for i in range(1000) if fold(i) == 0)
     row = lm_score.score_documents(spark.createDataFrame([(doc, "a b")], "doc_id long, text string")).first()
