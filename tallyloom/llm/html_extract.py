@@ -3,8 +3,9 @@
 Every page becomes a stream of structural tokens (tags with their class names, text slots). Neighbouring equal runs fold into
 repeated groups; the distinct folded streams of a host, counted before they travel, are aligned one after another: where
 two differ, the differing part becomes an optional group, or joins a repeated group that has the same content. The wrapper's
-text slots are labelled once per host: by their place (article, main, page furniture), by whether all pages of the host
-show the same text there, and, for repeated slots, by the share of links. A page's text is that of its main slots.
+text slots are labelled once per host: by their place (article, main, page furniture), outside these containers by whether
+all pages of the host show the same text there, and, for repeated slots, by the share of links. A page's text is that of
+its main slots.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from tallyloom.llm.url_filter import split_url
 SALTS = 16
 MAX_BROADCAST_SLOTS = 200_000
 MAX_PERIOD = 24
+FACTOR, MASK = 0x9E3779B97F4A7C15, (1 << 63) - 1  # of digests of several texts
 
 #: Fixed values of HTML: elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -225,39 +227,52 @@ def merged(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[str, ...]:
 
 
 def _parts(pages: DataFrame) -> DataFrame:
-    """Per Arrow batch: (host, stream, null..) with page counts, and (host, path) rows with what the slot's texts show."""
+    """Per Arrow batch: (host, stream, null..) with page counts, (host, path) rows with what the slot shows from page to page,
+    and one row without either per distinct digest (``lo``) of a page's texts outside furniture."""
 
     def run(rows: dict) -> dict:
         streams: dict = defaultdict(int)
         slots: dict = {}
+        digests: dict = {}
         known: dict = {}
         for url, html in zip(rows["url"], rows["html"], strict=True):
             host = split_url(url)[0]
             page = Page(html or "", known)
             streams[host, "\n".join(folded(page.stream))] += 1
+            own: dict = {}
+            whole = 0
             for path, level, text, link, _ in page.texts:
                 if text == " ":
                     continue
                 clean = " ".join(text.split())
-                h = xxhash.xxh64_intdigest(clean) >> 1
+                h = xxhash.xxh64_intdigest(clean)
+                if level >= 0:
+                    whole = (whole * FACTOR + h) & MASK
+                s = own.setdefault((path, level), [0, 0, 0])
+                s[0] = (s[0] * FACTOR + h) & MASK
+                s[1] += len(clean)
+                s[2] += len(clean) * link
+            digests[host, whole] = None
+            for (path, level), (h, chars, links) in own.items():
                 s = slots.get((host, path, level))
                 if s is None:
-                    slots[host, path, level] = [h, h, len(clean), len(clean) * link, 1]
+                    slots[host, path, level] = [h, h, chars, links, 1]
                 else:
                     s[0], s[1] = min(s[0], h), max(s[1], h)
-                    s[2] += len(clean)
-                    s[3] += len(clean) * link
+                    s[2] += chars
+                    s[3] += links
                     s[4] += 1
+        d = [None] * len(digests)
         return {
-            "host": [k[0] for k in streams] + [k[0] for k in slots],
-            "stream": [k[1] for k in streams] + [None] * len(slots),
-            "path": [None] * len(streams) + [k[1] for k in slots],
-            "level": [None] * len(streams) + [k[2] for k in slots],
-            "n": list(streams.values()) + [s[4] for s in slots.values()],
-            "lo": [None] * len(streams) + [s[0] for s in slots.values()],
-            "hi": [None] * len(streams) + [s[1] for s in slots.values()],
-            "chars": [None] * len(streams) + [s[2] for s in slots.values()],
-            "links": [None] * len(streams) + [s[3] for s in slots.values()],
+            "host": [k[0] for k in streams] + [k[0] for k in slots] + [k[0] for k in digests],
+            "stream": [k[1] for k in streams] + [None] * len(slots) + d,
+            "path": [None] * len(streams) + [k[1] for k in slots] + d,
+            "level": [None] * len(streams) + [k[2] for k in slots] + d,
+            "n": list(streams.values()) + [s[4] for s in slots.values()] + d,
+            "lo": [None] * len(streams) + [s[0] for s in slots.values()] + [k[1] for k in digests],
+            "hi": [None] * len(streams) + [s[1] for s in slots.values()] + d,
+            "chars": [None] * len(streams) + [s[2] for s in slots.values()] + d,
+            "links": [None] * len(streams) + [s[3] for s in slots.values()] + d,
         }
 
     schema = "host string, stream string, path string, level int, n long, lo long, hi long, chars long, links long"
@@ -288,29 +303,32 @@ def wrappers(parts: DataFrame) -> DataFrame:
 def slot_labels(parts: DataFrame, found: DataFrame, least_pages: int = 3, link_share: float = 0.6) -> DataFrame:
     """(host, path, level, main) of every text slot of a host.
 
-    Main: not furniture; not the same text on all of at least ``least_pages`` pages, where another slot of that level varies
-    (template text); and, for a slot in a repeated group outside an article, not mostly links.
+    Main: not furniture; outside an article or main container, not the same text on all pages of a host, where another such
+    slot differs between pages and at least ``least_pages`` pages are distinct (template text); and, for a slot in a repeated
+    group outside an article, not mostly links.
     """
     slots = parts.filter("path is not null").groupBy("host", "path", "level").agg(
         F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
     )
-    varies = F.col("lo") < F.col("hi")
-    others = slots.groupBy("host", "level").agg(F.max(varies).alias("others"))
-    joined = slots.join(others, ["host", "level"]).join(found.select("host", "pages", "wrapper"), "host")
+    distinct = parts.filter("stream is null and path is null").select("host", "lo").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("distinct"))
+    slots = slots.join(found.select("host", "pages", "wrapper"), "host").join(distinct, "host")
+    same = (F.col("lo") == F.col("hi")) & (F.col("n") == F.col("pages"))
+    others = slots.groupBy("host", "level").agg(F.max(~same).alias("others"))
+    joined = slots.join(others, ["host", "level"])
     last = F.regexp_extract("path", r">([^>]*)$", 1)
     repeated = F.col("wrapper").contains(F.concat(F.lit("(<"), last)) & F.col("wrapper").contains(")+")
-    template = ~varies & (F.col("n") >= F.col("pages")) & (F.col("pages") >= least_pages) & F.col("others")
+    template = (F.col("level") == 0) & same & (F.col("distinct") >= least_pages) & F.col("others")
     listing = (F.col("level") < 2) & repeated & (F.col("links") > F.col("chars") * link_share)
     return joined.select("host", "path", "level", ((F.col("level") >= 0) & ~template & ~listing).alias("main"))
 
 
 def main_text(html: str | None, wanted: set[tuple[str, int]], known: dict) -> str:
-    """The texts of the page's main slots of its highest level, a line per block."""
+    """The texts of the page's main slots, a line per block: those in article and main containers, without any all others."""
     page = Page(html or "", known)
     top, any_text = 0, False
     for path, level, text, _, _ in page.texts:
         if (path, level) in wanted and text != " " and not text.isspace():
-            top, any_text = max(top, level), True
+            top, any_text = max(top, min(level, 1)), True
     if not any_text:
         return ""
     blocks: list[str] = []
@@ -321,7 +339,7 @@ def main_text(html: str | None, wanted: set[tuple[str, int]], known: dict) -> st
             if joined:
                 blocks.append(joined)
             current, pieces = block, []
-        if text == " " or (level == top and (path, level) in wanted):
+        if text == " " or (min(level, 1) == top and (path, level) in wanted):
             pieces.append(text)
     return "\n".join(blocks)
 

@@ -33,6 +33,27 @@ def test_without_an_article(spark):
     assert [got[i].text for i in range(4)] == [f"Text {i}.\nMore {i}." for i in range(4)]
 
 
+def test_text_that_pages_share_stays_in_an_article(spark):
+    page = "<nav><a href=1>Home</a></nav><{0}><h1>One title</h1><h2>Notes</h2><p>First {1}.</p><p>Second {1}.</p></{0}>"
+    rows = [(i, "http://copies.com/", page.format("article", "x")) for i in range(4)]
+    rows += [(10 + i, "http://fixed.com/", page.format("article", i)) for i in range(4)]
+    rows += [(20 + i, "http://main.com/", page.format("main", i)) for i in range(4)]
+    rows += [(30 + i, "http://plain.com/", page.format("div", "x")) for i in range(4)]
+    rows += [(40 + i, "http://two.com/", page.format("div", "xy"[i % 2])) for i in range(4)]
+    rows += [(50 + i, "http://body.com/", page.format("div", i)) for i in range(4)]
+    got = extracted(spark, rows)
+    for i in range(4):
+        for start, n in ((0, "x"), (10, i), (20, i), (30, "x"), (40, "xy"[i % 2])):
+            assert got[start + i].text == f"One title\nNotes\nFirst {n}.\nSecond {n}.", start
+        assert got[50 + i].text == f"First {i}.\nSecond {i}."  # outside a container: template text of distinct pages
+
+
+def test_main_and_the_article_in_it(spark):
+    page = "<p>Out {0}</p><main><h1>Title {0}</h1><article><p>Text {0}.</p></article><p>Note {0}.</p></main>"
+    got = extracted(spark, [(i, "http://h.com/", page.format(i)) for i in range(3)])
+    assert [got[i].text for i in range(3)] == [f"Title {i}\nText {i}.\nNote {i}." for i in range(3)]
+
+
 def test_odd_rows(spark):
     rows = [
         (1, None, "<p>Alone"), (2, "x", None), (3, "http://c.com", ""), (4, "http://c.com", "plain &amp; simple"), (4, "http://c.com", "plain &amp; simple"),
