@@ -3,7 +3,7 @@
 Every page becomes a stream of structural tokens (tags with their class names, text slots). Neighbouring equal runs fold into
 repeated groups; the distinct folded streams of a host, counted before they travel, are aligned one after another: where
 two differ, the differing part becomes an optional group, or joins a repeated group that has the same content. The wrapper's
-text slots are labelled once per host: by their place (article, main, page furniture), outside these containers by whether
+slots, which are tag paths, are labelled once per host: by their place (article, main, page furniture), outside these containers by whether
 all pages of the host show the same text there, and, for repeated slots, by the share of links. A page's text is that of
 its main slots.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tallyloom.llm.common import Scratch, arrow_map, fits
 from tallyloom.llm.url_filter import split_url
 
-SALTS = 16
+STREAMS_AT_ONCE = 32
 MAX_BROADCAST_SLOTS = 200_000
 MAX_PERIOD = 24
 FACTOR, MASK = 0x9E3779B97F4A7C15, (1 << 63) - 1  # of digests of several texts
@@ -282,7 +282,8 @@ def _parts(pages: DataFrame) -> DataFrame:
 def wrappers(parts: DataFrame) -> DataFrame:
     """(host, wrapper, pages): one union-free expression per host, from its distinct streams.
 
-    A host's streams are first merged in SALTS groups, then those results, so that no task sees all of a host of many.
+    A host's streams are merged in a tree: groups of about STREAMS_AT_ONCE, as many as its distinct streams need, then groups
+    of those results, until one is left; no task sees all of a host of many.
     """
     streams = parts.filter("stream is not null").groupBy("host", "stream").agg(F.sum("n").alias("n"))
 
@@ -292,12 +293,21 @@ def wrappers(parts: DataFrame) -> DataFrame:
         for stream in pdf.stream:
             nodes = tuple(stream.split("\n")) if stream else ()
             wrapper = nodes if wrapper is None else merged(wrapper, nodes)
-        return pd.DataFrame({"host": [pdf.host.iloc[0]], "stream": ["\n".join(wrapper or ())], "n": [int(pdf.n.sum())]})
+        return pd.DataFrame({"host": [pdf.host.iloc[0]], "stream": ["\n".join(wrapper or ())], "n": [int(pdf.n.sum())], "groups": [int(pdf.groups.iloc[0])]})
 
     schema = "host string, stream string, n long"
-    salted = streams.withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALTS)))
-    first = salted.groupBy("host", "salt").applyInPandas(one, schema)
-    return first.groupBy("host").applyInPandas(one, schema).withColumnsRenamed({"stream": "wrapper", "n": "pages"})
+    most = streams.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    rounds = 1
+    while most > STREAMS_AT_ONCE:
+        most = -(-most // STREAMS_AT_ONCE)
+        rounds += 1
+    each = streams.groupBy("host").agg(F.count(F.lit(1)).alias("groups"))
+    merging = streams.join(each, "host")
+    for left in range(rounds - 1, -1, -1):
+        merging = merging.withColumn("groups", F.ceil(F.col("groups") / STREAMS_AT_ONCE) if left else F.lit(1).cast("long"))
+        merging = merging.withColumn("salt", F.pmod(F.xxhash64("stream", "n"), F.col("groups")))
+        merging = merging.groupBy("host", "salt").applyInPandas(one, schema + ", groups long")
+    return merging.select("host", F.col("stream").alias("wrapper"), F.col("n").alias("pages"))
 
 
 def slot_labels(parts: DataFrame, found: DataFrame, least_pages: int = 3, link_share: float = 0.6) -> DataFrame:

@@ -91,3 +91,12 @@ def test_wrappers(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = html_extract.wrappers(html_extract._parts(df)).collect()
     assert len(found) == 1 and found[0].pages == 4 and "(<li # >li)+" in found[0].wrapper
+
+
+def test_a_host_of_many_streams_is_merged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "STREAMS_AT_ONCE", 3)
+    rows = [(i, "http://a.com/", "".join(f"<{t}>x</{t}>" for k, t in enumerate(["p", "h2", "pre", "h3", "dl"]) if i >> k & 1)) for i in range(32)]
+    df = spark.createDataFrame([*rows, (99, "http://b.com/", "<p>x</p>")], "page_id long, url string, html string")
+    found = {r.host: r for r in html_extract.wrappers(html_extract._parts(df)).collect()}
+    assert found["a.com"].pages == 32 and (found["b.com"].wrapper, found["b.com"].pages) == ("<p\n#\n>p", 1)
+    assert all(f"<{t}" in found["a.com"].wrapper for t in ["p", "h2", "pre", "h3", "dl"])
