@@ -265,7 +265,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The documents of which ``kept`` holds, all columns untouched. Repeated rows of one id: one stays."""
-    named = near_duplicates(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    gone = F.broadcast(named) if fits(named, MAX_BROADCAST_IDS) else named
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each group of near duplicates, all columns untouched: that of the least id, null ids last.
+
+    Rows are told apart by a key of their own, so that repeated rows of one id leave one, an id of two texts is two
+    documents, and rows without an id are judged by their texts. Texts without shingles all stay.
+    """
+    scratch = Scratch(docs.sparkSession, "one-of-each")
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = scratch.write(docs.withColumn(key, F.monotonically_increasing_id()), "rows")  # written: the keys are fixed
+    named = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), percent).filter(~F.col("kept"))
+    members = named.select(F.col("doc_id").alias("_key"), "component_id")
+    members = members.unionByName(members.select(F.col("component_id").alias("_key"), "component_id").distinct())
+    members = scratch.write(members, "members")
+    few = F.broadcast(members) if fits(members, MAX_BROADCAST_IDS) else members
+    ids = rows.select(F.col(key).alias("_key"), "doc_id").join(few, "_key")
+    keepers = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("least"))
+    gone = members.join(keepers.select(F.col("least._key").alias("_key")), "_key", "left_anti").select("_key")
+    gone = scratch.write(gone, "gone")
+    gone = (F.broadcast(gone) if fits(gone, MAX_BROADCAST_IDS) else gone).withColumnRenamed("_key", "_gone")
+    return rows.join(gone, F.col(key) == F.col("_gone"), "left_anti").drop(key)
