@@ -149,8 +149,12 @@ def index(digests: DataFrame, shards: int, before: DataFrame | None = None) -> D
     return rows.groupBy("shard").applyInPandas(one, "shard int, digest string, keep_id long, group_size long")
 
 
-def remove(entries: DataFrame, gone: DataFrame) -> DataFrame:
-    """Index entries after (digest) rows of ``gone`` have left; the keeper is not searched anew where rows remain."""
+def remove(entries: DataFrame, gone: DataFrame, digests: DataFrame | None = None) -> DataFrame:
+    """Index entries after rows of ``gone`` (digest, doc_id) have left.
+
+    ``digests`` holds the (digest, doc_id) rows that the entries were made of: the keeper of a touched digest is its largest
+    id that is left. Without them only the row counts follow, and ``gone`` needs no ids.
+    """
     shards = entries.select("shard", "digest", "keep_id", "group_size")
     counted = gone.groupBy("digest").agg(F.count(F.lit(1)).alias("gone_rows"))
     marked = shards.join(counted, "digest", "left")
@@ -165,7 +169,14 @@ def remove(entries: DataFrame, gone: DataFrame) -> DataFrame:
         out["group_size"] = [held.keys[bytes.fromhex(d)][1] for d in out.digest]
         return out[["shard", "digest", "keep_id", "group_size"]]
 
-    return marked.groupBy("shard").applyInPandas(one, "shard int, digest string, keep_id long, group_size long")
+    left = marked.groupBy("shard").applyInPandas(one, "shard int, digest string, keep_id long, group_size long")
+    if digests is None:
+        return left
+    touched = digests.join(counted.select("digest"), "digest", "left_semi").select("digest", "doc_id", F.lit(1).alias("n"))
+    live = touched.unionByName(gone.select("digest", "doc_id", F.lit(-1).alias("n"))).groupBy("digest", "doc_id").agg(F.sum("n").alias("n"))
+    keepers = live.filter("n > 0").groupBy("digest").agg(F.max("doc_id").alias("new"), F.lit(True).alias("found"))
+    keep = F.when(F.col("found"), F.col("new")).otherwise(F.col("keep_id")).alias("keep_id")
+    return left.join(keepers, "digest", "left").select("shard", "digest", keep, "group_size")
 
 
 def exact_duplicates(docs: DataFrame, digest=sha256) -> DataFrame:

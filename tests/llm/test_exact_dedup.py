@@ -56,3 +56,11 @@ def test_index_takes_more_and_gives_back(spark, documents):
     assert {(r.digest, r.keep_id, r.group_size) for r in both.collect()} == want
     left = exact_dedup.remove(both, digests.select("digest").limit(20))
     assert left.agg(F.sum("group_size")).first()[0] == documents.count() - 20
+
+
+def test_the_next_keeper_follows_a_removed_one(spark):
+    rows = [("aa", 1), ("aa", 5), ("aa", 9), ("bb", 2), ("bb", 3), ("cc", 4), ("dd", 7), ("dd", 7), ("ee", None), ("ee", 6)]
+    digests = spark.createDataFrame(rows, "digest string, doc_id long")
+    gone = spark.createDataFrame([("aa", 9), ("bb", 2), ("cc", 4), ("dd", 7), ("ee", 6)], "digest string, doc_id long")
+    left = exact_dedup.remove(exact_dedup.index(digests, 4), gone, digests)
+    assert {(r.digest, r.keep_id, r.group_size) for r in left.collect()} == {("aa", 5, 2), ("bb", 3, 1), ("dd", 7, 1), ("ee", None, 1)}
