@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, html_extract, line_dedup, lm_score, mixing, near_dedup, packing, quality_model, quality_rules, url_filter
+from tallyloom.llm import exact_dedup, html_extract, line_dedup, lm_score, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, url_filter
 from tallyloom.llm.common import Scratch
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -71,11 +71,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), MIX)
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
+    counts = [secret_scan.number(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]]
+    base = F.sha2(secret_scan.listed(base_only=True).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secret_scan.listed().alias("spans"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_packing, op3_quality_rules, op4_exact_dedup, op5_near_dedup, op6_line_dedup, op7_quality_classifier,
-        op8_lm_scoring, op9_html_extraction, op10_mixing,
+        op8_lm_scoring, op9_html_extraction, op10_mixing, op11_secret_scans,
     )
 }
 SPACE = r"[\x20\x09-\x0D]"
