@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, html_extract, line_dedup, lm_score, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, url_filter
+from tallyloom.llm import exact_dedup, html_extract, line_dedup, lm_score, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, spelling, url_filter
 from tallyloom.llm.common import Scratch
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -78,11 +78,16 @@ def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, secret_scan.listed().alias("spans"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "spelling")
+    return scratch.finish(spelling.spelling_variants(table(spark, sf_dir, "documents"), scratch, damage=199))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_packing, op3_quality_rules, op4_exact_dedup, op5_near_dedup, op6_line_dedup, op7_quality_classifier,
-        op8_lm_scoring, op9_html_extraction, op10_mixing, op11_secret_scans,
+        op8_lm_scoring, op9_html_extraction, op10_mixing, op11_secret_scans, op13_spelling_variants,
     )
 }
 SPACE = r"[\x20\x09-\x0D]"
