@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, html_extract, line_dedup, lm_score, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, spelling, url_filter
+from tallyloom.llm import exact_dedup, hard_negatives, html_extract, line_dedup, lm_score, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, spelling, url_filter
 from tallyloom.llm.common import Scratch
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -78,6 +78,13 @@ def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, secret_scan.listed().alias("spans"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "hard-negatives")
+    rows = table(spark, sf_dir, "embeddings")
+    labelled = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return scratch.finish(hard_negatives.hard_negatives(labelled, F.col("vec_id") % 100 == 0, scratch))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "spelling")
     return scratch.finish(spelling.spelling_variants(table(spark, sf_dir, "documents"), scratch, damage=199))
@@ -87,7 +94,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_packing, op3_quality_rules, op4_exact_dedup, op5_near_dedup, op6_line_dedup, op7_quality_classifier,
-        op8_lm_scoring, op9_html_extraction, op10_mixing, op11_secret_scans, op13_spelling_variants,
+        op8_lm_scoring, op9_html_extraction, op10_mixing, op11_secret_scans, op12_hard_negatives, op13_spelling_variants,
     )
 }
 SPACE = r"[\x20\x09-\x0D]"
@@ -152,4 +159,21 @@ marked AS (SELECT k.*, coalesce(last <> doc_id, false) AS gone FROM keyed k LEFT
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_hard_negatives": """
+WITH used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM used a JOIN used b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER each AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW each AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER each <= 10""",
 }
