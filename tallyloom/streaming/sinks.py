@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tallyloom.operators.merge import apply_cdc, latest_changes, rejected_changes, usable_change
 from tallyloom.operators.ordering import bundle, latest_per_key
 from tallyloom.operators.quality import threshold_alert
-from tallyloom.operators.snapshots import history, latest_version, read_as_of, write_snapshot
+from tallyloom.operators.snapshots import expire_snapshots, history, latest_version, read_as_of, write_snapshot
 from tallyloom.sources import folders
 
 
@@ -60,13 +60,21 @@ def _applied(spark: SparkSession, path: str, label: str) -> bool:
     return not history(spark, path).filter(F.col("operation") == label).isEmpty()
 
 
-def to_snapshot(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """The full result after each batch as a new version (``operators.snapshots``), for complete-mode aggregates."""
+def to_snapshot(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = None, keep: int | None = None, hours: float = 1
+) -> StreamingQuery:
+    """The full result after each batch as a new version (``operators.snapshots``), for complete-mode aggregates.
+
+    With ``keep``, versions beyond the newest so many are dropped after each batch once they are ``hours`` old, except those
+    that a reader holds (``snapshots.held``).
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         label = f"batch {batch_id} of {checkpoint}"
         if not _applied(batch.sparkSession, path, label):
             write_snapshot(batch, path, label)
+        if keep is not None:
+            expire_snapshots(batch.sparkSession, path, hours, keep=keep)
 
     return _per_batch(stream, handle, checkpoint, "complete", every)
 

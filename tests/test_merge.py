@@ -167,3 +167,53 @@ def test_a_key_must_stay_in_its_partition(spark, tmp_path):
     moved = spark.createDataFrame([(1, "b", 9)], "id int, p string, t int").selectExpr("id", "p", "timestamp_seconds(t) AS timestamp")
     with pytest.raises(ValueError):
         merge.upsert_partitions(spark, path, moved, ["id"], ["p"])
+
+
+def test_of_two_writers_of_one_version_one_is_refused_and_the_other_is_intact(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    snapshots.write_snapshot(spark.range(1), path)
+    real, once = snapshots.folders.create, []
+
+    def create(spark, *args):
+        if not once:  # another writer comes first, between this one's rows and its record
+            once.append(True)
+            snapshots.write_snapshot(spark.range(100, 107), path, "OTHER")
+        return real(spark, *args)
+
+    monkeypatch.setattr(snapshots.folders, "create", create)
+    with pytest.raises(snapshots.VersionTaken):
+        snapshots.write_snapshot(spark.range(5), path, "MINE")
+    assert sorted(r["id"] for r in snapshots.read_as_of(spark, path).collect()) == list(range(100, 107))
+    assert [r["operation"] for r in snapshots.history(spark, path).collect()] == ["OTHER", "WRITE"]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+    with pytest.raises(snapshots.VersionTaken):
+        snapshots.write_snapshot(spark.range(5), path, "MINE", version=1)
+
+
+def test_many_writers_at_once_each_get_a_version_or_an_error(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "t")
+
+    def write(n):
+        try:
+            return snapshots.write_snapshot(spark.range(n), path, f"w{n}"), n
+        except snapshots.VersionTaken:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        done = dict(filter(None, pool.map(write, range(1, 9))))
+    assert sorted(done) == list(range(len(done))) and done
+    assert {v: snapshots.read_as_of(spark, path, v).count() for v in done} == done
+
+
+def test_expiry_spares_the_newest_and_what_a_reader_holds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(5):
+        snapshots.write_snapshot(spark.range(n), path, now=T0)
+    with snapshots.held(spark, path, 1) as rows_held:
+        assert snapshots.expire_snapshots(spark, path, 1, now=NOW, keep=2) == [0, 2]
+        assert rows_held.count() == 1
+    assert snapshots.expire_snapshots(spark, path, 1, now=NOW, keep=2) == [1]
+    assert [r["version"] for r in snapshots.history(spark, path).collect()] == [4, 3]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2

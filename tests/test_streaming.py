@@ -188,3 +188,14 @@ def test_a_stream_runs_by_interval(spark, feed, tmp_path):
         assert query.isActive and spark.read.parquet(str(tmp_path / "o")).count() == 1
     finally:
         query.stop()
+
+
+def test_a_stream_keeps_a_set_number_of_versions(spark, feed, tmp_path):
+    folder, add = feed
+    out, checkpoint = str(tmp_path / "o"), str(tmp_path / "c")
+    for i in range(6):
+        add([(moment("10:00:00"), f"k{i}", 1.0)])
+    totals = stream_files(spark, folder, "parquet", SALES, max_files=1).groupBy("category").count()
+    sinks.finish(sinks.to_snapshot(totals, out, checkpoint, keep=2, hours=0))
+    assert [r["version"] for r in snapshots.history(spark, out).collect()] == [5, 4]
+    assert snapshots.read_as_of(spark, out).count() == 6
