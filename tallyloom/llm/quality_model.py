@@ -1,8 +1,9 @@
 """A quality classifier: logistic regression on hashed word n-grams, trained with follow-the-regularised-leader updates.
 
 Features are hashed unigrams and bigrams of the words (A-Z lower-cased) and of the words' shapes, weighted by the logarithm
-of their counts and brought to length one. SHARDS tasks each train on their part of a bounded sample of labelled rows;
-the mean of their weights is the model, a sparse vector of at most DIM entries. A score is a sparse dot product.
+of their counts and brought to length one. The model is trained row after row on a bounded sample of labelled rows, in
+SHARDS tasks whose weights are averaged; with few labels each further task weakens the mean, so there is one. It is a
+sparse vector of at most DIM entries, and a score is a sparse dot product.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import LOWER_ASCII, arrow_map, crc_of_id, hold, mixed, small_batches, text_bytes
 
 DIM = 1 << 18
-SHARDS = 8
+SHARDS = 1
 EPOCHS = 3
 #: Bound of the training sample, in labelled rows (about; rows are picked by a hash of their id).
 MAX_TRAINING = 20_000
@@ -98,35 +99,40 @@ def sigmoid(x: float) -> float:
 def train(docs: DataFrame, labels: DataFrame, held_out_remainder: int = 2, folds: int = 4, max_rows: int = MAX_TRAINING) -> np.ndarray:
     """The dense weight vector (DIM doubles), from labelled rows outside the held-out fold.
 
-    Of two labels of one id the larger counts; null labels and ids are left out. Without any row all weights are 0.
+    Each shard of the rows trains a model of its own, wherever its rows lie; the weights are the mean of the models that had
+    rows. Of two labels of one id the larger counts; null labels and ids are left out. Without any row all weights are 0.
     """
     spark = docs.sparkSession
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (crc_of_id() % folds != held_out_remainder))
     usable = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_label"))
     share = min(1.0, max_rows / max(1, usable.count()))
-    sample = usable.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = usable.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 62)) < int(share * (1 << 62)))
     rows = docs.join(F.broadcast(sample), docs.doc_id == F.col("_id")).select("_id", "_label", text_bytes().alias("text"))
-    rows = rows.repartition(SHARDS, F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(SHARDS)))
+    rows = rows.withColumn("_shard", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(SHARDS)))
 
-    def run(batches):
+    def run(shard: pa.Table) -> pa.Table:  # at most about MAX_TRAINING / SHARDS rows
         data = []
-        for b in batches:
-            for i, label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                data.append((mixed(np.array([i], np.int64).view(np.uint64))[0], int(label > 0), *features(text)))
-        data.sort(key=lambda d: (d[0], len(d[2])))  # the same order on every attempt, whatever the shuffle brought first
+        for i, label, text in zip(*(shard.column(c).to_pylist() for c in ("_id", "_label", "text")), strict=True):
+            data.append((mixed(np.array([i], np.int64).view(np.uint64))[0], int(label > 0), *features(text)))
+        # The same order on every attempt, whatever the shuffle brought first.
+        data.sort(key=lambda d: (d[0], len(d[2]), d[2].tobytes(), d[3].tobytes()))
         model = FollowTheLeader()
         for _ in range(EPOCHS):
             for _, label, index, value in data:
                 model.update(index, value, label)
         w = model.weights(np.arange(DIM))
         at = np.nonzero(w)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at]), pa.array(np.full(len(at), bool(data)))], ["at", "w", "ok"])
+        return pa.table({"at": np.append(at, -1), "w": np.append(w[at], 1.0)})  # at -1: that this shard had rows
 
     small_batches(spark)
-    found = rows.mapInArrow(run, "at long, w double, ok boolean").groupBy("at").agg((F.sum("w") / SHARDS).alias("w"))
-    out = np.zeros(DIM)
-    for r in found.toLocalIterator():  # at most DIM rows
-        out[r["at"]] = r["w"]
+    found = rows.groupBy("_shard").applyInArrow(run, "at long, w double").groupBy("at").agg(F.sum("w").alias("w"))
+    out, models = np.zeros(DIM), 1.0
+    for r in found.toLocalIterator():  # at most DIM + 1 rows
+        if r["at"] < 0:
+            models = r["w"]
+        else:
+            out[r["at"]] = r["w"]
+    out /= models
     return out
 
 

@@ -48,3 +48,16 @@ def test_updates_follow_the_leader():
         g = 1 / (1 + np.exp(-w)) - label
         z, n = z + g - ((n + g * g) ** 0.5 - n**0.5) / 0.3 * w, n + g * g
         model.update(np.array([7]), np.array([1.0]), label)
+
+
+def test_the_mean_is_of_the_models_that_had_rows(spark):
+    """One labelled row trains one shard's model: the mean is that model, in however many partitions the rows lie."""
+    docs = spark.createDataFrame([(1, "good words here")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    model = quality_model.FollowTheLeader()
+    for _ in range(quality_model.EPOCHS):
+        model.update(*quality_model.features(b"good words here"), 1)
+    expected = model.weights(np.arange(quality_model.DIM))
+    assert expected.any()
+    for partitions in (1, 13):
+        assert np.allclose(quality_model.train(docs.repartition(partitions), labels, held_out_remainder=-1), expected)
