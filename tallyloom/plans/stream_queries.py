@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from tallyloom.operators import joins
 from tallyloom.operators.merge import flatten_cdc
 from tallyloom.operators.sales import category_city
-from tallyloom.operators.snapshots import read_as_of, write_snapshot
+from tallyloom.operators.snapshots import read_as_of
 from tallyloom.plans.merge_queries import CDC_SQL, ROW, order_envelopes
 from tallyloom.plans.record_queries import VALIDATED_SQL
 from tallyloom.plans.registry import LOGS, SENSORS, query
 from tallyloom.plans.views import logs, sensors
 from tallyloom.session import scratch_path
 from tallyloom.sources.readers import TABLES, load
-from tallyloom.streaming import jobs, sinks
+from tallyloom.streaming import jobs, merged, sinks
 from tallyloom.streaming.sources import stream_files, stream_table
 
 NOON = dt.datetime(2024, 6, 1, 12, 0, 0)
@@ -140,10 +140,10 @@ def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = scratch_path(spark, "changes")
     order_envelopes(spark, sf_dir).write.parquet(staged)
     out, checkpoint = _places(spark, "merged")
-    write_snapshot(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), out, "LOAD")
+    merged.load_base(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), out, ["o_orderkey"], places=8)
     changes = flatten_cdc(stream_files(spark, staged, "parquet", "value string"), ROW, ["o_orderkey"])
-    sinks.finish(sinks.merge_stream(changes, out, ["o_orderkey"], checkpoint))
-    return sinks.read_merged(spark, out, ["o_orderkey"])
+    sinks.finish(merged.merge_stream(changes, out, checkpoint))
+    return merged.read_merged(spark, out)
 
 
 @query(
@@ -154,7 +154,7 @@ def merge_stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, the newer changes first, with changes that lack an operation and texts that are no JSON among them."""
     staged, (out, checkpoint) = scratch_path(spark, "changes"), _places(spark, "merged")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    write_snapshot(orders, out, "LOAD")
+    merged.load_base(orders, out, ["o_orderkey"], places=8)
     image = "named_struct('o_orderkey', o_orderkey, 'o_orderstatus', '{}', 'o_totalprice', o_totalprice * {})"
     none = "cast(null as struct<o_orderkey: bigint, o_orderstatus: string, o_totalprice: double>)"
 
@@ -170,8 +170,76 @@ def merge_stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch in (create.unionByName(delete[0]).unionByName(unknown), update.unionByName(delete[1]).unionByName(broken)):
         batch.write.mode("append").parquet(staged)
         changes = flatten_cdc(stream_files(spark, staged, "parquet", "value string"), ROW, ["o_orderkey"])
-        sinks.finish(sinks.merge_stream(changes, out, ["o_orderkey"], checkpoint))
-    return sinks.read_merged(spark, out, ["o_orderkey"])
+        sinks.finish(merged.merge_stream(changes, out, checkpoint))
+    return merged.read_merged(spark, out)
+
+
+MINUTE = 60_000_000
+PLACES = "o_orderkey div 1000"
+
+
+def _changing_orders(spark: SparkSession, sf_dir: str) -> tuple[str, Callable[..., None]]:
+    """Orders as a merged table in places of a thousand keys, and a function that streams one batch of changes into it."""
+    staged, (out, checkpoint) = scratch_path(spark, "changes"), _places(spark, "merged")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    merged.load_base(orders, out, ["o_orderkey"], place=PLACES)
+
+    def change(which: str, op: str, minute: int, status: str, price: str = "o_totalprice") -> None:
+        columns = ["o_orderkey", f"'{status}' AS o_orderstatus", f"{price} AS o_totalprice", f"'{op}' AS operation", f"timestamp_micros({minute * MINUTE}L) AS changed_at"]
+        rows = orders.filter(which).selectExpr(*columns)
+        rows.write.mode("append").parquet(staged)
+        sinks.finish(merged.merge_stream(stream_files(spark, staged, "parquet", rows.schema), out, checkpoint))
+
+    return out, change
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'B' WHEN o_orderkey % 5 = 0 THEN 'C' WHEN o_orderstatus = 'F' THEN 'A' ELSE o_orderstatus END AS o_orderstatus,
+              CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 OR o_orderstatus <> 'P'"""
+)
+def fold_between_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches, folded after the third and the fourth; the third brings changes older than the second's."""
+    out, change = _changing_orders(spark, sf_dir)
+    change("o_orderstatus = 'F'", "u", 10, "A")
+    change("o_orderkey % 3 = 0", "u", 30, "B", "7D")
+    change("o_orderstatus = 'P' OR o_orderkey % 3 = 0", "d", 20, "X")
+    merged.fold_changes(spark, out, "5 minutes")
+    change("o_orderkey % 5 = 0", "c", 25, "C")
+    merged.fold_changes(spark, out, "0 minutes")
+    return merged.read_merged(spark, out)
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN 'N' ELSE o_orderstatus END AS o_orderstatus, o_totalprice + 1 AS o_totalprice
+    FROM orders WHERE o_orderkey % 4 <> 2"""
+)
+def load_over_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second full load complete up to minute 40: changes up to then no longer count, whenever they come; later ones do."""
+    out, change = _changing_orders(spark, sf_dir)
+    change("o_orderkey % 2 = 0", "u", 10, "OLD", "0D")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    merged.load_base(orders, out, ["o_orderkey"], dt.datetime(1970, 1, 1, 0, 40), place=PLACES)
+    change("o_orderkey % 3 = 0", "d", 39, "STALE")
+    change("o_orderkey % 4 = 1", "u", 41, "N", "o_totalprice + 1")
+    change("o_orderkey % 4 = 2", "d", 42, "GONE")
+    merged.fold_changes(spark, out, "0 minutes")
+    return merged.read_merged(spark, out)
+
+
+@query(
+    """WITH t AS (SELECT o_orderkey // 1000 AS place, o_orderkey FROM orders), top AS (SELECT max(place) AS place FROM t)
+    SELECT count(DISTINCT place) AS places, count(DISTINCT place) FILTER (place = (SELECT place FROM top)) AS rewritten,
+           count(*) FILTER (place = (SELECT place FROM top)) AS changes FROM t"""
+)
+def fold_touches_few_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the newest thousand keys only: what the fold reports, one place of all."""
+    out, change = _changing_orders(spark, sf_dir)
+    newest = load(spark, sf_dir, "orders").agg(F.expr(f"max({PLACES})")).first()[0]
+    change(f"{PLACES} = {newest}", "u", 10, "A")
+    change("false", "u", 20, "A")
+    done = merged.fold_changes(spark, out, "0 minutes")
+    return spark.createDataFrame([(done.places, done.rewritten, done.changes)], "places long, rewritten long, changes long")
 
 
 def _in_parts(spark: SparkSession, sf_dir: str, run: Callable[[str], object], parts: int = 4, late: bool = False) -> None:

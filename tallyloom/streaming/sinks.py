@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tallyloom.operators.merge import apply_cdc, latest_changes, rejected_changes, usable_change
 from tallyloom.operators.ordering import bundle, latest_per_key
 from tallyloom.operators.quality import threshold_alert
-from tallyloom.operators.snapshots import expire_snapshots, history, latest_version, read_as_of, write_snapshot
+from tallyloom.operators.snapshots import expire_snapshots, history, latest_version, write_snapshot
 from tallyloom.sources import folders
 
 
@@ -48,7 +47,8 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, by: Sequence[str] =
     return _triggered(writer.partitionBy(*by), every).start()
 
 
-def _per_batch(stream: DataFrame, handle, checkpoint: str, mode: str, every: str | None) -> StreamingQuery:
+def per_batch(stream: DataFrame, handle, checkpoint: str, mode: str, every: str | None) -> StreamingQuery:
+    """Run ``handle(batch, batch_id)`` per batch; after a failure the last batch may come again under its number."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
     return _triggered(writer, every).start()
 
@@ -76,7 +76,7 @@ def to_snapshot(
         if keep is not None:
             expire_snapshots(batch.sparkSession, path, hours, keep=keep)
 
-    return _per_batch(stream, handle, checkpoint, "complete", every)
+    return per_batch(stream, handle, checkpoint, "complete", every)
 
 
 def to_updates(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -85,7 +85,7 @@ def to_updates(stream: DataFrame, path: str, checkpoint: str, every: str | None
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _per_batch(stream, handle, checkpoint, "update", every)
+    return per_batch(stream, handle, checkpoint, "update", every)
 
 
 def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -94,61 +94,6 @@ def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     return latest_per_key(rows, list(keys), "batch_id", "batch_id").drop("batch_id")
 
 
-def merge_stream(
-    stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, every: str | None = None, ts: str = "changed_at", tiebreak: Sequence[str] = ()
-) -> StreamingQuery:
-    """Collect flat changes beside a versioned table: the last change per key of each batch, one folder per batch.
-
-    A batch costs as much as its changes; the table is not rewritten. :func:`read_merged` gives the table with all changes
-    applied in the order of their times, whichever batch brought them. Changes that cannot be applied are kept
-    apart, see :func:`read_rejected`.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        usable = batch.filter(usable_change(list(keys)))
-        latest_changes(usable, keys, ts, tiebreak).write.mode("overwrite").parquet(f"{path}/_changes/batch_id={batch_id}")
-        rejected_changes(batch, keys).write.mode("overwrite").parquet(f"{path}/_rejected/batch_id={batch_id}")
-
-    return _per_batch(stream, handle, checkpoint, "append", every)
-
-
-def read_merged(spark: SparkSession, path: str, keys: Sequence[str], ts: str = "changed_at", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The newest version of a table with the collected changes; per key the change of the latest time counts.
-
-    Deletes stay among the changes, so an older change that arrives later does not bring a row back. The table's own rows
-    have no change time: any change replaces them.
-    """
-    table = read_as_of(spark, path)
-    if not folders.subfolders(spark, f"{path}/_changes"):
-        return table
-    return apply_cdc(table, read_batches(spark, f"{path}/_changes").drop("batch_id"), keys, ts, tiebreak)
-
-
-def read_rejected(spark: SparkSession, path: str) -> DataFrame:
-    """Changes of all batches that lacked a key or a known operation."""
-    return read_batches(spark, f"{path}/_rejected")
-
-
-def fold_changes(spark: SparkSession, path: str, keys: Sequence[str], ts: str = "changed_at", tiebreak: Sequence[str] = ()) -> None:
-    """Reduce the collected changes to the last one per key; to be run while no stream writes to the table.
-
-    The newest batch keeps its folder, as the stream may run it again. What was folded lies in folder ``batch_id=-1``;
-    folders left over by a failure hold changes that are in it already, which changes no result.
-    """
-    log = f"{path}/_changes"
-    names = {int(n.removeprefix("batch_id=")): n for n in folders.subfolders(spark, log) if n.startswith("batch_id=")}
-    old = sorted(names)[:-1]
-    if len(old) < 2:
-        return
-    rows = spark.read.parquet(*[f"{log}/{names[n]}" for n in old])
-    staged = f"{path}/_folded"
-    latest_changes(rows, keys, ts, tiebreak).write.mode("overwrite").parquet(staged)
-    folders.switch(spark, staged, f"{log}/batch_id=-1")
-    for n in old:
-        if n >= 0:
-            folders.delete(spark, f"{log}/{names[n]}")
-
-
 def alert_stream(
     stream: DataFrame, path: str, checkpoint: str, metric: Column, limit: float, name: str, by: tuple[str, ...] = (), every: str | None = None
 ) -> StreamingQuery:
@@ -157,7 +102,7 @@ def alert_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         threshold_alert(batch, metric, limit, name, by).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _per_batch(stream, handle, checkpoint, "append", every)
+    return per_batch(stream, handle, checkpoint, "append", every)
 
 
 def bundle_stream(
@@ -190,7 +135,7 @@ def bundle_stream(
         gathered.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         folders.delete(batch.sparkSession, scratch)
 
-    return _per_batch(waiting, handle, checkpoint, "append", every)
+    return per_batch(waiting, handle, checkpoint, "append", every)
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import joins, snapshots
-from tallyloom.streaming import jobs, sinks
+from tallyloom.streaming import jobs, merged, sinks
 from tallyloom.streaming.sources import stream_files
 
 SALES = "timestamp timestamp, category string, total_amount double"
@@ -114,35 +114,119 @@ def test_log_records_from_messages(spark, feed, tmp_path):
     assert got == {"ERROR": (7, 4, True), None: (None, 1, False)}
 
 
-def test_merge_stream_applies_a_batch_once(spark, feed, tmp_path):
-    folder, add = feed
-    out, ddl = str(tmp_path / "t"), "id int, name string, operation string, changed_at timestamp"
-    snapshots.write_snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), out)
-    add([(1, "A", "u", moment("10:00:00")), (2, None, "d", moment("10:00:00")), (3, "c", "c", moment("10:00:00"))], ddl)
-    for _ in range(2):
-        sinks.finish(sinks.merge_stream(stream_files(spark, folder, "parquet", ddl), out, ["id"], str(tmp_path / "c")))
-    assert sorted(map(tuple, sinks.read_merged(spark, out, ["id"]).collect())) == [(1, "A"), (3, "c")]
-    assert snapshots.latest_version(spark, out) == 0  # the table itself is not rewritten
+CHANGES = "id int, name string, operation string, changed_at timestamp"
 
 
-def test_merge_stream_goes_by_change_time(spark, feed, tmp_path):
+@pytest.fixture
+def merging(spark, feed, tmp_path):
+    """A table of (id, name) and a function that streams changes into it, one batch a call."""
     folder, add = feed
-    out, ddl = str(tmp_path / "t"), "id int, name string, operation string, changed_at timestamp"
-    snapshots.write_snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), out)
+    out = str(tmp_path / "t")
+    merged.load_base(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), out, ["id"], place="id")
+
+    def change(*rows):
+        if rows:
+            add([(i, n, op, moment(f"{t}:00") if t else None) for i, n, op, t in rows], CHANGES)
+        sinks.finish(merged.merge_stream(stream_files(spark, folder, "parquet", CHANGES), out, str(tmp_path / "c")))
+
+    return out, change
+
+
+def test_merge_stream_applies_a_batch_once(spark, merging, rows):
+    out, change = merging
+    change((1, "A", "u", "10:00"), (2, None, "d", "10:00"), (3, "c", "c", "10:00"))
+    change()
+    assert rows(merged.read_merged(spark, out)) == [(1, "A"), (3, "c")]
+
+
+def test_merge_stream_goes_by_change_time(spark, merging, rows):
+    out, change = merging
     batches = [
-        [(1, "new", "u", moment("12:00:00")), (2, None, "d", moment("12:00:00")), (5, "x", None, moment("12:00:00")), (None, "y", "c", moment("12:00:00"))],
-        [(1, "old", "u", moment("11:00:00")), (2, "late", "u", moment("11:00:00")), (3, "c", "c", moment("11:00:00"))],
-        [(3, "c2", "u", moment("13:00:00")), (2, "again", "c", moment("13:00:00"))],
+        [(1, "new", "u", "12:00"), (2, None, "d", "12:00"), (5, "x", None, "12:00"), (None, "y", "c", "12:00"), (6, "z", "c", None)],
+        [(1, "old", "u", "11:00"), (2, "late", "u", "11:00"), (3, "c", "c", "11:00")],
+        [(3, "c2", "u", "13:00"), (2, "again", "c", "13:00")],
     ]
     want = [[(1, "new")], [(1, "new"), (3, "c")], [(1, "new"), (2, "again"), (3, "c2")]]
-    for rows, after in zip(batches, want, strict=True):
-        add(rows, ddl)
-        sinks.finish(sinks.merge_stream(stream_files(spark, folder, "parquet", ddl), out, ["id"], str(tmp_path / "c")))
-        assert sorted(map(tuple, sinks.read_merged(spark, out, ["id"]).collect())) == after
-    assert sorted(r["name"] for r in sinks.read_rejected(spark, out).collect()) == ["x", "y"]
-    sinks.fold_changes(spark, out, ["id"])
-    assert sorted(p.name for p in (tmp_path / "t/_changes").glob("batch_id=*")) == ["batch_id=-1", "batch_id=2"]
-    assert sorted(map(tuple, sinks.read_merged(spark, out, ["id"]).collect())) == want[-1]
+    for batch, after in zip(batches, want, strict=True):
+        change(*batch)
+        assert rows(merged.read_merged(spark, out)) == after
+    assert sorted(r["name"] for r in merged.read_rejected(spark, out).collect()) == ["x", "y", "z"]
+    for late in ("10 minutes", "0 minutes"):
+        merged.fold_changes(spark, out, late)
+        assert rows(merged.read_merged(spark, out)) == want[-1]
+    assert merged.read_late(spark, out) is None
+
+
+def test_fold_rewrites_only_the_places_of_its_changes(spark, merging, rows, tmp_path):
+    out, change = merging
+    files = lambda place: {f.name for f in (tmp_path / "t/data").glob(f"*/_place={place}/*.parquet")}
+    second = files(2)
+    change((1, "A", "u", "10:00"), (3, None, "d", "10:00"))
+    change((1, "B", "u", "10:05"))
+    change((2, "never folded: the newest batch", "u", "10:01"))
+    before = rows(merged.read_merged(spark, out))
+    assert merged.fold_changes(spark, out, "2 minutes") == (1, 2, 2, 2)  # id 1 lies before the mark once, id 3 is only deleted
+    assert rows(merged.read_merged(spark, out)) == before == [(1, "B"), (2, "never folded: the newest batch")]
+    assert files(2) == second
+    assert merged.fold_changes(spark, out) == (1, 2, 0, 0)
+
+
+def test_a_stale_change_beats_neither_a_fold_nor_a_later_load(spark, merging, rows):
+    out, change = merging
+    change((1, "A", "u", "12:00"), (2, None, "d", "12:00"))
+    with pytest.raises(ValueError):
+        merged.load_base(spark.createDataFrame([(1, "L")], "id int, name string"), out, ["id"], place="id")
+    load = spark.createDataFrame([(1, "L"), (2, "M")], "id int, name string")
+    merged.load_base(load, out, ["id"], moment("13:00:00"), place="id")
+    assert rows(merged.read_merged(spark, out)) == [(1, "L"), (2, "M")]
+    change((1, "stale", "u", "12:30"), (3, "gone by 13:00", "c", "12:30"), (2, "N", "u", "13:30"))
+    assert rows(merged.read_merged(spark, out)) == [(1, "L"), (2, "N")]
+    change((9, "i", "c", "13:40"))
+    merged.fold_changes(spark, out, "0 minutes")
+    assert rows(merged.read_merged(spark, out)) == [(1, "L"), (2, "N"), (9, "i")]
+    change((2, "after its fold", "u", "13:20"), (2, "after its fold", "u", "13:20"))
+    change((8, "h", "c", "13:50"))
+    assert rows(merged.read_merged(spark, out)) == [(1, "L"), (2, "N"), (8, "h"), (9, "i")]
+    merged.fold_changes(spark, out, "0 minutes")
+    assert rows(merged.read_merged(spark, out)) == [(1, "L"), (2, "N"), (8, "h"), (9, "i")]
+    assert {r["name"] for r in merged.read_late(spark, out).collect()} == {"A", None, "stale", "gone by 13:00", "after its fold"}
+
+
+def test_old_files_leave_with_the_next_fold_and_a_second_fold_is_refused(spark, merging, rows, tmp_path, monkeypatch):
+    out, change = merging
+    for k in range(6):
+        change((1, f"n{k}", "u", f"10:{k:02d}"))
+        merged.fold_changes(spark, out, "0 minutes")
+        assert rows(merged.read_merged(spark, out)) == [(1, f"n{k}"), (2, "b")]
+    held = {p.name for p in (tmp_path / "t/_changes").iterdir()}
+    assert held <= {"batch_id=3", "batch_id=4", "batch_id=5"}
+    assert len(list((tmp_path / "t/_versions").glob("*.json"))) == 2
+    assert len(list((tmp_path / "t/data").glob("*/_place=1"))) <= 2
+    change((1, "last", "u", "11:00"))
+    real, once = merged.folders.create, []
+
+    def create(spark, *args):
+        if not once:
+            once.append(True)
+            merged.fold_changes(spark, out, "0 minutes")
+        return real(spark, *args)
+
+    monkeypatch.setattr(merged.folders, "create", create)
+    with pytest.raises(merged.VersionTaken):
+        merged.fold_changes(spark, out, "0 minutes")
+    assert rows(merged.read_merged(spark, out)) == [(1, "last"), (2, "b")]
+
+
+def test_merged_table_that_is_empty_or_lacks_columns(spark, feed, tmp_path):
+    folder, add = feed
+    out = str(tmp_path / "t")
+    with pytest.raises(ValueError):
+        merged.read_merged(spark, out)
+    merged.load_base(spark.createDataFrame([], "id int, name string"), out, ["id"])
+    assert merged.read_merged(spark, out).collect() == []
+    add([(1, "c", moment("10:00:00"))], "id int, operation string, changed_at timestamp")
+    with pytest.raises(ValueError):
+        merged.merge_stream(stream_files(spark, folder, "parquet", "id int, operation string, changed_at timestamp"), out, str(tmp_path / "c"))
 
 
 def test_failed_query_raises(spark, feed, tmp_path):
