@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tallyloom.functions.parsing import json_record
 from tallyloom.operators.ordering import latest_per_key
 from tallyloom.session import checkpointed, scratch_path
-from tallyloom.sources import folders
+from tallyloom.sources import folders, key_index
 from tallyloom.sources.tables import in_partitions_of
 from tallyloom.sources.writers import write_partitioned
 
@@ -91,18 +91,23 @@ def upsert_partitions(
 ) -> None:
     """:func:`upsert` into a Parquet table partitioned by ``by``, rewriting only the partitions the source touches.
 
-    A key must stay in its partition: one that the table holds elsewhere is refused, as it would be there twice. Columns
-    that older files lack are kept. The new state is written beside the table first, since a folder cannot be overwritten
-    while it is read; the touched folders are then replaced.
+    A key must stay in its partition: one that the table holds in a partition that is not touched is refused, as it would be
+    there twice. Where it may lie is asked of the table's key index (``sources.key_index``), which is built by the first
+    merge and brought up to date with the folders written since, so only suspected folders are read. Columns that older files
+    lack are kept. The new state is written beside the table first, since a folder cannot be overwritten while it is read;
+    the touched folders are then replaced.
     """
-    target = read_evolved(spark, path)
+    target, scratch = read_evolved(spark, path), scratch_path(spark, "upsert")
     touched = in_partitions_of(target, source, by)
-    moved = target.filter(~touched).join(source.select(*keys), list(keys), "left_semi")
-    if not moved.isEmpty():
+    key_index.refresh(spark, path, keys, by)
+    wanted = source.select(*[F.col(k).cast(target.schema[k].dataType).alias(k) for k in keys]).distinct()
+    wanted = checkpointed(spark, wanted, "upsert", f"{scratch}/keys")
+    moved = key_index.rows_elsewhere(spark, path, wanted, keys, by, touched)
+    if moved is not None and not moved.isEmpty():
+        folders.delete(spark, scratch)
         raise ValueError("a key of the source lies in another partition of the table")
     affected = target.filter(touched)
-    scratch = scratch_path(spark, "upsert")
-    merged = checkpointed(spark, upsert(affected, source, keys, ts, **options), "upsert", scratch)
+    merged = checkpointed(spark, upsert(affected, source, keys, ts, **options), "upsert", f"{scratch}/rows")
     write_partitioned(merged, path, by)
     folders.delete(spark, scratch)
 

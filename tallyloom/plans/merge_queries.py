@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import graph, merge, reconcile, snapshots
 from tallyloom.plans.registry import query
 from tallyloom.session import scratch_path
+from tallyloom.sources import key_index
 from tallyloom.sources.readers import load, register
 from tallyloom.sources.writers import write_partitioned
 
@@ -75,6 +76,47 @@ def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(
+    """SELECT o_orderkey, o_totalprice, year(o_orderdate)::INTEGER AS year FROM orders
+    WHERE year(o_orderdate) = (SELECT min(year(o_orderdate)) FROM orders) AND o_orderstatus = 'F'"""
+)
+def moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished orders of the first year, asked for as if they belonged to the year after: the rows a merge would refuse, found
+    through the key index in the first year's folder alone."""
+    path, by, keys = scratch_path(spark, "moved"), ["year"], ["o_orderkey"]
+    orders = load(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    write_partitioned(orders.select("o_orderkey", "o_totalprice", "year"), path, by)
+    first = orders.agg(F.min("year")).first()[0] or 0
+    wanted = orders.filter((F.col("year") == first) & (F.col("o_orderstatus") == "F")).select(*keys)
+    key_index.refresh(spark, path, keys, by)
+    found = key_index.rows_elsewhere(spark, path, wanted, keys, by, F.col("year") == first + 1)
+    return spark.read.parquet(path).limit(0) if found is None else found
+
+
+@query(
+    """SELECT CASE WHEN o_orderstatus = 'F' THEN 'refused' ELSE 'merged' END AS outcome, count(*) AS rows, count(*) FILTER (year(o_orderdate) = 1996) AS in_1996
+    FROM orders GROUP BY 1"""
+)
+def refused_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by year: finished ones come again under another year and are refused, the others under their own."""
+    path, by = scratch_path(spark, "refused"), ["year"]
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), "o_orderstatus", F.col("o_orderdate").alias("timestamp"), F.year("o_orderdate").alias("year")
+    )
+    write_partitioned(orders, path, by)
+    done = F.col("o_orderstatus") == "F"
+    newer = orders.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
+    merge.upsert_partitions(spark, path, newer.filter(~done), ["id"], by)
+    try:
+        merge.upsert_partitions(spark, path, newer.filter(done).withColumn("year", F.lit(9999)), ["id"], by)
+        refused = False
+    except ValueError:
+        refused = True
+    state = spark.read.parquet(path)
+    outcome = F.when(done & F.lit(refused), "refused").otherwise("merged").alias("outcome")
+    return state.groupBy(outcome).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("year") == 1996).alias("in_1996"))
+
+
 ROW = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
 
 
@@ -143,6 +185,21 @@ def read_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read_as_of(spark, path, 0)
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'")
+def refused_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers of version 1: the second is refused, and the first one's rows are intact."""
+    path = scratch_path(spark, "snapshots")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    by_status = lambda s: load(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == s).select(*orders.columns)
+    snapshots.write_snapshot(orders, path, "LOAD")
+    snapshots.write_snapshot(by_status("O"), path, "OPEN", version=1)
+    try:
+        snapshots.write_snapshot(by_status("F"), path, "DONE", version=1)
+    except snapshots.VersionTaken:
+        return snapshots.read_as_of(spark, path)
+    raise AssertionError("the second writer of a version was not refused")
+
+
 @query("SELECT count(*) AS source_count, count(*) AS plain_count, count(*) AS partitioned_count, count(DISTINCT o_orderpriority) AS groups, 0::BIGINT AS groups_differing, true AS matches FROM orders")
 def migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = load(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))

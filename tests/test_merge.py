@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import layout, merge, ordering, snapshots
-from tallyloom.sources import writers
+from tallyloom.sources import key_index, writers
 from tallyloom.sources.tables import in_partitions_of
 
 T0, T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
@@ -169,6 +169,45 @@ def test_a_key_must_stay_in_its_partition(spark, tmp_path):
         merge.upsert_partitions(spark, path, moved, ["id"], ["p"])
 
 
+@pytest.fixture
+def spread(spark, tmp_path):
+    """400 keys over four partitions whose folder names need encoding; numbers and texts as keys."""
+    path = str(tmp_path / "t")
+    rows = spark.range(400).selectExpr("id", "concat('k', id) AS name", "concat('part ', id % 4, ' %') AS p", "timestamp_seconds(id) AS timestamp")
+    rows.write.partitionBy("p").parquet(path)
+    return path, rows
+
+
+@pytest.mark.parametrize("keys", [["id"], ["name"], ["name", "id"]])
+def test_key_index_finds_every_key_and_reads_only_suspected_folders(spark, spread, keys):
+    path, rows = spread
+    assert len(key_index.refresh(spark, path, keys, ["p"])) == 4
+    assert key_index.refresh(spark, path, keys, ["p"]) == []
+    for part in range(4):
+        source = rows.filter(f"id % 4 = {part} AND id < 20").select(*keys)
+        assert key_index.suspected(spark, path, source, keys, ["p"]) == [f"p=part%20{part}%20%2525"]
+        found = key_index.rows_elsewhere(spark, path, source, keys, ["p"], F.col("p") == "another")
+        assert found.count() == 5
+        assert found.inputFiles() and all(f"p=part%20{part}%20" in f for f in found.inputFiles())
+    unknown = spark.range(1000, 1020).selectExpr("id", "concat('k', id, 'x') AS name").select(*keys)
+    assert key_index.suspected(spark, path, unknown, keys, ["p"]) == []
+    assert key_index.rows_elsewhere(spark, path, unknown, keys, ["p"], F.lit(False)) is None
+    assert len(key_index.suspected(spark, path, rows.select(*keys), keys, ["p"], most=10)) == 4
+
+
+def test_key_index_notices_folders_written_by_others(spark, spread):
+    path, rows = spread
+    key_index.refresh(spark, path, ["id"], ["p"])
+    late = spark.range(7000, 7001).selectExpr("id", "'n' AS name", "'part 2 %' AS p", "timestamp_seconds(id) AS timestamp")
+    late.write.mode("append").partitionBy("p").parquet(path)
+    moved = late.withColumn("p", F.lit("part 1 %"))
+    with pytest.raises(ValueError):
+        merge.upsert_partitions(spark, path, moved, ["id"], ["p"])
+    merge.upsert_partitions(spark, path, moved.withColumn("id", F.lit(7002)), ["id"], ["p"])
+    assert key_index.refresh(spark, path, ["id"], ["p"]) == ["p=part%201%20%2525"]
+    assert spark.read.parquet(path).count() == 402
+
+
 def test_of_two_writers_of_one_version_one_is_refused_and_the_other_is_intact(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     snapshots.write_snapshot(spark.range(1), path)
