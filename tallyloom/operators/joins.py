@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.measures import UNITS, is_double, units
 from tallyloom.sources.tables import largest_bucket, table_location, table_options
 
 BROADCAST_LIMIT = 25_000_000
+_SALT = "_salt"
+_COUNTABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.TimestampType, T.DecimalType)  # key types of the sketch
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -49,28 +53,35 @@ def enrich_hot_keys(
 ) -> DataFrame:
     """:func:`enrich` for a large dimension with one row per key, when a few keys hold much of the fact table.
 
-    Keys with more than ``share`` of the rows (so at most ``1 / share`` keys) are joined to a broadcast of just their
-    dimension rows, so their fact rows are never shuffled; all other keys take the shuffled join. Null keys match
-    nothing and take neither. The bound on the broadcast is checked, not assumed.
+    One pass finds the keys with more than ``share`` of the rows by a frequent-items sketch, of bounded size however many
+    keys there are. The join is then a single shuffled one on the key and a salt: a hot key's fact rows are spread over one salt
+    per ``share`` they hold, and its dimension row is repeated for each, so all repeats together are at most ``2 / share``. A salt
+    follows from the row's values and its task's number, so a task that runs again gives the same ones. Null keys match nothing
+    and are spread too. A key that the sketch misses or overrates is only spread worse, never joined wrongly.
     """
     if fits_broadcast(dim, limit):
         return enrich(fact, dim, key, how, limit)
     if how not in ("inner", "left"):
         raise ValueError("inner and left joins only")
-    keys = fact.filter(F.col(key).isNotNull())
-    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    rows = keys.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    hot_keys = [r[key] for r in counts.filter(F.col("n") > rows * share).select(key).collect()]
-    if not hot_keys:
+    if not isinstance(fact.schema[key].dataType, _COUNTABLE):
         return fact.join(dim, key, how)
-    hot = F.col(key).isin(hot_keys)
-    if dim.filter(hot).limit(len(hot_keys) + 1).count() > len(hot_keys):
+    most = math.ceil(1 / share)
+    name = key.replace("`", "``")
+    sketch = F.expr(f"approx_top_k(`{name}`, {most}, {min(10 * most, 1_000_000)})")
+    top, rows = fact.filter(F.col(key).isNotNull()).agg(sketch, F.count(F.lit(1))).first()
+    copies = {r["item"]: math.ceil(r["count"] / (share * rows)) for r in top if r["count"] > share * rows}
+    if not copies:
+        return fact.join(dim, key, how)
+    hot = F.col(key).isin(list(copies))
+    if dim.filter(hot).limit(len(copies) + 1).count() > len(copies):
         raise ValueError("the dimension must hold one row per key")
-    joined = keys.filter(hot).join(F.broadcast(dim.filter(hot)), key, how)
-    joined = joined.unionByName(keys.filter(~hot).join(dim.filter(~hot), key, how))
-    if how == "inner":
-        return joined
-    return joined.unionByName(fact.filter(F.col(key).isNull()), allowMissingColumns=True)
+    kind = fact.schema[key].dataType
+    number = F.create_map(*[F.lit(v) for pair in copies.items() for v in pair]).cast(T.MapType(kind, T.IntegerType()))
+    spread = F.when(hot, F.element_at(number, F.col(key).try_cast(kind))).otherwise(1)  # the dimension's key may be wider
+    drawn = F.xxhash64(F.spark_partition_id(), *[c for c in fact.columns if "map<" not in fact.schema[c].dataType.simpleString()])
+    salted = fact.withColumn(_SALT, F.pmod(drawn, F.when(F.col(key).isNull(), most).otherwise(spread)))
+    repeated = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), (spread - 1).cast("long"))))
+    return salted.join(repeated, [key, _SALT], how).drop(_SALT)
 
 
 def repeat_day_customers(

@@ -57,6 +57,31 @@ def test_hot_key_join_equals_plain_join(spark, rows, how):
     assert none_hot.count() == hot.count()
 
 
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(10,2)", "double"])
+def test_hot_key_join_takes_keys_of_any_type_and_spreads_hot_and_null_ones(spark, setting, rows, kind):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    of = lambda c: F.date_add(F.lit("2024-01-01").cast("date"), c.cast("int")) if kind == "date" else c.cast(kind)
+    key = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 40)
+    fact = spark.range(3000).select(of(key).alias("k"), "id", F.lit("x").alias("v2"))
+    dim = spark.range(30).select(of(F.col("id")).alias("k"), F.col("id").alias("v"))
+    hot = joins.enrich_hot_keys(fact, dim, "k", "left", share=0.05, limit=-1)
+    assert layout.plan_facts(hot)["exchanges"] == 2
+    assert rows(hot) == rows(fact.join(dim, "k", "left"))
+    assert hot.columns == fact.join(dim, "k", "left").columns
+
+
+def test_hot_key_join_scans_the_fact_twice(spark, setting, rows, tmp_path):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "16")
+    spark.range(20_000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 900).alias("k"), "id").write.parquet(str(tmp_path / "f"))
+    fact, dim = spark.read.parquet(str(tmp_path / "f")), spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    hot = joins.enrich_hot_keys(fact, dim, "k", share=0.01, limit=-1)
+    assert hot._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1  # the other one is the sketch's
+    sizes = [r["n"] for r in hot.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 5_000  # two thirds are one key's
+
+
 def test_hot_key_join_refuses_repeated_dimension_keys(spark):
     fact = spark.range(100).select(F.lit(1).cast("long").alias("k"), "id")
     dim = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
