@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.operators.joins import plan_bytes
+
 
 def combine(dfs: Sequence[DataFrame]) -> DataFrame:
     """All rows, columns matched by name; a column some inputs lack is null there."""
@@ -73,12 +75,55 @@ def _profile(df: DataFrame) -> DataFrame:
     return _tall(df.agg(F.count(F.lit(1)).alias("rows"), *nulls), ["rows", *[f"nulls:{c}" for c in df.columns]])
 
 
-def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str] = (), tolerance: float = 1e-6) -> DataFrame:
+DIGEST_BUCKETS = 1024
+DIGEST_FROM = 1 << 30  # bytes of the larger side
+
+
+def _bucket(keys: Sequence[str], level: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(level), *keys), F.lit(DIGEST_BUCKETS)).cast("int")
+
+
+def _digests(df: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Row count and two order-free sums of row hashes per bucket; fixed-width, so each task pre-sums all its rows."""
+    row = F.xxhash64(*values)
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("x"), F.sum(F.pmod(row, F.lit(1 << 31))).alias("s"))
+
+
+def _unlike(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Buckets whose digests are not the same on both sides, those on one side only among them."""
+    sides = _digests(a, by, a.columns).unionByName(_digests(b, by, a.columns))
+    return sides.groupBy(*by, "n", "x", "s").agg(F.count(F.lit(1)).alias("sides")).filter(F.col("sides") == 1).select(*by).distinct()
+
+
+def differing_rows(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """The rows of both sides that lie in key buckets with different digests, and the rest of ``a``; None if no bucket differs.
+
+    Two levels: of 1024 buckets by key hash those that differ, and of each of these 1024 finer ones, so that few changed keys
+    leave some millionth of the rows each. Equal digests mean equal rows but for a chance of about 2^-64 a bucket. At most
+    1024 x 1024 bucket numbers are broadcast. Columns that only one side has are left out.
+    """
+    shared = [c for c in a.columns if c in b.columns]
+    first, second = "_bucket", "_bucket_2"
+    left, right = (df.select(*shared).withColumns({first: _bucket(keys, 0), second: _bucket(keys, 1)}) for df in (a, b))
+    numbers = [r[first] for r in _unlike(left, right, [first]).collect()]
+    if not numbers:
+        return None
+    inside = F.col(first).isin(numbers)
+    unlike = F.broadcast(_unlike(left.filter(inside), right.filter(inside), [first, second]))
+    pick = lambda df, how: df.join(unlike, [first, second], how).drop(first, second)
+    return pick(left.filter(inside), "left_semi"), pick(right.filter(inside), "left_semi"), pick(left, "left_anti")
+
+
+def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str] = (), tolerance: float = 1e-6, digests: bool | None = None) -> DataFrame:
     """Comparison report as rows (item, left_value, right_value, matches).
 
     Items: ``schema_equal``, ``rows``, ``nulls:<column>`` and, with keys, ``keys_only_here``, ``duplicate_keys`` and
     ``different:<column>`` for keys that both sides hold once. Floating-point columns may differ by ``tolerance``.
     Each side is reduced to one row per key before the join, so repeated keys never multiply.
+
+    With ``digests``, only rows of key buckets whose digests differ are joined (:func:`differing_rows`): equal tables
+    compare without a join of rows, and repeated keys of equal buckets are counted on one side. By default that is done from
+    ``DIGEST_FROM`` bytes on, as smaller tables are compared sooner by the join itself; the report is the same.
     """
     same_schema = schema_equal(a, b)
     spark = a.sparkSession
@@ -95,6 +140,15 @@ def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str] = (), toleranc
     if not keys:
         return report
     shared = [c for c in a.columns if c in b.columns and c not in keys]
+    if digests is None:
+        digests = max(plan_bytes(a) or 0, plan_bytes(b) or 0) >= DIGEST_FROM
+    if any("map<" in df.schema[c].dataType.simpleString() for df in (a, b) for c in [*keys, *shared]):
+        digests = False  # maps have no hash
+    repeated = None
+    if digests:
+        parts = differing_rows(a, b, keys)
+        a, b, alike = parts if parts is not None else (a.limit(0), b.limit(0), a)
+        repeated = alike.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("value"))
 
     def per_key(df: DataFrame) -> DataFrame:
         rest = F.struct(*shared) if shared else F.struct(F.lit(1).alias("present"))
@@ -127,4 +181,8 @@ def compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str] = (), toleranc
         line("duplicate_keys", F.col("left_dup"), F.col("right_dup")),
         *[line(f"different:{c}", F.col(f"`different:{c}`"), F.col(f"`different:{c}`")) for c in shared],
     ]
-    return report.unionByName(counts.select(F.inline(F.array(*rows))))
+    found = counts.select(F.inline(F.array(*rows)))
+    if repeated is not None:
+        more = repeated.select(F.lit("duplicate_keys").alias("item"), F.col("value").alias("left_value"), F.col("value").alias("right_value"), (F.col("value") == 0).alias("matches"))
+        found = found.unionByName(more).groupBy("item").agg(*[F.sum(c).alias(c) for c in ("left_value", "right_value")], F.bool_and("matches").alias("matches"))
+    return report.unionByName(found)

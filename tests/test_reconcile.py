@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tallyloom.operators import graph, ordering, reconcile
 
 
@@ -20,6 +22,32 @@ def test_compare_sees_schema_changes_and_null_against_value(spark):
     assert not {r["item"]: r["matches"] for r in reconcile.compare(a, b.withColumnRenamed("v", "w")).collect()}["schema_equal"]
 
 
+def test_comparison_by_digests_reports_the_same(spark, rows):
+    a = spark.range(5000).selectExpr("if(id = 0, null, id) AS k", "cast(id % 7 AS double) AS v", "if(id % 11 = 0, null, concat('t', id)) AS t")
+    a = a.unionByName(a.filter("k % 1000 = 1"))  # five repeated keys
+    changes = {
+        "equal": a,
+        "close": a.withColumn("v", F.when(F.col("k") == 17, F.col("v") + 1e-9).otherwise(F.col("v"))),
+        "one value": a.withColumn("t", F.when(F.col("k") == 17, "x").otherwise(F.col("t"))),
+        "a key gone, one new": a.filter("k IS NULL OR k <> 40").unionByName(spark.range(9000, 9001).selectExpr("id AS k", "1D AS v", "'n' AS t")),
+        "null key gone": a.filter("k IS NOT NULL"),
+        "one copy less": a.filter("k IS NULL OR k <> 2001").unionByName(a.filter("k = 2001").limit(1)),
+        "empty": a.limit(0),
+        "other type": a.withColumn("k", F.col("k").cast("int")),
+        "column gone": a.drop("t"),
+    }
+    for name, b in changes.items():
+        assert rows(reconcile.compare(a, b, "k", digests=True)) == rows(reconcile.compare(a, b, "k", digests=False)), name
+    assert rows(reconcile.compare(a.limit(0), a.limit(0), "k", digests=True)) == rows(reconcile.compare(a.limit(0), a.limit(0), "k"))
+
+
+def test_equal_tables_compare_without_a_join_of_rows(spark):
+    a = spark.range(5000).selectExpr("id AS k", "id * 2 AS v")
+    assert reconcile.differing_rows(a, a.repartition(3), ["k"]) is None
+    left, right, alike = reconcile.differing_rows(a, a.withColumn("v", F.when(F.col("k") == 77, 0).otherwise(F.col("v"))), ["k"])
+    assert [left.count(), right.count(), alike.count()] == [1, 1, 4999]
+
+
 def test_reconcile_with_missing_and_null_groups(spark, rows):
     a = spark.createDataFrame([("x", 1), (None, 2), ("y", 3)], "g string, v int")
     b = spark.createDataFrame([("x", 1), (None, 2), ("z", 3)], "g string, v int")
