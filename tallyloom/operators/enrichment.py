@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.columns import alert_required, joined_text, severity, temperature_alert
 from tallyloom.functions.parsing import json_record, lookup_map
+from tallyloom.operators.quality import dead_letters
+from tallyloom.session import checkpointed
 
 
 def with_ingest_metadata(df: DataFrame, source: str, now: object = None, file_name: bool = False) -> DataFrame:
@@ -100,3 +103,65 @@ def enrich_batches(
                 yield call(frame.iloc[start : start + batch_rows].reset_index(drop=True))
 
     return df.mapInPandas(run, schema)
+
+
+def enrich_or_reject(
+    df: DataFrame,
+    make_client: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
+    schema: T.StructType | str,
+    batch_rows: int = 1000,
+    attempts: int = 3,
+    wait_seconds: float = 0.0,
+    path: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`enrich_batches` for a call that may fail: the rows it answered, and dead letters for those it did not.
+
+    The call must answer one row per row. A batch that fails (or answers another number of rows) is tried ``attempts`` times,
+    with a doubling wait in between, then halved and tried once per part, until single rows are left; these get all
+    attempts again. So every row comes out once, on one side or the other, and a bad row costs about twice the logarithm of
+    the batch in calls. Dead letters have ``error_reason``, ``raw_payload`` (the row as JSON) and ``failed_at``.
+
+    Both sides read one written table (in ``path``, by default a new place in the shared folder), so that no call is made twice
+    but where a task runs again.
+    """
+    spark = df.sparkSession
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = [f.name for f in fields.fields]
+    marked = T.StructType([*fields.fields, T.StructField("_reason", T.StringType()), T.StructField("_payload", T.StringType())])
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = make_client()
+
+        def answer(batch: pd.DataFrame, tries: int) -> tuple[pd.DataFrame | None, str | None]:
+            reason = None
+            for attempt in range(tries):
+                if attempt and wait_seconds:
+                    time.sleep(wait_seconds * 2 ** (attempt - 1))
+                try:
+                    got = call(batch.copy())
+                except Exception as error:  # whatever the call raises is the row's reason
+                    reason = f"{type(error).__name__}: {error}"
+                else:
+                    if len(got) == len(batch):
+                        return got[names].assign(_reason=None, _payload=None), None
+                    reason = f"{len(got)} rows answered for {len(batch)}"
+            return None, reason
+
+        for frame in frames:
+            todo = [(frame.iloc[k : k + batch_rows], attempts) for k in range(0, len(frame), batch_rows)][::-1]
+            while todo:
+                batch, tries = todo.pop()
+                got, reason = answer(batch.reset_index(drop=True), attempts if len(batch) == 1 else tries)
+                if got is not None:
+                    yield got
+                elif len(batch) == 1:
+                    payload = batch.to_json(orient="records", lines=True, date_format="iso", default_handler=str).strip()
+                    yield pd.DataFrame({**{n: [None] for n in names}, "_reason": [reason], "_payload": [payload]})
+                else:
+                    half = len(batch) // 2
+                    todo += [(batch.iloc[half:], 1), (batch.iloc[:half], 1)]
+
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in marked.fields])  # a dead letter has no values
+    table = checkpointed(spark, df.mapInPandas(run, nullable), "enriched", path)
+    good = table.filter(F.col("_reason").isNull()).select(*names)
+    return good, dead_letters(table.filter(F.col("_reason").isNotNull()), F.col("_reason"), "_payload")

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,33 @@ def test_batches_share_one_client_per_partition(spark, rows):
     assert [(r["call"], r["size"]) for r in got.orderBy("id").collect()] == [(1, 4)] * 4 + [(2, 4)] * 4 + [(3, 2)] * 2
 
 
+@pytest.mark.parametrize("bad", [set(), {3}, {0, 1, 9}, set(range(10))])
+def test_a_call_that_fails_on_some_rows_loses_none(spark, bad):
+    def make_client():
+        tried = {}
+
+        def call(batch):
+            ids = list(batch["id"])
+            tried[tuple(ids)] = tried.get(tuple(ids), 0) + 1
+            if tried[tuple(ids)] == 1 and 5 in ids:
+                raise TimeoutError("once")
+            if bad & set(ids):
+                return batch.head(0) if 9 in ids else 1 / 0
+            return batch.assign(size=len(batch), calls=sum(tried.values()))
+
+        return call
+
+    rows = spark.range(10).selectExpr("id", "if(id = 3, null, timestamp_seconds(id)) AS t", "cast('x' AS binary) AS b").coalesce(1)
+    good, dead = enrichment.enrich_or_reject(rows, make_client, "id long, size long, calls long", 4, attempts=2)
+    assert sorted(r["id"] for r in good.collect()) == sorted(set(range(10)) - bad)
+    letters = {json.loads(r["raw_payload"])["id"]: r["error_reason"] for r in dead.collect()}
+    assert set(letters) == bad and dead.columns == ["error_reason", "raw_payload", "failed_at"]
+    assert all(("0 rows answered for 1" in why) if k == 9 else ("ZeroDivisionError" in why) for k, why in letters.items())
+    if not bad:
+        assert {r["id"]: r["size"] for r in good.collect()}[5] == 4  # tried again as a whole, not halved
+    assert [df.count() for df in enrichment.enrich_or_reject(rows.limit(0), make_client, "id long")] == [0, 0]
+
+
 def test_ingest_metadata_with_file_name(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.range(3).write.parquet(path)
