@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,19 +30,30 @@ def rank_columns(names: Sequence[str]) -> list[Column]:
     return [F.col(c).alias(f"rank_{i}") for i, c in enumerate(names)]
 
 
+RANGE_ROWS = 1_000_000
+
+
 def with_position(
-    df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], out: str = "position", scratch: str | None = None
+    df: DataFrame,
+    keys: str | Sequence[str],
+    order: str | Sequence[str],
+    out: str = "position",
+    scratch: str | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Row number from 1 within each key, in an order that must be unique within the key.
 
     ``row_number`` alone would sort a whole key in one task. Here rows are split by range of key and order, so a hot
     key spans many tasks, and each range is written with its number. Positions are the rank inside the range plus the
-    number of the key's rows in earlier ranges, which is summed over one row per key and range. The written ranges stay
-    in the shared folder, or in ``scratch``, which the caller may delete once the result has been used.
+    number of the key's rows in earlier ranges, which is summed over one row per key and range. Ranges hold about
+    ``range_rows`` rows however many there are: their number follows a count, where that gives more than the session's
+    shuffle partitions, and their bounds a sample that grows with the number of ranges. The written ranges stay in the shared folder, or in ``scratch``, which the caller may delete once the result has been used.
     """
     spark = df.sparkSession
     keys, order = _names(keys), _names(order)
-    ranged = df.repartitionByRange(*keys, *order).withColumn("range_no", F.spark_partition_id())
+    needed = math.ceil(df.count() / range_rows)
+    number = [needed] if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+    ranged = df.repartitionByRange(*number, *keys, *order).withColumn("range_no", F.spark_partition_id())
     # A struct is never null, so null keys form a group of their own, and one partitioning serves window and join.
     parts = checkpointed(spark, ranged, "positions", scratch).withColumn("group_key", F.struct(*keys))
     earlier = Window.partitionBy("group_key").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)

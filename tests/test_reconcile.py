@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import graph, ordering, reconcile
@@ -69,6 +70,15 @@ def test_count_match(spark):
     assert tuple(reconcile.count_match(spark.range(3), spark.range(4)).first()) == (3, 4, False)
 
 
+@pytest.mark.parametrize("rows", [1000, 10_000])
+def test_position_ranges_stay_small_when_the_input_grows(spark, tmp_path, rows):
+    df = spark.range(rows).selectExpr("'hot' AS k", "id", f"{rows} - id AS o")
+    placed = ordering.with_position(df, "k", "o", scratch=str(tmp_path / "p"), range_rows=100)
+    sizes = [r["n"] for r in spark.read.parquet(str(tmp_path / "p")).groupBy("range_no").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= rows // 100 * 0.9 and max(sizes) <= 200
+    assert placed.filter("position <> o").count() == 0
+
+
 def test_positions_and_bundles_of_a_hot_key(spark):
     df = spark.range(5000).selectExpr("case when id % 3 = 0 then null else id % 2 end as k", "id", "5000 - id as o").repartition(7)
     placed = ordering.with_position(df, "k", "o")
