@@ -272,7 +272,7 @@ def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "one-of-each")
     key = "_row"
-    while key in docs.columns:
+    while key in {c.lower() for c in docs.columns}:
         key += "_"
     rows = scratch.write(docs.withColumn(key, F.monotonically_increasing_id()), "rows")  # written: the keys are fixed
     named = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), percent).filter(~F.col("kept"))
@@ -284,5 +284,5 @@ def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
     keepers = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("least"))
     gone = members.join(keepers.select(F.col("least._key").alias("_key")), "_key", "left_anti").select("_key")
     gone = scratch.write(gone, "gone")
-    gone = (F.broadcast(gone) if fits(gone, MAX_BROADCAST_IDS) else gone).withColumnRenamed("_key", "_gone")
-    return rows.join(gone, F.col(key) == F.col("_gone"), "left_anti").drop(key)
+    gone = (F.broadcast(gone) if fits(gone, MAX_BROADCAST_IDS) else gone).withColumnRenamed("_key", key)
+    return rows.join(gone, key, "left_anti").drop(key)

@@ -89,7 +89,7 @@ def test_one_of_each(listed, odd, documents):
 def test_one_of_each_by_row(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
     rows = [(5, a), (None, a), (None, b), (None, None), (None, c), (None, c), (7, b + " end"), (8, d), (8, d), (9, a), (9, c + " end"), (10, None), (10, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _row", "2 AS _key").repartition(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _row", "2 AS _key", "3 AS _gone", "4 AS component_id").repartition(3)
     left = near_dedup.one_of_each(df)
     assert left.columns == df.columns
     got = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
