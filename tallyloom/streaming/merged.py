@@ -1,10 +1,12 @@
 """A keyed table that a stream of changes is merged into.
 
-The table is a base and a log. The base lies in places (hash buckets of the key, or any whole-number expression of it), each
-a folder of files; a manifest per version names the folders and the mark, the change time up to which the base is
-complete. The log holds the changes of each batch. Reading puts the log's changes after the mark over the base;
+The table is a base and a log. The base lies in places (hash buckets of the key, or any whole-number expression of it). A
+folder of files holds one place or, of very many, a run of them, so the number of folders does not follow that of places. A
+manifest per version names the folders with the places that count in each, and the mark, the change time up to which the
+base is complete. The log holds the changes of each batch. Reading puts the log's changes after the mark over the base;
 :func:`fold_changes` moves the mark on and rewrites only the places those changes fall into. Changes at or before the mark
-never count again, so none beats a later load, and a delete leaves the log with its fold.
+never count again, so none beats a later load, and a delete leaves the log with its fold. A place written anew counts no more
+in the folder it lay in; a folder in which less than half still counts is emptied by the fold that makes it so.
 
 A manifest is created whole or not at all (``folders.create``), after all that it names is written. What a version replaces is
 deleted by the fold after the next, so a reader may go on with the version before.
@@ -31,7 +33,10 @@ from tallyloom.sources import folders
 from tallyloom.sources.writers import gathered
 from tallyloom.streaming.sinks import per_batch
 
-PLACE = "_place"
+PLACE, BEGIN, FOLDER = "_place", "_place_begin", "_place_folder"
+#: A write uses at most so many folders, or one per so many rows of the load where that is more.
+MOST_FOLDERS = 256
+FOLDER_ROWS = 1_000_000
 
 
 class Fold(NamedTuple):
@@ -54,7 +59,12 @@ def _file(path: str, version: int) -> str:
 def _manifest(spark: SparkSession, path: str) -> dict | None:
     """The manifest in force; its size goes with the number of places, not with the rows."""
     found = _versions(spark, path)
-    return json.loads(spark.read.text(_file(path, found[-1]), wholetext=True).first()[0]) if found else None
+    if not found:
+        return None
+    manifest = json.loads(spark.read.text(_file(path, found[-1]), wholetext=True).first()[0])
+    if "gone" not in manifest:  # written when each place had a folder of its own
+        manifest |= {"places": {name: [int(p)] for p, name in manifest["places"].items()}, "gone": {}, "most": MOST_FOLDERS}
+    return manifest
 
 
 def _in_force(spark: SparkSession, path: str) -> dict:
@@ -73,13 +83,27 @@ def _claim(spark: SparkSession, path: str, manifest: dict, written: Sequence[str
     raise VersionTaken(f"another writer has put version {manifest['version']} of {path} in force")
 
 
-def _write_places(df: DataFrame, path: str, place: str) -> tuple[str, dict[str, str]]:
-    """Write rows by place; returns the new folder and the folder of each place that has rows."""
-    data = f"data/{uuid.uuid4().hex}"
-    numbered = df.withColumn(PLACE, F.coalesce(F.expr(place).cast("long"), F.lit(-1)))
+def _number(place: str) -> Column:
+    return F.coalesce(F.expr(place).cast("long"), F.lit(-1))
+
+
+def _write_places(df: DataFrame, path: str, place: str, places: Sequence[int], most: int) -> tuple[str, dict[str, list[int]]]:
+    """Write rows that lie in ``places`` to at most ``most`` folders, each named after the first of its places; returns the
+    folder above them, and of each the places that have rows."""
+    spark, data = df.sparkSession, f"data/{uuid.uuid4().hex}"
+    ordered, run = sorted(places), max(1, -(-len(places) // most))
+    first = {p: ordered[i - i % run] for i, p in enumerate(ordered)}
+    numbered = df.withColumn(PLACE, _number(place))
+    if run > 1:
+        begins = spark.createDataFrame(list(first.items()), f"{PLACE} long, {BEGIN} long")
+        numbered = numbered.join(F.broadcast(begins), PLACE, "left").withColumn(PLACE, F.coalesce(BEGIN, PLACE)).drop(BEGIN)
     gathered(numbered, [PLACE]).write.partitionBy(PLACE).parquet(f"{path}/{data}")
-    names = folders.subfolders(df.sparkSession, f"{path}/{data}")
-    return data, {name.removeprefix(f"{PLACE}="): f"{data}/{name}" for name in names}
+    lying = {f"{data}/{name}": [] for name in folders.subfolders(spark, f"{path}/{data}")}
+    if run == 1:
+        return data, {name: [int(name.rpartition("=")[2])] for name in lying}
+    for row in _rows(spark, path, list(lying), df.schema).select(_number(place).alias(PLACE)).distinct().collect():  # one row per place
+        lying[f"{data}/{PLACE}={first.get(row[PLACE], row[PLACE])}"].append(row[PLACE])
+    return data, lying
 
 
 def _rows(spark: SparkSession, path: str, names: Sequence[str], schema: T.StructType) -> DataFrame:
@@ -87,6 +111,19 @@ def _rows(spark: SparkSession, path: str, names: Sequence[str], schema: T.Struct
     return spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in names]) if names else spark.createDataFrame([], schema)
 
 
+def _counting(spark: SparkSession, path: str, facts: dict, wanted: Sequence[str] | None = None) -> DataFrame:
+    """Base rows of all folders, or of the ``wanted`` ones, without those of places that were written anew elsewhere."""
+    schema, names = T.StructType.fromJson(facts["schema"]), sorted(facts["places"] if wanted is None else wanted)
+    partly = [n for n in names if n in facts["gone"]]
+    whole = _rows(spark, path, [n for n in names if n not in facts["gone"]], schema)
+    if not partly:
+        return whole
+    gone = spark.createDataFrame([(n, p) for n in partly for p in facts["gone"][n]], f"{FOLDER} string, {PLACE} long")
+    folder = F.regexp_extract("_metadata.file_path", f"(data/[0-9a-f]{{32}}/{PLACE}=-?[0-9]+)/[^/]*$", 1)
+    rows = _rows(spark, path, partly, schema).withColumns({FOLDER: folder, PLACE: _number(facts["place"])})
+    return whole.unionByName(rows.join(F.broadcast(gone), [FOLDER, PLACE], "left_anti").select(*schema.names))
+
+
 def load_base(
     df: DataFrame,
     path: str,
@@ -106,21 +143,23 @@ def load_base(
     spark, before = df.sparkSession, _manifest(df.sparkSession, path)
     if before is not None and complete_to is None:
         raise ValueError("a later load must say up to which change time it is complete")
-    if PLACE in df.columns:
-        raise ValueError(f"a column may not be named {PLACE}")
+    if taken := {PLACE, BEGIN, FOLDER} & set(df.columns):
+        raise ValueError(f"a column may not be named {min(taken)}")
     mark = None
     if complete_to is not None:
         mark = spark.range(1).select(F.unix_micros(F.lit(complete_to).cast("timestamp"))).first()[0]
         if before is not None and before["mark"] is not None and mark < before["mark"]:
             raise ValueError("the base in force is complete up to a later time")
     place = place or f"pmod(xxhash64({', '.join(f'`{k}`' for k in keys)}), {places})"
-    data, lying = _write_places(df, path, place)
+    counted = df.groupBy(_number(place).alias(PLACE)).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per place
+    most = max(MOST_FOLDERS, sum(r["n"] for r in counted) // FOLDER_ROWS)
+    data, lying = _write_places(df, path, place, [r[PLACE] for r in counted], most)
     manifest = {
         "version": 0 if before is None else before["version"] + 1,
-        "schema": df.schema.jsonValue(), "keys": list(keys), "ts": ts, "tiebreak": list(tiebreak), "place": place, "mark": mark, "places": lying,
+        "schema": df.schema.jsonValue(), "keys": list(keys), "ts": ts, "tiebreak": list(tiebreak), "place": place, "mark": mark, "places": lying, "gone": {}, "most": most,
         "through": -1 if before is None else before["through"], "carry": None if before is None else before["carry"],
         "late": [] if before is None else before["late"],
-        "retired": [] if before is None else sorted(before["places"].values()),
+        "retired": [] if before is None else sorted(before["places"]),
     }
     _claim(spark, path, manifest, [data])
     if before is not None:
@@ -168,7 +207,7 @@ def _put_over(base: DataFrame, last: DataFrame, facts: dict) -> DataFrame:
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """The table with all collected changes: per key the one of the latest time counts, whichever batch brought it."""
     facts = _in_force(spark, path)
-    base = _rows(spark, path, sorted(facts["places"].values()), T.StructType.fromJson(facts["schema"]))
+    base = _counting(spark, path, facts)
     log = [*([facts["carry"]] if facts["carry"] else []), *_waiting(spark, path, facts)]
     if not log:
         return base
@@ -185,10 +224,10 @@ def fold_changes(spark: SparkSession, path: str, late: str = "10 minutes") -> Fo
     on meanwhile; of two folds at once, or a fold and a load, one raises :class:`VersionTaken`.
     """
     facts = _in_force(spark, path)
-    keys, ts, schema = facts["keys"], facts["ts"], T.StructType.fromJson(facts["schema"])
+    keys, ts = facts["keys"], facts["ts"]
     *taken, newest = _waiting(spark, path, facts) or [None]
     if not taken:
-        return Fold(facts["version"], len(facts["places"]), 0, 0)
+        return Fold(facts["version"], sum(map(len, facts["places"].values())), 0, 0)
     log = [*([facts["carry"]] if facts["carry"] else []), *taken]
     changes = spark.read.parquet(*[f"{path}/{n}" for n in log])
     moment = F.col(ts).cast("timestamp")
@@ -207,25 +246,36 @@ def fold_changes(spark: SparkSession, path: str, late: str = "10 minutes") -> Fo
     current = changes.filter(_after(ts, facts["mark"]))
     carry, _ = store(latest_changes(current.filter(_after(ts, mark) if mark is not None else F.lit(False)), keys, ts, facts["tiebreak"]), "_carry")
     folder, due = store(latest_changes(current.filter(~_after(ts, mark) if mark is not None else F.lit(False)), keys, ts, facts["tiebreak"]), "_due")
-    number = F.coalesce(F.expr(facts["place"]).cast("long"), F.lit(-1))
-    counted = due.groupBy(number.alias(PLACE)).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per place
-    touched = {str(r[PLACE]) for r in counted}
-    replaced = {p: facts["places"][p] for p in touched if p in facts["places"]}
-    lying = {p: name for p, name in facts["places"].items() if p not in touched}
-    if touched:
-        base = _rows(spark, path, sorted(replaced.values()), schema)
-        data, anew = _write_places(_put_over(base, due, facts), path, facts["place"])
+    counted = due.groupBy(_number(facts["place"]).alias(PLACE)).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per place
+    moved = {r[PLACE] for r in counted}
+    lying, gone, replaced, opened = {}, dict(facts["gone"]), [], []
+    for name, held in facts["places"].items():
+        staying = [p for p in held if p not in moved]
+        if len(staying) < len(held):
+            opened.append(name)
+            left = [*gone.pop(name, []), *(p for p in held if p in moved)]
+            if 2 * len(staying) < len(staying) + len(left):
+                replaced.append(name)
+                moved.update(staying)
+                continue
+            gone[name] = left
+        lying[name] = staying
+    if moved:
+        into = spark.createDataFrame([(p,) for p in sorted(moved)], f"{PLACE} long")
+        base = _counting(spark, path, facts, opened)
+        affected = base.withColumn(PLACE, _number(facts["place"])).join(F.broadcast(into), PLACE, "left_semi").select(*base.columns)
+        data, anew = _write_places(_put_over(affected, due, facts), path, facts["place"], sorted(moved), facts["most"])
         written.append(data)
         lying |= anew
     manifest = facts | {
-        "version": facts["version"] + 1, "mark": mark, "places": lying, "carry": carry, "late": [*facts["late"], *tardy],
+        "version": facts["version"] + 1, "mark": mark, "places": lying, "gone": gone, "carry": carry, "late": [*facts["late"], *tardy],
         "through": int(taken[-1].rpartition("=")[2]),
-        "retired": [*sorted(replaced.values()), *log],
+        "retired": [*sorted(replaced), *log],
     }
     _claim(spark, path, manifest, written)
     folders.delete(spark, f"{path}/{folder}")
     _clear(spark, path, facts)
-    return Fold(manifest["version"], len(lying), len(touched), sum(r["n"] for r in counted))
+    return Fold(manifest["version"], sum(map(len, lying.values())), len(moved), sum(r["n"] for r in counted))
 
 
 def _clear(spark: SparkSession, path: str, before: dict) -> None:

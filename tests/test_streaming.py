@@ -217,6 +217,41 @@ def test_old_files_leave_with_the_next_fold_and_a_second_fold_is_refused(spark,
     assert rows(merged.read_merged(spark, out)) == [(1, "last"), (2, "b")]
 
 
+def test_many_places_share_few_folders(spark, feed, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(merged, "MOST_FOLDERS", 3)
+    folder, add = feed
+    out, state = str(tmp_path / "t"), {i: "a" for i in range(-1, 29)}
+    merged.load_base(spark.createDataFrame(list(state.items()), "id int, name string"), out, ["id"], place="id")
+    assert len(list((tmp_path / "t/data").glob("*/_place=*"))) == 3
+
+    def change(minute, *changes):
+        add([(i, n, op, moment(f"10:{minute:02d}:00")) for i, n, op in changes], CHANGES)
+        sinks.finish(merged.merge_stream(stream_files(spark, folder, "parquet", CHANGES), out, str(tmp_path / "c")))
+        state.update({i: n for i, n, _ in changes})
+
+    steps = [([(2, "b", "u"), (3, None, "d"), (40, "new", "c")], (31 - 1, 3)), ([(2, "c", "u")], (30, 1)), ([(i, "d", "u") for i in range(-1, 6)], (31, 10))]
+    for minute, (changes, (places, rewritten)) in enumerate(steps):
+        change(3 * minute, *changes)
+        add([(None, "rejected", "u", moment("10:59:00"))], CHANGES)
+        sinks.finish(merged.merge_stream(stream_files(spark, folder, "parquet", CHANGES), out, str(tmp_path / "c")))
+        want = sorted(((i, n) for i, n in state.items() if n is not None), key=repr)
+        assert rows(merged.read_merged(spark, out)) == want
+        done = merged.fold_changes(spark, out, "0 minutes")
+        assert (done.places, done.rewritten) == (places, rewritten)  # the last leaves less than half of a folder, and moves the rest
+        assert rows(merged.read_merged(spark, out)) == want
+
+
+def test_a_load_over_many_places_retires_few_folders(spark, merging, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(merged, "MOST_FOLDERS", 4)
+    out, _ = merging
+    for k in range(2):
+        load = spark.createDataFrame([(i, f"{k}") for i in range(50)], "id int, name string")
+        merged.load_base(load, out, ["id"], moment(f"1{k}:00:00"), place="id")
+        assert rows(merged.read_merged(spark, out)) == sorted(((i, f"{k}") for i in range(50)), key=repr)
+    facts = merged._in_force(spark, out)
+    assert len(facts["places"]) == len(facts["retired"]) == 4 and sum(map(len, facts["places"].values())) == 50
+
+
 def test_merged_table_that_is_empty_or_lacks_columns(spark, feed, tmp_path):
     folder, add = feed
     out = str(tmp_path / "t")
