@@ -124,7 +124,8 @@ def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = load(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))
     customer = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     both = nation.unionByName(customer)
-    both.select("id", "name", F.array(prop("a", F.col("name")), prop("b", F.col("id").cast("string"))).alias("property")).write.option("rowTag", "processor").xml(path)
+    records = both.select("id", "name", F.array(prop("a", F.col("name")), prop("b", F.col("id").cast("string"))).alias("property"))
+    writers.write_xml(records, path, "processor")
     rows = readers.read_xml_records(spark, path, "processor", "id bigint, name string, property array<struct<key: string, value: string>>")
     return rows.select("id", "name", F.size("property").cast("long").alias("properties"))
 

@@ -170,7 +170,10 @@ def external_table(spark: SparkSession, name: str, path: str, schema: T.StructTy
 
 
 def read_xml_records(spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType | str) -> DataFrame:
-    """Repeated elements of XML files as rows, nested elements as structs and arrays."""
+    """Repeated elements of XML files as rows, nested elements as structs and arrays.
+
+    A file is one task's work; ``writers.write_xml`` keeps files small.
+    """
     return spark.read.schema(_schema(schema)).option("rowTag", row_tag).xml(path)
 
 

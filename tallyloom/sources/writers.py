@@ -120,6 +120,11 @@ def write_parquet(
     df.write.mode("overwrite").options(**options).parquet(path)
 
 
+def write_xml(df: DataFrame, path: str, row_tag: str, records: int = 100_000) -> None:
+    """Rows as XML elements, at most ``records`` in a file: an XML file does not split, so a reader takes it in one task."""
+    df.hint("rebalance").write.option("rowTag", row_tag).option("maxRecordsPerFile", records).xml(path)
+
+
 def write_dated(df: DataFrame, base: str, ts_col: str, fmt: str = "parquet") -> None:
     """Rows below a year, month and day folder taken from a timestamp."""
     day = F.col(ts_col)

@@ -102,6 +102,13 @@ def test_xml(spark, tmp_path):
     assert [(r["id"], len(r["prop"] or [])) for r in df.orderBy("id").collect()] == [(1, 2), (2, 0)]
 
 
+def test_xml_is_written_in_files_of_bounded_size(spark, tmp_path):
+    path = tmp_path / "x"
+    writers.write_xml(spark.range(25).coalesce(1), str(path), "p", records=10)
+    assert all(f.read_text().count("<p>") <= 10 for f in path.glob("part-*"))
+    assert sorted(r["id"] for r in readers.read_xml_records(spark, str(path), "p", "id bigint").collect()) == list(range(25))
+
+
 def test_conflicts(spark, tmp_path):
     path = str(tmp_path / "t")
     assert writers.write(spark.range(1), path) == path
