@@ -71,6 +71,20 @@ def test_inventory(spark, tmp_path):
     assert sums["a.bin"] == hashlib.sha256(b"12345").hexdigest()
 
 
+@pytest.mark.parametrize("content", [b"ab\n\ncd" * 900, b"\xef\xbb\xbfx\r\ny\n" * 700, bytes(range(256)) * 30, b"\n" * 5000, b"\xff" * 5000])
+def test_large_files_are_hashed_in_steps(spark, tmp_path, monkeypatch, setting, content):
+    monkeypatch.setattr(inventory, "WHOLE_BYTES", 4000)
+    monkeypatch.setattr(inventory, "STEP_BYTES", 1024)
+    monkeypatch.setattr(inventory, "PIECE_BYTES", 300)
+    setting("spark.sql.files.maxPartitionBytes", "1000")
+    files = {"a {1}.bin": content, "b%.bin": content[:4500] + b"z", "small.bin": b"12345"}
+    for name, data in files.items():
+        (tmp_path / "x").mkdir(exist_ok=True)
+        (tmp_path / "x" / name).write_bytes(data)
+    got = {r["path"].rsplit("/", 1)[1]: (r["bytes"], r["sha256"]) for r in inventory.file_checksums(spark, str(tmp_path / "x")).collect()}
+    assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in files.items()}
+
+
 def test_external_table_survives_its_drop(spark, tmp_path):
     path = put(tmp_path / "ext", "a.csv", "id,name,amount\n1,x,2.5\n")
     df = readers.external_table(spark, "ext_csv", str(tmp_path / "ext"), SCHEMA, header=True)
