@@ -2,9 +2,12 @@
 
 Counts. Every pair and triple that occurs LEAST times in the training texts is kept, at any size of the input; words are
 counted exactly. The texts are read once, into parts of bounded size: their distinct words and their tokens as places among
-them. A part sends its distinct pairs, each with the triples that go on from it, to shards of the pairs' hashes. A shard adds
-up, keeps what is frequent, and answers each part; what a word's kept pairs add up to goes on to the shards of words.
-The number of shards grows with the input, so that a shard stays about as large. No count reaches the driver.
+them. Shards of words count these and number the frequent ones, small numbers for frequent words. A part names its words by hash
+only there; its distinct pairs of numbered words, each with the triples that go on from it, go as numbers to shards of pairs
+(an n-gram is no more frequent than its rarest word, so the others need no count). A shard adds up, keeps what is frequent, and
+answers each part; what a word's kept pairs add up to goes on to the shards of words. The number of shards grows with the
+input, so that a shard stays about as large. The parts lie in buckets and meet their answers there, without being moved. No
+count reaches the driver.
 
 Trie. From the answers a part builds what its texts touch of the model. Level 1 is the sorted hashes of words, whose
 positions are their ids. Level 2 holds the successors of each word, level 3 those of each pair, by the last word's place
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import os
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -267,13 +271,9 @@ def unpacked(data: bytes, rising: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64) if rising else values.astype(np.int64)
 
 
-def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mixed(mixed(a) * np.uint64(0x9E3779B97F4A7C15) + b)
-
-
 def parts_of(docs: DataFrame, held_out) -> DataFrame:
     """One row per part: its own id, doc_id and held_out of its texts, their lengths, the sorted hashes of its distinct words
-    (and of the start) and the tokens as places among them."""
+    (and of the start), how often they occur, and the tokens as places among the words from the most to the least frequent."""
     small_batches(docs.sparkSession)
     limit = PART_TOKENS
 
@@ -282,13 +282,14 @@ def parts_of(docs: DataFrame, held_out) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             words, tokens = np.unique(np.concatenate([*hashes, np.array([BOS], np.uint64)]), return_inverse=True)
+            often = np.bincount(tokens)
             lengths = np.array(list(map(len, hashes)), np.int64)
             trained = ~np.array(held, bool)
             doc_id = pa.concat_arrays(ids)
             lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (doc_id, pa.array(held, pa.bool_()))]
             row = [
-                pa.array([int.from_bytes(os.urandom(8)) >> 1], pa.int64()), *lists, pa.array([packed(lengths)]), pa.array([packed(words, True)]), pa.array([packed(tokens[:-1])]),
-                pa.array([len(tokens) - 1], pa.int64()), pa.array([int(lengths[trained].sum())], pa.int64()),
+                pa.array([int.from_bytes(os.urandom(8)) >> 1], pa.int64()), *lists, pa.array([packed(lengths)]), pa.array([packed(words, True)]), pa.array([packed(often)]),
+                pa.array([packed(places(by_count(often))[tokens[:-1]])]), pa.array([len(tokens) - 1], pa.int64()), pa.array([int(lengths[trained].sum())], pa.int64()),
             ]
             return pa.RecordBatch.from_arrays(row, names)
 
@@ -306,39 +307,79 @@ def parts_of(docs: DataFrame, held_out) -> DataFrame:
             yield out()
 
     binary, long = T.BinaryType(), T.LongType()
-    names = ["part", "doc_id", "held_out", "lengths", "words", "tokens", "n", "trained"]
-    kinds = [long, T.ArrayType(docs.schema["doc_id"].dataType), T.ArrayType(T.BooleanType()), binary, binary, binary, long, long]
+    names = ["part", "doc_id", "held_out", "lengths", "words", "often", "tokens", "n", "trained"]
+    kinds = [long, T.ArrayType(docs.schema["doc_id"].dataType), T.ArrayType(T.BooleanType()), binary, binary, binary, binary, long, long]
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
     return docs.select("doc_id", held_out.alias("held_out"), text_bytes().alias("text")).mapInArrow(run, schema)
 
 
-class Part:
-    """The tokens of a part, and the distinct words, pairs and triples among them, pairs by hash, triples by pair."""
+def by_count(counts: np.ndarray) -> np.ndarray:
+    """Positions from the largest to the smallest count."""
+    return np.argsort(-counts, kind="stable")
+
+
+def places(order: np.ndarray) -> np.ndarray:
+    """The place of each position in ``order``."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.arange(len(order))
+    return out
+
 
-    def __init__(self, row: dict):
-        self.words, self.lengths, self.tokens = unpacked(row["words"], True), unpacked(row["lengths"]), unpacked(row["tokens"])
+def tokens_of(row: dict) -> np.ndarray:
+    """The tokens of a part as places among its sorted words."""
+    return by_count(unpacked(row["often"]))[unpacked(row["tokens"])]
+
+
+def gathered(rows: list[dict], name: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(unpacked(r[name]) for r in rows)])
+
+
+class Part:
+    """The tokens of a part, its distinct words with their counts and numbers (-1: none, too rare), and the distinct pairs and
+    triples of numbered words: pairs by shard and numbers, triples by pair and number."""
+
+    def __init__(self, row: dict, answers: list[dict], shards: int):
+        rows = sorted(answers, key=lambda r: r["shard"])
+        self.words, self.lengths, self.tokens = unpacked(row["words"], True), unpacked(row["lengths"]), tokens_of(row)
+        self.n1, rank = gathered(rows, "c"), gathered(rows, "rank")
+        shard = np.repeat([r["shard"] for r in rows], [PACKED.unpack_from(r["rank"])[0] for r in rows])
+        self.number = np.where(rank > 0, (rank - 1) * shards + shard, -1)
+        if int(self.number.max(initial=0)) >> 32:
+            raise OverflowError("more than 2^32 numbers of words")
         width = len(self.words)
         self.bos = int(np.searchsorted(self.words, np.uint64(BOS)))
         starts = np.cumsum(self.lengths) - self.lengths
         self.before = np.concatenate([[-1], self.tokens[:-1]])
         self.before[starts] = self.bos
-        texts = ~np.array(row["held_out"], bool)
-        trained = np.repeat(texts, self.lengths)
-        pairs, at = np.unique(self.before * width + self.tokens, return_inverse=True)
-        a, b = pairs // width, pairs % width
-        key = pair_keys(self.words[a], self.words[b])
-        order = np.argsort(key, kind="stable")
-        self.key, self.a, self.b = key[order], a[order], b[order]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        at = rank[at]
-        self.count2 = np.bincount(at[trained], minlength=len(pairs))
+        trained = np.repeat(~np.array(row["held_out"], bool), self.lengths)
+        by_number = np.argsort(self.number, kind="stable")
+        place, rare = places(by_number), int((self.number < 0).sum())
+        left, right = place[self.before], place[self.tokens]
+        known = np.nonzero((left >= rare) & (right >= rare))[0]
+        pairs, found = np.unique(left[known] * width + right[known], return_inverse=True)
+        a, b = by_number[pairs // width], by_number[pairs % width]
+        shard = shard_of(pair_keys(self.number[a], self.number[b]), shards)
+        order = np.argsort(shard, kind="stable")
+        self.a, self.b, self.shard = a[order], b[order], shard[order]
+        at = np.full(len(self.tokens), -1, np.int64)
+        at[known] = places(order)[found]
+        self.count2 = np.bincount(at[known[trained[known]]], minlength=len(pairs))
         inner = np.ones(len(at), bool)
         inner[starts] = False
-        inner = np.nonzero(inner)[0]
-        triples, at3 = np.unique(at[inner - 1] * width + self.tokens[inner], return_inverse=True)
-        self.parent, self.last = triples // width, triples % width
-        self.count3 = np.bincount(at3[trained[inner]], minlength=len(triples))
+        inner[1:] &= at[:-1] >= 0
+        inner = np.nonzero(inner & (at >= 0))[0]
+        triples, found = np.unique(at[inner - 1] * width + right[inner], return_inverse=True)
+        self.parent, self.last = triples // width, by_number[triples % width]
+        self.count3 = np.bincount(found[trained[inner]], minlength=len(triples))
+
+
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Keys of pairs of numbers below 2^32."""
+    return (a.astype(np.uint64) << np.uint64(32)) + b.astype(np.uint64)
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return ((mixed(keys) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -351,130 +392,144 @@ def flat(table: pa.Table, names: list[str]) -> list[list]:
     return [table.column(n).to_pylist() for n in names]
 
 
-def requests(parts: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
-    """What parts send to the shards of pairs (their words, pairs in the order of their keys, triples under them), and to
-    those of words."""
+def listed(rows: list[tuple], schema: dict[str, pa.DataType]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.table([pa.array(c, t) for c, t in zip(columns, schema.values(), strict=True)], list(schema))
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                p = Part(row)
-                cut = cuts(p.key, shards)
-                deep = np.searchsorted(p.parent, cut)
-                out = []
-                for k in range(shards):
-                    (i, j), (x, y) = cut[k : k + 2], deep[k : k + 2]
-                    if i < j:
-                        own, at = np.unique(np.concatenate([p.a[i:j], p.b[i:j], p.last[x:y]]), return_inverse=True)
-                        out.append((k, row["part"], packed(p.words[own], True), packed(at[: j - i]), packed(at[j - i : 2 * (j - i)]), packed(p.count2[i:j]),
-                                    packed(p.parent[x:y] - i, True), packed(at[2 * (j - i) :]), packed(p.count3[x:y])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), pa.int64(), *[pa.binary()] * 7], strict=True)],
-                                                 ["shard", "part", "words", "a", "b", "c2", "parent", "last", "c3"])
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def fields(names: str) -> tuple[dict[str, pa.DataType], str]:
+    """(Arrow types, Spark schema) of columns: shard, and the numbers of parts and of counts, else packed integers."""
+    kinds = {"shard": (pa.int32(), "int"), "part": (pa.int64(), "long"), "distinct": (pa.int64(), "long"), "top": (pa.int64(), "long")}
+    chosen = {n: kinds.get(n, (pa.binary(), "binary")) for n in names.split()}
+    return {n: k for n, (k, _) in chosen.items()}, ", ".join(f"{n} {k}" for n, (_, k) in chosen.items())
+
+
+def word_requests(parts: DataFrame, shards: int) -> DataFrame:
+    """What parts send to the shards of words: hashes and counts."""
+    arrow, schema = fields("shard part words c")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                found, lengths, tokens, held = unpacked(row["words"], True), unpacked(row["lengths"]), unpacked(row["tokens"]), np.array(row["held_out"], bool)
-                count = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(found))
+                found, lengths, held = unpacked(row["words"], True), unpacked(row["lengths"]), np.array(row["held_out"], bool)
+                count = np.bincount(tokens_of(row)[np.repeat(~held, lengths)], minlength=len(found))
                 count[np.searchsorted(found, np.uint64(BOS))] = (~held).sum()
                 cut = cuts(found, shards)
                 out = [(k, row["part"], packed(found[i:j], True), packed(count[i:j])) for k, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if i < j]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), pa.int64(), pa.binary(), pa.binary()], strict=True)],
-                                                 ["shard", "part", "words", "c1"])
+                yield from listed(out, arrow).to_batches()
 
-    source = parts.select("part", "held_out", "lengths", "words", "tokens")
-    first = source.mapInArrow(pairs, "shard int, part long, words binary, a binary, b binary, c2 binary, parent binary, last binary, c3 binary")
-    return first, source.mapInArrow(words, "shard int, part long, words binary, c1 binary")
+    return parts.select("part", "held_out", "lengths", "words", "often", "tokens").mapInArrow(run, schema)
 
 
-def pair_answers(sent: DataFrame, shards: int, least: int) -> DataFrame:
-    """To each part, with the shard: counts of its kept pairs and triples (0: not kept) and, of each pair, the sum and number
-    of its kept triples; rows without a part go to a shard of words: sum and number of the kept pairs of contexts."""
+def word_answers(sent: DataFrame, least: int) -> DataFrame:
+    """To each part, with the shard: counts of its words and their ranks in the shard (from 1 on, by falling count; 0: fewer than
+    ``least``); and one row without a part per shard: its number of distinct training words and the largest count."""
+    arrow, schema = fields("part shard rank c distinct top")
 
     def one(table: pa.Table) -> pa.Table:
-        names = ["shard", "part", "words", "a", "b", "c2", "parent", "last", "c3"]
-        shard, part, words, a, b, c2, parent, last, c3 = flat(table, names)
+        shard, part, words, c = flat(table, ["shard", "part", "words", "c"])
         own = [unpacked(w, True) for w in words]
-        context = np.concatenate([w[unpacked(x)] for w, x in zip(own, a, strict=True)])
-        keys = pair_keys(context, np.concatenate([w[unpacked(x)] for w, x in zip(own, b, strict=True)]))
-        keys, first, at = np.unique(keys, return_index=True, return_inverse=True)
-        counts = [unpacked(c) for c in c2]
-        n2 = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
+        found, at = np.unique(np.concatenate(own), return_inverse=True)
+        n1 = np.bincount(at, np.concatenate([unpacked(x) for x in c]), len(found)).astype(np.int64)
+        rank = np.where(n1 >= least, places(by_count(n1)) + 1, 0)
+        out = [(None, shard[0], None, None, int(((n1 > 0) & (found != np.uint64(BOS))).sum()), int(n1.max()))]
+        for r, end in enumerate(np.cumsum([len(w) for w in own])):
+            mine = at[end - len(own[r]) : end]
+            out.append((part[r], shard[r], packed(rank[mine]), packed(n1[mine]), None, None))
+        return listed(out, arrow)
+
+    return sent.groupBy("shard").applyInArrow(one, schema)
+
+
+def pair_requests(parts: DataFrame, ones: DataFrame, shards: int) -> DataFrame:
+    """What parts send to the shards of pairs: the numbers of the words of their pairs, in the order of these, and of the triples
+    under them."""
+    arrow, schema = fields("shard part a b c2 parent last c3")
+
+    def one(part: pa.Table, given: pa.Table) -> pa.Table:
+        row = part.to_pylist()[0]
+        p, out = Part(row, given.to_pylist(), shards), []
+        cut = np.searchsorted(p.shard, np.arange(shards + 1))
+        deep = np.searchsorted(p.parent, cut)
+        for k in range(shards):
+            (i, j), (x, y) = cut[k : k + 2], deep[k : k + 2]
+            if i < j:
+                out.append((k, row["part"], packed(p.number[p.a[i:j]], True), packed(p.number[p.b[i:j]]), packed(p.count2[i:j]),
+                            packed(p.parent[x:y] - i, True), packed(p.number[p.last[x:y]]), packed(p.count3[x:y])))
+        return listed(out, arrow)
+
+    own = parts.select("part", "held_out", "lengths", "words", "often", "tokens")
+    return own.groupBy("part").cogroup(ones.select("part", "shard", "rank", "c").groupBy("part")).applyInArrow(one, schema)
+
+
+def pair_answers(sent: DataFrame, shards: int, least: int) -> DataFrame:
+    """To each part, with the shard: counts of its pairs and triples (0: not kept) and, of each kept pair, the sum and number
+    of its kept triples; rows without a part go to a shard of words: ranks, sum and number of the kept pairs of contexts."""
+    arrow, schema = fields("part shard rank c sums many c3")
+
+    def one(table: pa.Table) -> pa.Table:
+        shard, part, a, b, c2, parent, last, c3 = flat(table, ["shard", "part", "a", "b", "c2", "parent", "last", "c3"])
+        keys = [pair_keys(unpacked(x, True), unpacked(y)) for x, y in zip(a, b, strict=True)]
+        offsets = np.cumsum([0, *map(len, keys)])
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n2 = np.bincount(at, np.concatenate([unpacked(c) for c in c2]), len(keys)).astype(np.int64)
         n2[n2 < least] = 0
-        offsets = np.cumsum([0, *map(len, counts)])
-        counts = [unpacked(c) for c in c3]
-        ends = np.cumsum([0, *map(len, counts)])
-        up = at[np.concatenate([unpacked(x, True).astype(np.int64) + o for x, o in zip(parent, offsets, strict=False)])]
-        word = np.concatenate([w[unpacked(x)] for w, x in zip(own, last, strict=True)])
-        order = np.lexsort((word, up))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(up[order]) != 0) | (word[order][1:] != word[order][:-1])
-        own = np.empty(len(order), np.int64)
-        own[order] = np.cumsum(new) - 1
-        n3 = np.bincount(own, np.concatenate(counts), int(new.sum())).astype(np.int64)
+        triples = [pair_keys(at[unpacked(x, True).astype(np.int64) + o], unpacked(y)) for x, y, o in zip(parent, last, offsets, strict=False)]
+        ends = np.cumsum([0, *map(len, triples)])
+        triples, own = np.unique(np.concatenate(triples), return_inverse=True)
+        n3 = np.bincount(own, np.concatenate([unpacked(c) for c in c3]), len(triples)).astype(np.int64)
         n3[n3 < least] = 0
-        above = up[order][new]
+        above = (triples >> np.uint64(32)).astype(np.int64)
         sum3 = np.bincount(above, n3, len(keys)).astype(np.int64)
         many3 = np.bincount(above[n3 > 0], minlength=len(keys))
         out = []
         for r in range(len(part)):
             mine = at[offsets[r] : offsets[r + 1]]
-            out.append((part[r], shard[r], None, packed(n2[mine]), packed(sum3[mine]), packed(many3[mine]), packed(n3[own[ends[r] : ends[r + 1]]])))
+            held = mine[n2[mine] > 0]
+            out.append((part[r], shard[r], None, packed(n2[mine]), packed(sum3[held]), packed(many3[held]), packed(n3[own[ends[r] : ends[r + 1]]])))
         kept = n2 > 0
-        contexts, where = np.unique(context[first[kept]], return_inverse=True)
+        contexts, where = np.unique((keys[kept] >> np.uint64(32)).astype(np.int64), return_inverse=True)
         sum2 = np.bincount(where, n2[kept], len(contexts)).astype(np.int64)
         many2 = np.bincount(where, minlength=len(contexts))
-        cut = cuts(contexts, shards)
-        for k, (i, j) in enumerate(zip(cut, cut[1:], strict=False)):
-            if i < j:
-                out.append((None, k, packed(contexts[i:j], True), None, packed(sum2[i:j]), packed(many2[i:j]), None))
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["part", "shard", "words", "c", "sums", "many", "c3"])
+        order = np.argsort(contexts % shards, kind="stable")
+        cut = np.searchsorted((contexts % shards)[order], np.arange(shards + 1))
+        for k in range(shards):
+            mine = order[cut[k] : cut[k + 1]]
+            if len(mine):
+                out.append((None, k, packed(contexts[mine] // shards + 1, True), None, packed(sum2[mine]), packed(many2[mine]), None))
+        return listed(out, arrow)
 
-    return sent.groupBy("shard").applyInArrow(one, "part long, shard int, words binary, c binary, sums binary, many binary, c3 binary")
+    return sent.groupBy("shard").applyInArrow(one, schema)
 
 
-def word_answers(sent: DataFrame, contexts: DataFrame) -> DataFrame:
-    """To each part, with the shard: counts of its words and the sum and number of their kept pairs; and one row without a part
-    per shard: its number of distinct training words and the largest count."""
+def context_answers(ones: DataFrame, contexts: DataFrame) -> DataFrame:
+    """To each part, with the shard: sum and number of the kept pairs of its numbered words."""
+    arrow, schema = fields("part shard sums many")
     none = F.lit(None).cast("binary")
-    rows = sent.withColumns({"sums": none, "many": none}).unionByName(
-        contexts.select("shard", F.lit(None).cast("long").alias("part"), "words", none.alias("c1"), "sums", "many")
-    )
+    asked = ones.select("shard", "part", "rank", none.alias("sums"), none.alias("many"))
+    rows = asked.unionByName(contexts.select("shard", "part", "rank", "sums", "many"))
 
     def one(table: pa.Table) -> pa.Table:
-        shard, part, words, c1, sums, many = flat(table, ["shard", "part", "words", "c1", "sums", "many"])
-        own = [unpacked(w, True) for w in words]
-        found, at = np.unique(np.concatenate(own), return_inverse=True)
-
-        def total(column: list) -> np.ndarray:
-            values = [np.zeros(len(w), np.int64) if c is None else unpacked(c) for c, w in zip(column, own, strict=True)]
-            return np.bincount(at, np.concatenate(values), len(found)).astype(np.int64)
-
-        n1, sum2, many2 = total(c1), total(sums), total(many)
-        out = [(None, shard[0], None, None, None, int(((n1 > 0) & (found != np.uint64(BOS))).sum()), int(n1.max()))]
-        offsets = np.cumsum([0, *map(len, own)])
-        for r in range(len(part)):
-            if part[r] is not None:
-                mine = at[offsets[r] : offsets[r + 1]]
-                out.append((part[r], shard[r], packed(n1[mine]), packed(sum2[mine]), packed(many2[mine]), None, None))
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64()]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["part", "shard", "c", "sums", "many", "distinct", "top"])
-
-    return rows.groupBy("shard").applyInArrow(one, "part long, shard int, c binary, sums binary, many binary, distinct long, top long")
-
+        shard, part, rank, sums, many = flat(table, ["shard", "part", "rank", "sums", "many"])
+        asked = [(r, unpacked(rank[r])) for r in range(len(part)) if part[r] is not None]
+        given = [r for r in range(len(part)) if part[r] is None]
+        at = np.concatenate([np.zeros(0, np.int64), *(unpacked(rank[r], True).astype(np.int64) for r in given)])
+        size = 1 + max([int(at.max(initial=0)), *(int(own.max(initial=0)) for _, own in asked)])
+        sum2, many2 = (np.bincount(at, np.concatenate([np.zeros(0, np.int64), *(unpacked(c[r]) for r in given)]), size).astype(np.int64) for c in (sums, many))
+        return listed([(part[r], shard[r], packed(sum2[own[own > 0]]), packed(many2[own[own > 0]])) for r, own in asked], arrow)
 
-def touched(p: Part, answers: list[dict], tokens: int, distinct: int, least: int, top: int) -> tuple[Trie, np.ndarray, np.ndarray]:
-    """(the trie of what a part's texts touch, ids of the part's words in it or -1, exact counts of the words)."""
+    return rows.groupBy("shard").applyInArrow(one, schema)
 
-    def gathered(rows: list[dict], name: str) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.int64), *(unpacked(r[name]) for r in rows)])
 
+def touched(p: Part, answers: list[dict], tokens: int, distinct: int, least: int, top: int) -> tuple[Trie, np.ndarray]:
+    """(the trie of what a part's texts touch, ids of the part's words in it or -1)."""
     rows = sorted(answers, key=lambda r: r["shard"])
     ones, twos = [r for r in rows if r["c3"] is None], [r for r in rows if r["c3"] is not None]
-    n1, sum1, many1 = (gathered(ones, c) for c in ("c", "sums", "many"))
+    numbered = np.nonzero(p.number >= 0)[0]
+    sum1, many1 = np.zeros(len(p.words), np.int64), np.zeros(len(p.words), np.int64)
+    sum1[numbered], many1[numbered] = gathered(ones, "sums"), gathered(ones, "many")
     n2, sum2, many2, n3 = (gathered(twos, c) for c in ("c", "sums", "many", "c3"))
-    known = n1 >= least
+    known = p.n1 >= least
     known[p.bos] = False
     ids = np.where(known, np.cumsum(known) - 1, -1)
     ids[p.bos] = size = int(known.sum())
@@ -486,13 +541,20 @@ def touched(p: Part, answers: list[dict], tokens: int, distinct: int, least: int
     place[two[order]] = np.arange(len(two))
     two = two[order]
     three = np.nonzero(n3)[0]
-    left1 = np.maximum(1e-12, 1 - (sum1 - DISCOUNT * many1)[order1] / np.maximum(n1[order1], 1))
-    left2 = np.maximum(1e-12, 1 - (sum2 - DISCOUNT * many2)[two] / n2[two])
+    left1 = np.maximum(1e-12, 1 - (sum1 - DISCOUNT * many1)[order1] / np.maximum(p.n1[order1], 1))
+    left2 = np.maximum(1e-12, 1 - (sum2 - DISCOUNT * many2)[order] / n2[two])
     data = Trie.build(
-        tokens, distinct, p.words[known], n1[known], (key2[order].astype(np.uint64), n2[two]), (place[p.parent[three]], ids[p.last[three]], n3[three]),
-        int(n1[p.bos]), (left1, left2), (float(np.log10(DISCOUNT / max(top, 1))), 0.0),
+        tokens, distinct, p.words[known], p.n1[known], (key2[order].astype(np.uint64), n2[two]), (place[p.parent[three]], ids[p.last[three]], n3[three]),
+        int(p.n1[p.bos]), (left1, left2), (float(np.log10(DISCOUNT / max(top, 1))), 0.0),
     )
-    return Trie(data), ids, n1
+    return Trie(data), ids
+
+
+def in_buckets(parts: DataFrame, name: str) -> DataFrame:
+    """Write the parts as a bucketed table, so that what is shuffled by part meets them where they lie."""
+    spark = parts.sparkSession
+    parts.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").sortBy("part").format("parquet").saveAsTable(name)
+    return spark.table(name)
 
 
 def score_documents(docs: DataFrame, remainder: int = 0, folds: int = 10, unigram_share: float = 0.0, ngram_share: float = 0.0) -> DataFrame:
@@ -505,39 +567,40 @@ def score_documents(docs: DataFrame, remainder: int = 0, folds: int = 10, unigra
     """
     if unigram_share > ngram_share:
         raise ValueError("words of kept n-grams must be kept: unigram_share is at most ngram_share")
-    scratch = Scratch(docs.sparkSession, "lm-score")
+    scratch, table = Scratch(docs.sparkSession, "lm-score"), f"lm_parts_{uuid.uuid4().hex}"
     held_out = crc_of_id() % folds == remainder
-    parts = scratch.write(parts_of(docs, held_out), "parts")
+    parts = in_buckets(parts_of(docs, held_out), table)
     total = parts.agg(F.sum("n").alias("n"), F.sum("trained").alias("trained")).first()
     tokens = total["trained"] or 0
     shards = max(1, -(-(total["n"] or 0) // SHARD_TOKENS))
     least, least_word = (max(LEAST, int(np.ceil(share * tokens))) for share in (ngram_share, unigram_share))
-    to_pairs, to_words = requests(parts, shards)
-    twos = scratch.write(pair_answers(to_pairs, shards, least), "pairs")
-    ones = scratch.write(word_answers(to_words, twos.filter("part is null")), "words")
+    ones = scratch.write(word_answers(word_requests(parts, shards), least), "words")
     summary = ones.filter("part is null").agg(F.sum("distinct").alias("v"), F.max("top").alias("top")).first()
     distinct, top = summary["v"] or 0, summary["top"] or 0
+    ones = ones.filter("part is not null").select("part", "shard", "rank", "c")
+    twos = scratch.write(pair_answers(pair_requests(parts, ones, shards), shards, least), "pairs")
+    sums = scratch.write(context_answers(ones, twos.filter("part is null")), "contexts")
     log_total = float(np.log10(tokens + ADDED * (distinct + 1)))
-    answers = twos.filter("part is not null").select("part", "shard", "c", "sums", "many", "c3").unionByName(
-        ones.filter("part is not null").select("part", "shard", "c", "sums", "many", F.lit(None).cast("binary").alias("c3"))
-    )
+    answers = ones.unionByName(twos.filter("part is not null").drop("rank"), True).unionByName(sums, True)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def one(part: pa.Table, given: pa.Table) -> pa.Table:
         lists = [part.column(c).combine_chunks().flatten() for c in ("doc_id", "held_out")]
-        row = part.select(["held_out", "lengths", "words", "tokens"]).to_pylist()[0]
-        p = Part(row)
-        trie, ids, counts = touched(p, given.to_pylist(), tokens, distinct, least_word, top)
+        given = given.to_pylist()
+        p = Part(part.drop_columns(["doc_id"]).to_pylist()[0], [r for r in given if r["rank"] is not None], shards)
+        trie, ids = touched(p, [r for r in given if r["rank"] is None], tokens, distinct, least_word, top)
         owner, n = np.repeat(np.arange(len(p.lengths)), p.lengths), len(p.lengths)
-        unigram = np.log10(counts + ADDED) - log_total
+        unigram = np.log10(p.n1 + ADDED) - log_total
         rare = np.where(ids[p.tokens] < 0, unigram[p.tokens], 0.0)  # the trie leaves out the unigram part of unknown words
         score = np.bincount(owner, trie.scores(ids[p.tokens], ids[p.before]) + rare, n)
-        known = np.bincount(owner, counts[p.tokens] > 0, n).astype(np.int64)
+        known = np.bincount(owner, p.n1[p.tokens] > 0, n).astype(np.int64)
         return pa.table([*lists, p.lengths, known, np.full(n, tokens), np.bincount(owner, unigram[p.tokens], n), score], names)
 
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
         *(T.StructField(c, T.LongType()) for c in names[2:5]), *(T.StructField(c, T.DoubleType()) for c in names[5:]),
     ])
-    own = parts.select("part", "doc_id", "held_out", "lengths", "words", "tokens")
-    return scratch.finish(own.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(one, schema))
+    own = parts.select("part", "doc_id", "held_out", "lengths", "words", "often", "tokens")
+    done = scratch.finish(own.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(one, schema))
+    docs.sparkSession.sql(f"DROP TABLE {table}")
+    return done

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyloom.llm import lm_score
 
@@ -103,6 +104,51 @@ def test_parts_and_shards_of_any_size(listed, documents, odd, monkeypatch):
     assert_right(listed, odd)
 
 
+def sent_and_plan(docs, monkeypatch, shard_tokens):
+    """(bytes sent to the shards of pairs, plan of the last step) of a run."""
+    seen = {}
+    answers, finish = lm_score.pair_answers, lm_score.Scratch.finish
+
+    def spy(sent, *rest):
+        packed = [F.coalesce(F.sum(F.length(c)), F.lit(0)) for c, kind in sent.dtypes if kind == "binary"]
+        seen["sent"] = sum(sent.agg(*packed).first())
+        return answers(sent, *rest)
+
+    def spy_finish(self, df):
+        seen["plan"] = df._jdf.queryExecution().executedPlan().toString()
+        return finish(self, df)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lm_score, "SHARD_TOKENS", shard_tokens)
+        patch.setattr(lm_score, "pair_answers", spy)
+        patch.setattr(lm_score.Scratch, "finish", spy_finish)
+        lm_score.score_documents(docs).count()
+    return seen["sent"], seen["plan"]
+
+
+def test_what_is_sent_does_not_grow_with_the_shards(spark, monkeypatch):
+    words = np.random.default_rng(3).zipf(1.2, 600_000) % 40_009
+    docs = spark.createDataFrame([(i, " ".join(f"w{w}" for w in words[1500 * i : 1500 * i + 1500])) for i in range(400)], "doc_id long, text string")
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 300_000)
+    few, plan = sent_and_plan(docs, monkeypatch, 200_000)
+    many, _ = sent_and_plan(docs, monkeypatch, 20_000)
+    assert many < 1.25 * few
+    assert plan.count("Exchange hashpartitioning(part") == 1  # the answers; the parts stay where they lie
+
+
+def test_rare_words_and_contexts(spark, listed, monkeypatch):
+    """Words at the threshold, words of held-out texts alone, and n-grams of them; each in parts and shards of its own."""
+    trained, held = [i for i in range(200) if fold(i)], [i for i in range(200) if not fold(i)]
+    rows = [(trained[0], "once twice here"), (trained[1], "twice here apart"), (trained[2], "Apart"), (trained[3], None), (held[0], "unseen twice here twice unseen twice"),
+            (held[0], "once twice here"), (None, "here apart"), (trained[0], "once twice here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert_right(listed, docs)
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 2)
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 1)
+    assert_right(listed, docs)
+    assert_right(listed, docs, ngram_share=0.15)
+
+
 def test_no_training_rows(spark):
     doc = next(i for i in range(1000) if fold(i) == 0)
     row = lm_score.score_documents(spark.createDataFrame([(doc, "a b")], "doc_id long, text string")).first()
